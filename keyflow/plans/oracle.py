@@ -967,3 +967,21 @@ sql(
 SELECT CAST(event_id % 5 AS INT) AS level, CASE event_id % 5 WHEN 1 THEN 'info' WHEN 2 THEN 'warn' WHEN 3 THEN 'error' ELSE 'unknown' END AS severity,
   count(*) AS n FROM events WHERE event_id % 5 >= 1 GROUP BY 1, 2""",
 )
+
+# ---- streams: a drained stream must give what the batch query gives ------------------------------------------------
+
+for _stream, _batch in (
+    ("run_stream_ok", "split_outcomes_ok"),
+    ("run_stream_dead", "split_outcomes_dead"),
+    ("process_by_key_stream", "process_by_key"),
+):
+    QUERIES[_stream] = QUERIES[_batch]
+sql("commit_watermark_stream", "attempts", _watermark("attempts"))
+sql(
+    "message_metrics_stream",
+    "packets",
+    f"""
+SELECT {_LABELS}, {_COUNTERS} FROM packets WHERE traits & 16 = 0 GROUP BY topic, consumer_group, service, team, part""",
+)
+sql("drop_redeliveries_stream", "records", 'SELECT topic, part AS "partition", off AS "offset", key_str FROM records')
+sql("throttle_stream", "", QUERIES["throttle"][1].replace("k.at_us, count(*) - 1 AS suppressed", "k.at_us"))
