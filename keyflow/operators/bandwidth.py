@@ -61,13 +61,13 @@ def bandwidth_compression(packets: DataFrame) -> DataFrame:
 
 def topology_gauges(packets: DataFrame) -> DataFrame:
     """State at the last packet (by ``seq``). The collection time is that of the last packet that carries one."""
-    collected = F.when(F.col("ts_unix_ns") != 0, F.call_function("div", F.col("ts_unix_ns"), F.lit(1_000_000_000)))
-    last_collected = F.max(F.when(F.col("ts_unix_ns") != 0, F.struct(F.col("seq"), collected.alias("s"))))
+    collected = F.call_function("div", F.col("ts_unix_ns"), F.lit(1_000_000_000))
+    with_time = F.when(F.col("ts_unix_ns") != 0, F.col("seq"))
     return packets.groupBy(*GROUP).agg(
         F.max_by(F.size("brokers").cast("bigint"), "seq").alias("broker_count"),
         F.max_by(F.size("partitions").cast("bigint"), "seq").alias("partition_count"),
         (F.max_by("stats_interval_ms", "seq") / 1000.0).alias("stats_interval_seconds"),
-        last_collected["s"].alias("last_collection_timestamp_seconds"),
+        F.max_by(collected, with_time).alias("last_collection_timestamp_seconds"),
     )
 
 

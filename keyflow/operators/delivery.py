@@ -7,11 +7,14 @@ that were read, unless ``mode="integer"`` is asked for.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyflow import schema as S
 from keyflow.operators.prefix import DEFAULT_BITS, Running, running
+from keyflow.operators.staging import small_side, stage
 
 DAY_US = 86_400_000_000
 
@@ -26,47 +29,111 @@ def collapse_attempts(attempts: DataFrame) -> DataFrame:
     )
 
 
+def _unfinished_free(records: DataFrame, bits: int) -> DataFrame:
+    """Blocks of a read log: where the first unfinished record is, the highest offset, how many are finished."""
+    done = F.col("done_us").isNotNull()
+    return records.groupBy(*S.PARTITION, F.shiftright("offset", bits).alias("_block")).agg(
+        F.min(F.when(~done, F.col("offset"))).alias("_stop"), F.max("offset").alias("_high"), F.count_if(done).alias("_done")
+    )
+
+
 def commit_watermark(
     attempts: DataFrame, mode: str = "read", start: int | None = None, bits: int = DEFAULT_BITS
 ) -> DataFrame:
     """Per partition ``highest_ready_offset``, ``max_offset_seen`` and ``gap_buffer_depth`` (-1 / 0 when there is none).
 
-    ``read``: ready is the highest record read below the first unfinished one; no window, two small aggregates.
+    ``read``: ready is the highest record read below the first unfinished one.
     ``integer``: ready is the end of the run of consecutive finished offsets from ``start`` (default: the lowest offset
-    seen); the n-th finished offset from there must be ``start + n``.
+    seen).
+
+    Offsets are summed up in blocks first. Only the block of each partition in which the watermark stops is then looked at
+    record by record, so the log is shuffled once, by record, and not again by its few partitions.
     """
-    records = collapse_attempts(attempts)
+    if mode not in ("read", "integer"):
+        raise ValueError(f"mode must be 'read' or 'integer', got {mode!r}")
+    if mode == "integer":
+        return _integer_watermark(attempts, start, bits)
+    blocks = stage(_unfinished_free(collapse_attempts(attempts), bits))
+    stops = blocks.groupBy(*S.PARTITION).agg(F.min("_stop").alias("_stop")).withColumn(
+        "_stop_block", F.shiftright("_stop", bits)
+    )
+    placed = blocks.drop("_stop").join(stops, S.PARTITION)
+    before = F.col("_stop").isNull() | (F.col("_block") < F.col("_stop_block"))
+    whole = placed.groupBy(*S.PARTITION).agg(
+        F.max(F.when(before, F.col("_high"))).alias("_ready"),
+        F.max("_high").alias("_seen"),
+        F.sum(F.when(F.col("_block") > F.col("_stop_block"), F.col("_done"))).alias("_ahead"),
+    )
+    where = small_side(stops.filter("_stop is not null").withColumnRenamed("_stop_block", "_block"))
+    near = attempts.withColumn("_block", F.shiftright("offset", bits)).join(where, [*S.PARTITION, "_block"])
+    records = near.groupBy(*S.COORDINATES, "_stop").agg(F.min("done_us").alias("done_us"))
+    detail = records.groupBy(*S.PARTITION).agg(
+        F.max(F.when(F.col("offset") < F.col("_stop"), F.col("offset"))).alias("_ready"),
+        F.count_if(F.col("done_us").isNotNull() & (F.col("offset") > F.col("_stop"))).alias("_ahead"),
+    )
+    return _watermark_rows(whole, detail)
+
+
+def _watermark_rows(*parts: DataFrame) -> DataFrame:
+    stacked = parts[0].unionByName(parts[1], allowMissingColumns=True)
+    return stacked.groupBy(*S.PARTITION).agg(
+        F.coalesce(F.max("_ready"), F.lit(-1).cast("bigint")).alias("highest_ready_offset"),
+        F.max("_seen").alias("max_offset_seen"),
+        F.coalesce(F.sum("_ahead"), F.lit(0)).cast("bigint").alias("gap_buffer_depth"),
+    )
+
+
+def _integer_watermark(attempts: DataFrame, start: int | None, bits: int) -> DataFrame:
     done = F.col("done_us").isNotNull()
-    if mode == "read":
-        first_pending = records.groupBy(*S.PARTITION).agg(F.min(F.when(~done, F.col("offset"))).alias("_first_pending"))
-        joined = records.join(first_pending, S.PARTITION)
-        limit = F.coalesce(F.col("_first_pending"), F.lit(S.NEVER_US))
-        return joined.groupBy(*S.PARTITION).agg(
-            F.coalesce(F.max(F.when(F.col("offset") < limit, F.col("offset"))), F.lit(-1).cast("bigint")).alias(
-                "highest_ready_offset"
-            ),
-            F.max("offset").alias("max_offset_seen"),
-            F.count_if(done & (F.col("offset") > limit)).alias("gap_buffer_depth"),
+    records = collapse_attempts(attempts)
+    from_start = F.col("offset") >= start if start is not None else F.lit(True)
+    blocks = stage(
+        records.groupBy(*S.PARTITION, F.shiftright("offset", bits).alias("_block")).agg(
+            F.min("offset").alias("_low"),
+            F.max("offset").alias("_high"),
+            F.count_if(done & from_start).alias("_done"),
         )
-    if mode != "integer":
-        raise ValueError(f"mode must be 'read' or 'integer', got {mode!r}")
-    seen = records.groupBy(*S.PARTITION).agg(F.min("offset").alias("_low"), F.max("offset").alias("max_offset_seen"))
-    first = F.lit(start).cast("bigint") if start is not None else F.col("_low")
-    seen = seen.withColumn("_start", first).drop("_low")
-    finished = records.filter(done).select(*S.COORDINATES).join(seen, S.PARTITION).filter(F.col("offset") >= F.col("_start"))
-    ranked = running(
-        finished, S.PARTITION, ["offset"], "offset", [Running("_n", F.lit(1).cast("bigint"))], bits
     )
-    in_run = F.col("offset") - F.col("_start") == F.col("_n") - 1
-    ready = ranked.groupBy(*S.PARTITION).agg(
-        F.max(F.when(in_run, F.col("offset"))).alias("_ready"), F.count_if(~in_run).alias("_ahead")
+    first = F.lit(start).cast("bigint") if start is not None else F.min("_low")
+    spans = blocks.groupBy(*S.PARTITION).agg(first.alias("_start"), F.max("_high").alias("_seen"))
+    # The run ends in the first block that is not completely finished. Blocks are few, a missing one counts as unfinished.
+    size = F.lit(1 << bits).cast("bigint")
+    begin = F.shiftleft(F.col("_block"), bits)
+    needed = size - F.greatest(F.col("_start") - begin, F.lit(0).cast("bigint"))
+    usable = blocks.join(spans, S.PARTITION).filter(F.col("_block") >= F.shiftright("_start", bits))
+    full = usable.filter(F.col("_done") == needed)
+    # Full blocks in an unbroken row from the start block: the n-th full one must be the n-th block.
+    ranked = running(full.select(*S.PARTITION, "_block", "_start"), S.PARTITION, ["_block"], "_block",
+                     [Running("_n", F.lit(1).cast("bigint"))], bits)
+    unbroken = ranked.filter(F.col("_block") - F.shiftright("_start", bits) == F.col("_n") - 1)
+    reached = unbroken.groupBy(*S.PARTITION).agg((F.max("_block") + 1).alias("_next"))
+    stops = stage(
+        spans.join(reached, S.PARTITION, "left").select(
+            *S.PARTITION, "_start", "_seen", F.coalesce("_next", F.shiftright("_start", bits)).alias("_block")
+        )
     )
-    return seen.join(ready, S.PARTITION, "left").select(
+    first_of_block = F.greatest(F.col("_start"), F.shiftleft(F.col("_block"), bits))
+    base = stops.select(
         *S.PARTITION,
-        F.coalesce("_ready", F.lit(-1).cast("bigint")).alias("highest_ready_offset"),
-        "max_offset_seen",
-        F.coalesce("_ahead", F.lit(0).cast("bigint")).alias("gap_buffer_depth"),
+        F.when(first_of_block > F.col("_start"), first_of_block - 1).alias("_ready"),
+        "_seen",
+    )
+    ahead = usable.drop("_start", "_seen").join(stops.withColumnRenamed("_block", "_stop_block"), S.PARTITION)
+    ahead = ahead.groupBy(*S.PARTITION).agg(
+        F.sum(F.when(F.col("_block") > F.col("_stop_block"), F.col("_done"))).alias("_ahead")
     )
+    where = small_side(stops.select(*S.PARTITION, "_block", first_of_block.alias("_from")))
+    near = attempts.withColumn("_block", F.shiftright("offset", bits)).join(where, [*S.PARTITION, "_block"])
+    finished = near.groupBy(*S.COORDINATES, "_from").agg(F.min("done_us").alias("done_us")).filter(
+        done & (F.col("offset") >= F.col("_from"))
+    )
+    # At most one block per partition is left.
+    rank = F.row_number().over(Window.partitionBy(*S.PARTITION).orderBy("offset"))
+    in_run = F.col("offset") - F.col("_from") == F.col("_rank") - 1
+    detail = finished.withColumn("_rank", rank).groupBy(*S.PARTITION).agg(
+        F.max(F.when(in_run, F.col("offset"))).alias("_ready"), F.count_if(~in_run).alias("_ahead")
+    )
+    return _watermark_rows(base.unionByName(ahead, allowMissingColumns=True), detail)
 
 
 def watermark_advance(attempts: DataFrame, bits: int = DEFAULT_BITS) -> DataFrame:
@@ -94,6 +161,12 @@ def commit_buffered(attempts: DataFrame, bits: int = DEFAULT_BITS) -> DataFrame:
     return watermark_advance(attempts, bits).filter("commit_buffered").select(*S.COORDINATES, "done_us")
 
 
+def ordered_pair(major: str, minor: str) -> Column:
+    """One number that sorts like two non-negative bigints. Unlike a struct it fits the buffer of a hash aggregate."""
+    shift = F.lit(Decimal(10) ** 19)
+    return (F.col(major).cast("decimal(38,0)") * shift).cast("decimal(38,0)") + F.col(minor).cast("decimal(19,0)")
+
+
 def _arrival() -> Column:
     return F.struct("read_us", "attempt_no")
 
@@ -136,7 +209,8 @@ def dedupe_by_id(df: DataFrame, id_cols: list[str], order: list[str], seen: Data
 
 def redelivery_set(records: DataFrame, committed: DataFrame) -> DataFrame:
     """Records read again after a restart: those above their partition's ``committed_offset``, or all without one."""
-    joined = records.join(committed.select(*S.PARTITION, "committed_offset"), S.PARTITION, "left")
+    marks = small_side(committed.select(*S.PARTITION, "committed_offset"))
+    joined = records.join(marks, S.PARTITION, "left")
     above = F.col("offset") > F.coalesce(F.col("committed_offset"), F.lit(-1))
     return joined.filter(above).select(*records.columns)
 
@@ -180,17 +254,17 @@ def assignment_at(attempts: DataFrame, assignments: DataFrame, width_us: int = D
     def slot(us: Column) -> Column:
         return F.call_function("div", us, F.lit(width_us).cast("bigint"))
 
-    columns = [*S.PARTITION, "epoch", "assigned_us", "revoked_us"]
+    assignments = stage(assignments.select(*S.PARTITION, "epoch", "assigned_us", "revoked_us"))
     closed = assignments.filter(F.col("revoked_us") > F.col("assigned_us")).select(
         *S.PARTITION,
         F.struct("epoch", "assigned_us", "revoked_us").alias("_closed"),
         F.explode(F.sequence(slot(F.col("assigned_us")), slot(F.col("revoked_us") - 1))).alias("_slot"),
     )
-    opened = assignments.filter(F.col("revoked_us").isNull()).select(columns).groupBy(*S.PARTITION).agg(
+    opened = assignments.filter(F.col("revoked_us").isNull()).groupBy(*S.PARTITION).agg(
         F.max_by(F.struct("epoch", "assigned_us", "revoked_us"), "assigned_us").alias("_open")
     )
     slotted = attempts.withColumn("_slot", slot(F.col("read_us")))
-    a, c = slotted.alias("a"), closed.alias("c")
+    a, c = slotted.alias("a"), small_side(closed).alias("c")
     in_closed = (
         (F.col("a.topic") == F.col("c.topic"))
         & (F.col("a.partition") == F.col("c.partition"))
@@ -198,7 +272,7 @@ def assignment_at(attempts: DataFrame, assignments: DataFrame, width_us: int = D
         & (F.col("a.read_us") >= F.col("c._closed.assigned_us"))
         & (F.col("a.read_us") < F.col("c._closed.revoked_us"))
     )
-    joined = a.join(c, in_closed, "left").select("a.*", "c._closed").join(opened, S.PARTITION, "left")
+    joined = a.join(c, in_closed, "left").select("a.*", "c._closed").join(small_side(opened), S.PARTITION, "left")
     match = F.coalesce(
         F.col("_closed"), F.when(F.col("read_us") >= F.col("_open.assigned_us"), F.col("_open"))
     )
@@ -218,17 +292,20 @@ def flag_orphaned(attempts: DataFrame, assignments: DataFrame) -> DataFrame:
 
 
 def flag_first_after_rebalance(attempts: DataFrame, assignments: DataFrame) -> DataFrame:
-    """Adds ``first_after_rebalance``: the first attempt read on its partition in its assignment."""
+    """Adds ``first_after_rebalance``: the first attempt read on its partition in its assignment.
+
+    Of attempts read at the same instant the one with the lowest offset is first.
+    """
     placed = assignment_at(attempts, assignments)
-    order = F.struct("read_us", "offset", "attempt_no")
+    rank = ordered_pair("read_us", "offset")
     firsts = (
         placed.filter(F.col("epoch").isNotNull())
         .groupBy(*S.PARTITION, "epoch")
-        .agg(F.min(order).alias("_first"))
-        .select(*S.PARTITION, F.col("_first.offset").alias("offset"), F.col("_first.attempt_no").alias("attempt_no"))
+        .agg(F.min_by("offset", rank).alias("offset"), F.min("read_us").alias("read_us"))
+        .drop("epoch")
         .withColumn("_is_first", F.lit(True))
     )
-    joined = placed.join(firsts, [*S.COORDINATES, "attempt_no"], "left")
+    joined = placed.join(small_side(firsts), [*S.COORDINATES, "read_us"], "left")
     return joined.select(
         *placed.columns, F.coalesce(F.col("_is_first"), F.lit(False)).alias("first_after_rebalance")
     )

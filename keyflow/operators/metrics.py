@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from keyflow import schema as S
 from keyflow.functions import text, traits
+from keyflow.operators.delivery import ordered_pair
 from keyflow.operators.prefix import DEFAULT_BITS, HOT_ROWS, Running, running
+from keyflow.operators.staging import stage
 
 # Counter name and the trait bit it counts (none: every message).
 COUNTERS = {
@@ -62,7 +64,7 @@ def message_counters(packets: DataFrame) -> DataFrame:
 
 def message_gauges(packets: DataFrame) -> DataFrame:
     """Queue depth and offset of the packet that came last (by process start, then offset), zero included."""
-    arrival = F.struct("process_start_time_ns", "offset")
+    arrival = ordered_pair("process_start_time_ns", "offset")
     return packets.groupBy(*S.MESSAGE_LABELS).agg(
         F.max_by(F.col("queue_depth").cast("bigint"), arrival).alias("queue_depth"),
         F.max_by("offset", arrival).alias("current_offset"),
@@ -161,7 +163,7 @@ def keys_in_flight(attempts: DataFrame, bits: int = DEFAULT_BITS, hot_rows: int
         .agg(F.sum("change").alias("change"))
     )
     return running(
-        steps,
+        stage(steps),
         ["topic"],
         ["at_us"],
         "at_us",
@@ -191,7 +193,7 @@ def inflight_keys(
 def flag_overflow(attempts: DataFrame, limit: int = DEFAULT_CONCURRENT_KEYS) -> DataFrame:
     """Adds ``used_overflow``: at its start, more than ``limit`` keys were in flight (the attempt's own key included)."""
     level = F.struct(F.col("at_us").alias("at"), F.col("in_flight").alias("n"))
-    marks = keys_in_flight(attempts).select("topic", "at_us", level.alias("_s"))
+    marks = stage(keys_in_flight(attempts).select("topic", "at_us", level.alias("_s")))
     starts = attempts.filter("start_us is not null").select("topic", F.col("start_us").alias("at_us"))
     # As-of lookup: the latest number at or before each start is the running maximum of (instant, number).
     merged = starts.unionByName(marks, allowMissingColumns=True).groupBy("topic", "at_us").agg(F.max("_s").alias("_s"))
@@ -216,55 +218,37 @@ def failure_rates(counters: DataFrame) -> DataFrame:
 def metrics_long(packets: DataFrame) -> DataFrame:
     """All message series as ``metric, type, labels..., le, sort, value, scale``: the value is ``value / 10**scale``.
 
-    One aggregate computes everything, so the packets are read once. ``sort`` orders the buckets of a histogram.
+    One hash aggregate computes everything, so the packets are read once. ``sort`` orders the buckets of a histogram. As
+    usual a condition counter or histogram without an event has no series.
     """
-    source = queue_wait_ns(packets)
-    arrival = F.struct("process_start_time_ns", "offset")
-    aggs = [
-        (F.count("*") if bit is None else F.count_if(traits.has_bit("traits", bit))).alias(f"c_{name}")
-        for name, bit in COUNTERS.items()
-    ]
-    aggs += [
-        F.max_by(F.col("queue_depth").cast("bigint"), arrival).alias("g_queue_depth"),
-        F.max_by("offset", arrival).alias("g_current_offset"),
-    ]
-    for h, (column, (start, count)) in enumerate(HISTOGRAMS.values()):
-        positive = F.col(column) > 0
-        aggs += [
-            F.count_if(positive & (F.col(column) <= b)).alias(f"h{h}_{i}") for i, b in enumerate(bounds_ns(start, count))
-        ]
-        aggs += [
-            F.coalesce(F.sum(F.when(positive, F.col(column))), F.lit(0)).alias(f"h{h}_sum"),
-            F.count_if(positive).alias(f"h{h}_count"),
-        ]
-    wide = source.groupBy(*S.MESSAGE_LABELS).agg(*aggs)
-
-    def cell(metric: str, kind: str, le: str | None, sort: int, value: Column, scale: int = 0, when: Column | None = None) -> Column:
-        row = F.struct(
-            F.lit(metric).alias("metric"),
-            F.lit(kind).alias("type"),
-            F.lit(le).cast("string").alias("le"),
-            F.lit(sort).alias("sort"),
-            value.cast("bigint").alias("value"),
-            F.lit(scale).alias("scale"),
-        )
-        return row if when is None else F.when(when, row)
-
-    cells = [cell(f"{name}_total", "counter", None, 0, F.col(f"c_{name}"), when=F.col(f"c_{name}") > 0) for name in COUNTERS]
-    cells += [cell(n, "gauge", None, 0, F.col(f"g_{n}")) for n in ("queue_depth", "current_offset")]
-    for h, (name, (_, (start, count))) in enumerate(HISTOGRAMS.items()):
-        seen = F.col(f"h{h}_count") > 0
-        cells += [
-            cell(f"{name}_sum", "histogram", None, 0, F.col(f"h{h}_sum"), 9, seen),
-            cell(f"{name}_count", "histogram", None, 1, F.col(f"h{h}_count"), when=seen),
-        ]
-        cells += [
-            cell(f"{name}_bucket", "histogram", seconds_label(b), 2 + i, F.col(f"h{h}_{i}"), when=seen)
-            for i, b in enumerate(bounds_ns(start, count))
-        ]
-        cells.append(cell(f"{name}_bucket", "histogram", "+Inf", 2 + count, F.col(f"h{h}_count"), when=seen))
-    present = F.filter(F.array(*cells), lambda c: c.isNotNull())
-    return wide.select(*S.MESSAGE_LABELS, F.inline(present)).select(
+    arrival = ordered_pair("process_start_time_ns", "offset")
+    aggs, cells = [], []
+
+    def cell(metric: str, kind: str, column: str, le: str = "", sort: int = 0, scale: int = 0, when: str = "true") -> None:
+        bound = f"'{le}'" if le else "cast(null as string)"
+        fields = f"'metric', '{metric}', 'type', '{kind}', 'le', {bound}, 'sort', {sort}, 'value', {column}, 'scale', {scale}"
+        cells.append(f"if({when}, named_struct({fields}), null)")
+
+    for name, bit in COUNTERS.items():
+        counted = "count(*)" if bit is None else f"count_if(bit_get(traits, {bit}) = 1)"
+        aggs.append(F.expr(f"{counted} as c_{name}"))
+        cell(f"{name}_total", "counter", f"c_{name}", when=f"c_{name} > 0")
+    for name, column in (("queue_depth", F.col("queue_depth").cast("bigint")), ("current_offset", F.col("offset"))):
+        aggs.append(F.max_by(column, arrival).alias(f"g_{name}"))
+        cell(name, "gauge", f"g_{name}")
+    for h, (name, (column, (start, count))) in enumerate(HISTOGRAMS.items()):
+        seen = f"h{h}_count > 0"
+        aggs.append(F.expr(f"coalesce(sum(if({column} > 0, {column}, null)), 0) as h{h}_sum"))
+        aggs.append(F.expr(f"count_if({column} > 0) as h{h}_count"))
+        cell(f"{name}_sum", "histogram", f"h{h}_sum", scale=9, when=seen)
+        cell(f"{name}_count", "histogram", f"h{h}_count", sort=1, when=seen)
+        for i, bound in enumerate(bounds_ns(start, count)):
+            aggs.append(F.expr(f"count_if({column} > 0 and {column} <= {bound}) as h{h}_{i}"))
+            cell(f"{name}_bucket", "histogram", f"h{h}_{i}", seconds_label(bound), 2 + i, when=seen)
+        cell(f"{name}_bucket", "histogram", f"h{h}_count", "+Inf", 2 + count, when=seen)
+    wide = queue_wait_ns(packets).groupBy(*S.MESSAGE_LABELS).agg(*aggs)
+    series = f"inline(filter(array({', '.join(cells)}), c -> c is not null))"
+    return wide.selectExpr(*S.MESSAGE_LABELS, series).select(
         "metric", "type", *S.MESSAGE_LABELS, "le", "sort", "value", "scale"
     )
 

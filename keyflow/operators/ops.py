@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from keyflow import schema as S
 from keyflow.functions import text
+from keyflow.operators.delivery import ordered_pair
 from keyflow.operators.prefix import DEFAULT_BITS, HOT_ROWS, Running, running
 
 # Defaults and limits, in milliseconds.
@@ -171,9 +172,8 @@ def breaker_trips(attempts: DataFrame, limit_ms: int = DEFAULT_BREAKER_MS) -> Da
     """First attempt per partition that waited longer than the limit for a worker, and how many did."""
     wait = F.col("start_us") - F.col("read_us")
     slow = attempts.filter(wait > limit_ms * 1000).withColumn("_wait", wait)
-    order = F.struct("start_us", "offset", "attempt_no")
     return slow.groupBy(*S.PARTITION).agg(
-        F.min_by("offset", order).alias("first_offset"),
+        F.min_by("offset", ordered_pair("start_us", "offset")).alias("first_offset"),
         F.min("start_us").alias("first_us"),
         F.max("_wait").alias("longest_wait_us"),
         F.count("*").alias("slow_dispatches"),

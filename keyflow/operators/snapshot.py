@@ -131,12 +131,14 @@ def summary(attempts: DataFrame, assignments: DataFrame, as_of_us: int) -> DataF
     now = assigned_at(assignments, as_of_us).groupBy("topic").agg(
         F.count_if("assigned").alias("assigned_partition_count"), F.max("assigned_us").alias("_last")
     )
-    zero = F.lit(0).cast("bigint")
-    return finished.join(now, "topic", "full").select(
+    stacked = finished.unionByName(now, allowMissingColumns=True)
+    figures = ["assigned_partition_count", "total_processed", "total_dead_lettered"]
+    totals = stacked.groupBy("topic").agg(
+        *[F.coalesce(F.max(c), F.lit(0).cast("bigint")).alias(c) for c in figures], F.max("_last").alias("_last")
+    )
+    return totals.select(
         F.col("topic").alias("topic_name"),
-        F.coalesce("assigned_partition_count", zero).alias("assigned_partition_count"),
-        F.coalesce("total_processed", zero).alias("total_processed"),
-        F.coalesce("total_dead_lettered", zero).alias("total_dead_lettered"),
+        *figures,
         text.utc_millis_text_of_micros("_last").alias("last_rebalance_time"),
     )
 
@@ -146,13 +148,13 @@ def partition_offsets(attempts: DataFrame, assignments: DataFrame, as_of_us: int
     marks = delivery.commit_watermark(as_of(attempts, as_of_us))
     now = assigned_at(assignments, as_of_us).select(*S.PARTITION, "assigned")
     none = F.lit(-1).cast("bigint")
-    return marks.join(now, S.PARTITION, "full").select(
-        *S.PARTITION,
-        F.coalesce("highest_ready_offset", none).alias("committed_offset"),
-        F.coalesce("highest_ready_offset", none).alias("highest_ready_offset"),
-        F.coalesce("max_offset_seen", none).alias("max_offset_seen"),
-        F.coalesce("gap_buffer_depth", F.lit(0).cast("bigint")).alias("gap_buffer_depth"),
-        F.coalesce("assigned", F.lit(False)).alias("assigned"),
+    stacked = marks.unionByName(now, allowMissingColumns=True)
+    return stacked.groupBy(*S.PARTITION).agg(
+        F.coalesce(F.max("highest_ready_offset"), none).alias("committed_offset"),
+        F.coalesce(F.max("highest_ready_offset"), none).alias("highest_ready_offset"),
+        F.coalesce(F.max("max_offset_seen"), none).alias("max_offset_seen"),
+        F.coalesce(F.max("gap_buffer_depth"), F.lit(0).cast("bigint")).alias("gap_buffer_depth"),
+        F.coalesce(F.max("assigned"), F.lit(False)).alias("assigned"),
     )
 
 
