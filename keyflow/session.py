@@ -28,7 +28,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cpus: int | str = 8, memory: str = "8g", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    cpus: int | str = 8, memory: str = "8g", shuffle_partitions: int = 8, conf: dict[str, str] | None = None
+) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -42,7 +44,7 @@ def local_session(cpus: int | str = 8, memory: str = "8g", shuffle_partitions: i
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         )
     )
-    for key, value in {**REQUIRED_CONF, **TUNING_CONF}.items():
+    for key, value in {**REQUIRED_CONF, **TUNING_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -54,11 +56,11 @@ def shared_dir(spark: SparkSession) -> str:
 
     A cluster names it in ``spark.checkpoint.dir``. Only a local session without that setting gets a folder of its own.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    own = tempfile.mkdtemp(prefix="keyflow-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="keyflow-"))
+    return context.getCheckpointDir()
