@@ -233,7 +233,8 @@ class _SustainedFailures(StatefulProcessor):
                 reported = True
                 out.append((key[0], key[1], since, row.at_us, row.err))
         self.state.update((int(since), bool(reported)))
-        yield pd.DataFrame(out, columns=["topic", "partition", "first_us", "reported_us", "err"])
+        if out:
+            yield pd.DataFrame(out, columns=["topic", "partition", "first_us", "reported_us", "err"])
 
     def close(self) -> None:
         pass
@@ -265,7 +266,7 @@ class _Throttle(StatefulProcessor):
             at = int(np.searchsorted(instants, kept[-1] + self.width))
         if kept:
             self.state.update((kept[-1],))
-        yield pd.DataFrame([(*key, k) for k in kept], columns=[*self.keys, self.time])
+            yield pd.DataFrame([(*key, k) for k in kept], columns=[*self.keys, self.time])
 
     def close(self) -> None:
         pass
@@ -301,7 +302,7 @@ class _Watchdog(StatefulProcessor):
             self.handle.deleteTimer(timer)
         self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.quiet_ms)
         self.state.update((last_done, high))
-        yield pd.DataFrame({"topic": [], "partition": [], "behind": []})
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         last_done, high = self.state.get()
