@@ -45,6 +45,11 @@ def truncate_utf8(text: Column | str, limit: int = 1024) -> Column:
     return F.when(F.octet_length(s) <= limit, s).otherwise(F.coalesce(*prefixes))
 
 
+def cut_text(text: str, limit: int = 1024) -> str:
+    """:func:`truncate_utf8` of a constant."""
+    return text.encode()[:limit].decode(errors="ignore")
+
+
 def utc_millis_text(ts: Column | str) -> Column:
     """Instant as ``yyyy-MM-ddTHH:mm:ss.SSSZ`` (the session time zone must be UTC)."""
     return F.date_format(_col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
@@ -83,18 +88,14 @@ def format_duration(us: Column | str) -> Column:
 def parse_duration(text: Column | str) -> Column:
     """Duration text to whole microseconds (finer parts are cut off); null when the text is not a duration."""
     s = _col(text)
-    body = F.regexp_replace(s, r"^[+-]", "")
-    parts = F.regexp_extract_all(body, F.lit(f"({_NUMBER}{_UNIT})"), F.lit(1))
+    body = F.when(s.startswith("-") | s.startswith("+"), F.substring(s, 2, 1 << 30)).otherwise(s)
+    part = F.lit(f"({_NUMBER})({_UNIT})")
+    numbers, units = (F.regexp_extract_all(body, part, F.lit(group)) for group in (1, 2))
     unit_ns = F.create_map(*[F.lit(x) for pair in DURATION_UNITS.items() for x in pair])
-
-    def nanos(part: Column) -> Column:
-        number = F.regexp_extract(part, f"^({_NUMBER})", 1)
-        unit = F.regexp_extract(part, f"({_UNIT})$", 1)
-        return (number.cast("decimal(20,9)") * F.element_at(unit_ns, unit)).cast("decimal(38,0)")
-
-    total = F.aggregate(
-        parts, F.lit(0).cast("decimal(38,0)"), lambda acc, p: (acc + nanos(p)).cast("decimal(38,0)")
+    nanos = F.zip_with(
+        numbers, units, lambda n, u: (n.cast("decimal(20,9)") * F.element_at(unit_ns, u)).cast("decimal(38,0)")
     )
+    total = F.aggregate(nanos, F.lit(0).cast("decimal(38,0)"), lambda acc, n: (acc + n).cast("decimal(38,0)"))
     micros = F.call_function("div", total, F.lit(1000)).cast("bigint")
     signed = F.when(s.startswith("-"), -micros).otherwise(micros)
     return F.when(body == "0", F.lit(0).cast("bigint")).when(body.rlike(f"^({_NUMBER}{_UNIT})+$"), signed)

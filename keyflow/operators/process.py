@@ -18,11 +18,19 @@ from keyflow.functions import text, traits
 
 @dataclass(frozen=True)
 class Reject:
-    """Fail records for which ``condition`` is true, with ``message`` (text or a string column) as the reason."""
+    """Fail records for which ``condition`` is true, with ``message`` (text or a string column) as the reason.
 
-    condition: Column
+    Without a condition a record fails where the message column is not null.
+    """
+
+    condition: Column | None
     message: str | Column
 
+    def reason(self) -> Column:
+        if isinstance(self.message, str):
+            return F.when(self.condition, text.cut_text(self.message))
+        return self.message if self.condition is None else F.when(self.condition, self.message)
+
 
 @dataclass(frozen=True)
 class Tag:
@@ -44,11 +52,13 @@ def parse_json(value: Column | str, schema: T.StructType | str) -> tuple[Column,
     with_corrupt = T.StructType([*fields.fields, T.StructField("_corrupt_record", T.StringType())])
     body = E.value_text(v)
     parsed = F.from_json(body, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    # Through a one-element array the document is parsed once for both tests.
+    unreadable = F.get(F.transform(F.array(parsed), lambda p: p.isNull() | p["_corrupt_record"].isNotNull()), F.lit(0))
     error = (
         F.when(v.isNull(), "null payload")
         .when(F.octet_length(v) == 0, "empty payload")
         .when(body.isNull(), "payload is not UTF-8")
-        .when(parsed.isNull() | parsed["_corrupt_record"].isNotNull(), "invalid JSON")
+        .when(unreadable, "invalid JSON")
     )
     clean = F.struct(*[parsed[f.name].alias(f.name) for f in fields.fields])
     return F.when(error.isNull(), clean), error
@@ -59,10 +69,12 @@ def process(df: DataFrame, rules: Sequence[Reject] = (), tags: Sequence[Tag] = (
 
     Plain column expressions: they stay in generated code and filters still reach the scan. A failed record has no traits.
     """
-    messages = [F.when(r.condition, r.message if isinstance(r.message, Column) else F.lit(r.message)) for r in rules]
-    error = F.coalesce(*messages) if messages else F.lit(None).cast("string")
+    error = F.coalesce(*[r.reason() for r in rules]) if rules else F.lit(None).cast("string")
     tagged = traits.trait_or(*[traits.trait_when(F.coalesce(t.condition, F.lit(False)), t.bit) for t in tags])
-    return df.withColumn("error", text.truncate_utf8(error)).withColumns(
+    out = df.withColumn("error", error)
+    if any(isinstance(r.message, Column) for r in rules):
+        out = out.withColumn("error", text.truncate_utf8("error"))
+    return out.withColumns(
         {
             "outcome": F.when(F.col("error").isNull(), "ok").otherwise("error"),
             "app_traits": F.when(F.col("error").isNull(), tagged).otherwise(F.lit(0).cast("bigint")),

@@ -37,32 +37,24 @@ def log_table(events: DataFrame) -> DataFrame:
     Twelve partitions by user, the event id as offset: offsets rise within a partition and have holes, as in a compacted
     topic. Some records have no key, a binary or an empty key, no value, an empty or malformed value.
     """
-    i = F.col("event_id")
-    trace = F.struct(F.lit("trace").alias("key"), F.when(i % 5 != 0, F.lit("t1").cast("binary")).alias("value"))
-    second = F.struct(F.lit("trace").alias("key"), F.lit("t2").cast("binary").alias("value"))
-    kind = F.struct(F.lit("kind").alias("key"), F.col("event_type").cast("binary").alias("value"))
-    return events.select(
+    return events.selectExpr(
         "event_id",
         "user_id",
         "event_type",
-        F.lit("events").alias("topic"),
-        (F.col("user_id") % PARTITIONS).cast("int").alias("partition"),
-        i.alias("offset"),
-        F.when(i % 29 == 0, None)
-        .when(i % 31 == 0, F.unhex(F.lit("FFFE")))
-        .when(i % 37 == 0, F.lit("").cast("binary"))
-        .otherwise(F.concat(F.lit("u"), F.col("user_id").cast("string")).cast("binary"))
-        .alias("key"),
-        F.when(i % 17 == 0, None)
-        .when(i % 19 == 0, F.lit("").cast("binary"))
-        .when(i % 23 == 0, F.lit("{bad").cast("binary"))
-        .otherwise(F.col("props").cast("binary"))
-        .alias("value"),
-        F.when(i % 10 == 0, -1).when(i % 10 == 1, 1).when(i % 10 == 2, 99).otherwise(0).alias("timestampType"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
-        F.array(trace, second, kind).alias("headers"),
-        micros("ts").alias("read_us"),
-        F.round(F.col("value") * 100).cast("bigint").alias("cents"),
+        "'events' as topic",
+        f"cast(user_id % {PARTITIONS} as int) as partition",
+        "event_id as offset",
+        """case when event_id % 29 = 0 then null when event_id % 31 = 0 then X'FFFE' when event_id % 37 = 0 then X''
+             else cast(concat('u', user_id) as binary) end as key""",
+        """case when event_id % 17 = 0 then null when event_id % 19 = 0 then X'' when event_id % 23 = 0 then cast('{bad' as binary)
+             else cast(props as binary) end as value""",
+        "case event_id % 10 when 0 then -1 when 1 then 1 when 2 then 99 else 0 end as timestampType",
+        "cast(ts as timestamp) as timestamp",
+        """array(named_struct('key', 'trace', 'value', if(event_id % 5 = 0, null, cast('t1' as binary))),
+                 named_struct('key', 'trace', 'value', cast('t2' as binary)),
+                 named_struct('key', 'kind', 'value', cast(event_type as binary))) as headers""",
+        "unix_micros(cast(ts as timestamp)) as read_us",
+        "cast(round(value * 100) as bigint) as cents",
     )
 
 
@@ -85,7 +77,7 @@ def rules() -> list[Reject]:
     _, parse_error = parse_json("value", "k int")
     return [
         Reject(F.col("value").isNull(), "unexpected tombstone"),
-        Reject(parse_error.isNotNull(), parse_error),
+        Reject(None, parse_error),
         Reject(F.col("key_source") == "base64", F.concat(F.lit("binary key "), F.col("key_str"))),
     ]
 

@@ -17,6 +17,8 @@ TUNING_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Without it every Column call looks up the Python line it came from.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
