@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from keyflow import schema as S
 from keyflow.functions import text, traits
 from keyflow.operators.delivery import ordered_pair
-from keyflow.operators.prefix import DEFAULT_BITS, HOT_ROWS, Running, running
+from keyflow.operators.prefix import HOT_ROWS, TIME_BITS, Running, running
 from keyflow.operators.staging import stage
 
 # Counter name and the trait bit it counts (none: every message).
@@ -130,14 +130,14 @@ def _changes(df: DataFrame, keys: Sequence[str], begin: str, end: str) -> DataFr
     )
 
 
-def queue_depth(attempts: DataFrame, bits: int = DEFAULT_BITS) -> DataFrame:
+def queue_depth(attempts: DataFrame, bits: int = TIME_BITS) -> DataFrame:
     """Attempts read and not yet finished on each partition, at every instant at which that number may change."""
     changes = _changes(attempts, S.PARTITION, "read_us", "done_us")
     out = running(changes, S.PARTITION, ["at_us"], "at_us", [Running("queue_depth", F.col("_d"))], bits)
     return out.drop("_d")
 
 
-def keys_in_flight(attempts: DataFrame, bits: int = DEFAULT_BITS, hot_rows: int = HOT_ROWS) -> DataFrame:
+def keys_in_flight(attempts: DataFrame, bits: int = TIME_BITS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Number of distinct keys with an attempt between start and completion, at every instant it changes.
 
     Overlapping attempts of a key count once: per key only the steps from zero and back to zero are kept. Columns
@@ -152,7 +152,8 @@ def keys_in_flight(attempts: DataFrame, bits: int = DEFAULT_BITS, hot_rows: int
         [Running("_depth", F.col("_d"))],
         bits,
         split_only_hot=True,
-        hot_rows=hot_rows,
+        hot_rows=hot_rows // 2,
+        hot_from=attempts,
     )
     before = F.col("_depth") - F.col("_d")
     step = F.when((before <= 0) & (F.col("_depth") > 0), 1).when((before > 0) & (F.col("_depth") <= 0), -1)
@@ -177,7 +178,7 @@ def keys_in_flight(attempts: DataFrame, bits: int = DEFAULT_BITS, hot_rows: int
 
 
 def inflight_keys(
-    attempts: DataFrame, limit: int = DEFAULT_CONCURRENT_KEYS, bits: int = DEFAULT_BITS, hot_rows: int = HOT_ROWS
+    attempts: DataFrame, limit: int = DEFAULT_CONCURRENT_KEYS, bits: int = TIME_BITS, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Peak of keys in flight, time spent above ``limit`` and how often it was crossed, per topic."""
     sweep = keys_in_flight(attempts, bits, hot_rows)
@@ -197,7 +198,7 @@ def flag_overflow(attempts: DataFrame, limit: int = DEFAULT_CONCURRENT_KEYS) ->
     starts = attempts.filter("start_us is not null").select("topic", F.col("start_us").alias("at_us"))
     # As-of lookup: the latest number at or before each start is the running maximum of (instant, number).
     merged = starts.unionByName(marks, allowMissingColumns=True).groupBy("topic", "at_us").agg(F.max("_s").alias("_s"))
-    reached = running(merged, ["topic"], ["at_us"], "at_us", [Running("_level", F.col("_s"), "max")])
+    reached = running(merged, ["topic"], ["at_us"], "at_us", [Running("_level", F.col("_s"), "max")], TIME_BITS)
     at = reached.select("topic", F.col("at_us").alias("start_us"), F.col("_level.n").alias("_n"))
     return attempts.join(at, ["topic", "start_us"], "left").select(
         *attempts.columns, F.coalesce(F.col("_n") > limit, F.lit(False)).alias("used_overflow")

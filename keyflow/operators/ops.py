@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,8 @@ from pyspark.sql import types as T
 from keyflow import schema as S
 from keyflow.functions import text
 from keyflow.operators.delivery import ordered_pair
-from keyflow.operators.prefix import DEFAULT_BITS, HOT_ROWS, Running, running
+from keyflow.operators.prefix import DEFAULT_BITS, HOT_ROWS, TIME_BITS, Running, running
+from keyflow.operators.staging import small_side
 
 # Defaults and limits, in milliseconds.
 DEFAULT_BAIL_MS = 600_000
@@ -63,7 +65,7 @@ def check_bail_ms(bail_ms: int) -> int:
     return bail_ms
 
 
-def sustained_failures(fetch_log: DataFrame, bail_ms: int = DEFAULT_BAIL_MS, bits: int = DEFAULT_BITS) -> DataFrame:
+def sustained_failures(fetch_log: DataFrame, bail_ms: int = DEFAULT_BAIL_MS, bits: int = TIME_BITS) -> DataFrame:
     """Runs of failed fetches on one partition, without a success between, lasting at least ``bail_ms``.
 
     Runs are told apart by the number of successes before them, a running sum that is computed in blocks of time.
@@ -109,20 +111,20 @@ def throttle(
     Columns ``keys, time, suppressed``: how many rows until the next kept instant were dropped. Equal instants of a key are
     merged before anything moves. Time is cut into cells as wide as the interval; across an empty cell the throttle has
     always run out, so each stretch of neighbouring cells can be walked on its own, whatever its key. A walk streams
-    through sorted rows with one number of state.
+    through sorted instants and jumps from one kept instant to the next.
     """
     keys = list(keys)
     width = interval_ms * 1000
-    instants = df.groupBy(*keys, F.col(time).cast("bigint").alias("_at")).agg(F.count("*").alias("_n"))
-    instants = instants.withColumn("_cell", F.call_function("div", F.col("_at"), F.lit(width).cast("bigint")))
-    cells = instants.select(*keys, "_cell").distinct()
+    at = F.col(time).cast("bigint")
+    placed_in = df.select(*keys, at.alias("_at"), F.call_function("div", at, F.lit(width).cast("bigint")).alias("_cell"))
+    cells = placed_in.select(*keys, "_cell").distinct()
     ranked = running(
         cells, keys, ["_cell"], "_cell", [Running("_rank", F.lit(1).cast("bigint"))], bits, True, hot_rows
     )
     stretches = ranked.select(*keys, "_cell", (F.col("_cell") - F.col("_rank")).alias("_stretch"))
-    placed = instants.join(stretches, [*keys, "_cell"]).select(*keys, "_stretch", "_at", "_n")
     group = [*keys, "_stretch"]
-    ordered = placed.repartition(*group).sortWithinPartitions(*group, "_at")
+    instants = placed_in.join(small_side(stretches), [*keys, "_cell"]).groupBy(*group, "_at").agg(F.count("*").alias("_n"))
+    ordered = instants.repartition(*group).sortWithinPartitions(*group, "_at")
     key_types = {f.name: f for f in df.schema.fields}
     out_schema = T.StructType(
         [*[key_types[k] for k in keys], T.StructField(time, T.LongType()), T.StructField("suppressed", T.LongType())]
@@ -132,16 +134,25 @@ def throttle(
         current, kept, dropped = None, 0, 0
         for pdf in source:
             rows = []
-            for row in pdf.itertuples(index=False, name=None):
-                *group_key, at, n = row
-                group_key = tuple(group_key)
-                if group_key != current or at - kept >= width:
+            at = pdf["_at"].to_numpy(dtype=np.int64)
+            total = np.concatenate(([0], np.cumsum(pdf["_n"].to_numpy(dtype=np.int64))))
+            changed = (pdf[group] != pdf[group].shift()).any(axis=1).to_numpy()
+            changed[0] = True
+            edges = [*np.flatnonzero(changed), len(pdf)]
+            for begin, end in zip(edges, edges[1:], strict=False):
+                group_key = tuple(pdf[group].iloc[begin])
+                pos = begin
+                if group_key == current:
+                    pos = begin + int(np.searchsorted(at[begin:end], kept + width))
+                    dropped += int(total[pos] - total[begin])
+                while pos < end:
                     if current is not None:
                         rows.append((*current[:-1], kept, dropped))
-                    current, kept, dropped = group_key, at, n - 1
-                else:
-                    dropped += n
-            yield pd.DataFrame(rows, columns=[*keys, time, "suppressed"])
+                    current, kept = group_key, int(at[pos])
+                    after = pos + int(np.searchsorted(at[pos:end], kept + width))
+                    dropped, pos = int(total[after] - total[pos]) - 1, after
+            if rows:
+                yield pd.DataFrame(rows, columns=[*keys, time, "suppressed"])
         if current is not None:
             yield pd.DataFrame([(*current[:-1], kept, dropped)], columns=[*keys, time, "suppressed"])
 
@@ -180,7 +191,7 @@ def breaker_trips(attempts: DataFrame, limit_ms: int = DEFAULT_BREAKER_MS) -> Da
     )
 
 
-def assignment_timeline(assignments: DataFrame, bits: int = DEFAULT_BITS) -> DataFrame:
+def assignment_timeline(assignments: DataFrame, bits: int = TIME_BITS) -> DataFrame:
     """Number of assigned partitions per topic at every instant it changes."""
     changes = assignments.select(
         "topic",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyflow.functions import sharding
-from keyflow.operators.prefix import DEFAULT_BITS, HOT_ROWS, Running, running
+from keyflow.operators.prefix import DEFAULT_BITS, HOT_ROWS, TIME_BITS, Running, running
 
 KEY = ["topic", "key_str"]
 
@@ -27,6 +27,8 @@ def process_by_key(
     which does split a hot key.
     """
     ordered = df.repartition(*KEY).sortWithinPartitions(*KEY, "partition", "offset")
+    schema = T.StructType.fromDDL(out_schema) if isinstance(out_schema, str) else out_schema
+    names = schema.names
 
     def batches(source: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, state = None, initial
@@ -38,9 +40,9 @@ def process_by_key(
                     current, state = key, initial
                 state, produced = step(state, row)
                 out.append(produced)
-            yield pd.DataFrame(out)
+            yield pd.DataFrame({name: [produced[name] for produced in out] for name in names})
 
-    return ordered.mapInPandas(batches, out_schema)
+    return ordered.mapInPandas(batches, schema)
 
 
 def key_sequence(df: DataFrame, bits: int = DEFAULT_BITS, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -60,7 +62,7 @@ def key_sequence(df: DataFrame, bits: int = DEFAULT_BITS, hot_rows: int = HOT_RO
     )
 
 
-def ordering_violations(attempts: DataFrame, bits: int = DEFAULT_BITS, hot_rows: int = HOT_ROWS) -> DataFrame:
+def ordering_violations(attempts: DataFrame, bits: int = TIME_BITS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Attempts that break per-key order, compared with the previous attempt of the same key and partition by start time.
 
     ``inversion``: it has a lower offset than the previous one. ``overlap``: the previous one was not finished when it

@@ -1,8 +1,8 @@
 """Running values over long ordered groups without putting a group into one task.
 
 A log has few partitions, so ``Window.partitionBy("topic", "partition")`` would sort all of it in a handful of tasks. Here
-each group is cut into blocks of at most ``2**bits`` positions. Blocks are totalled with a partial aggregate, the totals
-are scanned in two levels (again at most ``2**bits`` rows per task), and every block gets one extra leading row that
+each group is cut into blocks of ``2**bits`` positions. Blocks are totalled with a partial aggregate, the totals
+are scanned in two levels (at most ``2**bits`` of them per task), and every block gets one extra leading row that
 carries the value reached before it. The rows themselves move once, by (group, block).
 """
 
@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 
 DEFAULT_BITS = 20
 
+# Positions that are instants in microseconds: a block is about 67 seconds. With 2**20, about a second, a quiet log would
+# have nearly as many blocks as rows; a block still cannot hold more than 2**26 different instants.
+TIME_BITS = 26
+
 # A key is split only when it has more rows than this ...
 HOT_ROWS = 1 << 20
 # ... and is among this many largest keys. Any other key holds less than one part in HOT_KEYS of all rows, so it is safe to
@@ -51,12 +55,14 @@ def running(
     bits: int = DEFAULT_BITS,
     split_only_hot: bool = False,
     hot_rows: int = HOT_ROWS,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` plus one running column per entry of ``values``, per group of ``keys`` along ``order``.
 
     ``position`` is a bigint column that never decreases along ``order`` (an offset, a time in microseconds), or several
     columns the last of which is such a bigint within equal values of the others (partition, offset). With
-    ``split_only_hot`` the groups are taken to be many and mostly short: only the hot ones are cut into blocks.
+    ``split_only_hot`` the groups are taken to be many and mostly short: only the hot ones are cut into blocks. Which these are is counted in ``hot_from``
+    when given (a cheaper table with about as many rows per group), else in ``df``.
     Rows equal in ``order`` must be made distinct by the caller, else their relative order is open.
     """
     columns = df.columns
@@ -71,7 +77,7 @@ def running(
     rows = df.withColumns({**inputs, "_b0": block(bits), "_b1": block(2 * bits)})
 
     if split_only_hot:
-        hot = F.broadcast(hot_keys(df, keys, hot_rows))
+        hot = F.broadcast(hot_keys(df if hot_from is None else hot_from, keys, hot_rows))
         to_total = rows.join(hot, keys, "inner")
         rows = rows.join(hot, keys, "left").withColumns(
             {"_b0": F.when(F.col("_hot"), F.col("_b0")), "_b1": F.when(F.col("_hot"), F.col("_b1"))}
