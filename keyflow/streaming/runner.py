@@ -7,6 +7,7 @@ replay overwrites that folder, so replays add no duplicates to the outputs.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -85,6 +86,20 @@ def run_stream(
     return writer.start()
 
 
+def stop_gracefully(query: StreamingQuery, drain_seconds: float = 20.0) -> bool:
+    """Stop between two batches, waiting up to ``drain_seconds`` for the running one.
+
+    True when the query was idle at the stop, so nothing is repeated on the next start. Otherwise the running batch is
+    abandoned uncommitted and replayed then.
+    """
+    deadline = time.monotonic() + drain_seconds
+    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < deadline:
+        time.sleep(0.05)
+    idle = not query.isActive or not query.status["isTriggerActive"]
+    query.stop()
+    return idle
+
+
 def collect_updates(df: DataFrame, path: str, checkpoint: str, mode: str = "append", drain: bool = True) -> StreamingQuery:
     """Write what a streaming DataFrame emits to ``path``, one folder per batch."""
     writer = (

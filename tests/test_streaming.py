@@ -252,6 +252,19 @@ def test_batch_replayed_after_its_outputs_were_written(spark, tmp_path, log):
     assert ok.count() + dead.count() == df.count()
 
 
+def test_graceful_stop_finishes_the_batch(spark, tmp_path, log):
+    df, path = log
+    source = records(runner.read_stream_of(spark, path, ATTEMPT_SCHEMA))
+    query = runner.run_stream(
+        source, rules, f"{tmp_path}/dead", f"{tmp_path}/checkpoint", ok=f"{tmp_path}/ok", interval="1 hour"
+    )
+    while not query.recentProgress and query.isActive:
+        time.sleep(0.1)
+    assert runner.stop_gracefully(query) and not query.isActive
+    ok, dead = spark.read.parquet(f"{tmp_path}/ok"), spark.read.parquet(f"{tmp_path}/dead")
+    assert ok.count() + dead.count() == df.count()
+
+
 def test_dead_letters_are_required(spark, log):
     with pytest.raises(ValueError):
         runner.run_stream(stream(spark, log[1], ATTEMPT_SCHEMA), rules, None, "unused")
