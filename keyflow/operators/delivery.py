@@ -168,7 +168,7 @@ def ordered_pair(major: str, minor: str) -> Column:
 
 
 def _arrival() -> Column:
-    return F.struct("read_us", "attempt_no")
+    return ordered_pair("read_us", "attempt_no")
 
 
 def flag_duplicates(attempts: DataFrame) -> DataFrame:
@@ -202,8 +202,9 @@ def dedupe_by_id(df: DataFrame, id_cols: list[str], order: list[str], seen: Data
     ``order`` must tell rows of one id apart, else which of the equal ones stays is open.
     """
     rest = [c for c in df.columns if c not in id_cols]
-    fresh = df if seen is None else df.join(seen.select(*id_cols), id_cols, "left_anti")
-    first = fresh.groupBy(*id_cols).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_r"))
+    first = df.groupBy(*id_cols).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_r"))
+    if seen is not None:
+        first = first.join(seen.select(*id_cols), id_cols, "left_anti")
     return first.select(*id_cols, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*df.columns)
 
 

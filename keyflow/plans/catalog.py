@@ -12,6 +12,7 @@ from keyflow.functions import envelope as E
 from keyflow.functions import sharding, text, traits
 from keyflow.operators import bandwidth, delivery, metrics, ops, ordering, snapshot
 from keyflow.operators import process as P
+from keyflow.operators.staging import stage
 from keyflow.plans import fixtures as fx
 from keyflow.session import prepare
 from keyflow.sources import sinks, tables
@@ -174,7 +175,8 @@ def format_duration(spark, sf_dir):
 def parse_duration(spark, sf_dir):
     rows = fx.attempts(spark, sf_dir)
     spent = F.col("done_us") - F.col("start_us")
-    return rows.select("offset", text.parse_duration(text.format_duration(spent)).alias("spent_us"))
+    shown = rows.select("offset", text.format_duration(spent).alias("shown"))
+    return shown.select("offset", text.parse_duration("shown").alias("spent_us"))
 
 
 @query
@@ -547,7 +549,12 @@ def shards(spark, sf_dir):
 
 @query
 def snapshot_json(spark, sf_dir):
-    return snapshot.snapshot_json(fx.deliveries(spark, sf_dir), fx.assignments(spark, sf_dir), fx.STOP_US, **WINDOW)
+    # Every section reads the attempts, so they are derived once.
+    attempts = stage(
+        fx.deliveries(spark, sf_dir).select(*S.COORDINATES, "key_str", "read_us", "start_us", "done_us", "outcome")
+    )
+    assignments = stage(fx.assignments(spark, sf_dir))
+    return snapshot.snapshot_json(attempts, assignments, fx.STOP_US, **WINDOW)
 
 
 @query

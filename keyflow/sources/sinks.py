@@ -20,11 +20,14 @@ def content_key(*columns: Column | str) -> Column:
 
 
 def insert_if_absent(new: DataFrame, target: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Rows of ``new`` to append to ``target``: the first per key in ``order``, for keys the target does not have."""
+    """Rows of ``new`` to append to ``target``: the first per key in ``order``, for keys the target does not have.
+
+    Reduced to one row per key first, so that a key repeated very often does not weigh on the join.
+    """
     rest = [c for c in new.columns if c not in keys]
-    fresh = new.join(target.select(*keys), list(keys), "left_anti")
-    first = fresh.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_r"))
-    return first.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*new.columns)
+    first = new.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_r"))
+    fresh = first.join(target.select(*keys), list(keys), "left_anti")
+    return fresh.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*new.columns)
 
 
 def upsert_latest(new: DataFrame, target: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
