@@ -985,3 +985,42 @@ SELECT {_LABELS}, {_COUNTERS} FROM packets WHERE traits & 16 = 0 GROUP BY topic,
 )
 sql("drop_redeliveries_stream", "records", 'SELECT topic, part AS "partition", off AS "offset", key_str FROM records')
 sql("throttle_stream", "", QUERIES["throttle"][1].replace("k.at_us, count(*) - 1 AS suppressed", "k.at_us"))
+
+
+# ---- the snapshot document: the sections above as text -------------------------------------------------------------
+
+
+def _document() -> str:
+    begin = STOP_US - 15 * _WIDTH
+
+    def moved(name: str) -> str:
+        """Text of a window query for the window that ends at the stop."""
+        return QUERIES[name][1].replace(str(_BEGIN), str(begin)).replace(str(END_US), str(STOP_US))
+
+    latency_tables, latency = moved("window_latency").split("\nSELECT (SELECT", 1)
+    offsets = QUERIES["partition_offsets"][1].rsplit("\nSELECT", 1)
+    summary_rows = QUERIES["summary"][1].split("\nSELECT", 1)[1]
+    active = _ACTIVE.replace("FROM attempts", "FROM deliveries")
+    window = """'{"fromTime":"' || from_time || '","toTime":"' || to_time || '","processedCount":' || processed_count
+      || ',"deadLetterCount":' || dead_letter_count || '}'"""
+    partition = """'{"partition":' || "partition" || ',"committedOffset":' || committed_offset || ',"highestReadyOffset":' || highest_ready_offset
+      || ',"maxOffsetSeen":' || max_offset_seen || ',"gapBufferDepth":' || gap_buffer_depth || ',"assigned":' || assigned || '}'"""
+    return f"""
+{offsets[0]}
+{latency_tables},
+po AS (SELECT{offsets[1]}), su AS (SELECT{summary_rows}), la AS (SELECT (SELECT{latency}), tw AS ({moved("throughput_windows")}),
+sh AS ({QUERIES["shards"][1].replace(_ACTIVE, active)}), ac AS (SELECT count(*) AS n FROM ({active}))
+SELECT '{{"summary":{{"topicName":"' || topic_name || '","assignedPartitionCount":' || assigned_partition_count || ',"totalProcessed":' || total_processed
+  || ',"lastRebalanceTime":"' || last_rebalance_time || '"}},"throughput":{{"windows":[' || (SELECT string_agg({window}, ',' ORDER BY bucket) FROM tw)
+  || '],"totalProcessed":' || total_processed || ',"totalDeadLettered":' || total_dead_lettered
+  || ',"avgProcessDuration":"' || {_duration("avg_process_us")} || '","maxProcessDuration":"' || {_duration("max_process_us")}
+  || '","avgEndToEndDuration":"' || {_duration("avg_end_to_end_us")} || '","maxEndToEndDuration":"' || {_duration("max_end_to_end_us")}
+  || '","minEndToEndDuration":"' || {_duration("min_end_to_end_us")} || '"}},"preCommits":{{"partitions":['
+  || (SELECT string_agg({partition}, ',' ORDER BY "partition") FROM po) || ']}},"concurrency":{{"guardActive":' || (SELECT least(n, 250) FROM ac)
+  || ',"guardCapacity":250,"overflowActive":' || (SELECT greatest(n - 250, 0) FROM ac)
+  || ',"overflowCapacity":0,"commitIngestActive":0,"commitIngestCapacity":0}},"shards":['
+  || (SELECT string_agg('{{"shard":' || shard || ',"activeWorkers":' || active_workers || ',"pooledWorkers":0}}', ',' ORDER BY shard) FROM sh) || ']}}' AS doc
+FROM su, la"""
+
+
+sql("snapshot_json", "deliveries assignments", _document())
