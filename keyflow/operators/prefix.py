@@ -41,9 +41,12 @@ class Running:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS, limit: int = HOT_KEYS) -> DataFrame:
-    """Keys with more than ``rows`` rows, the ``limit`` largest of them. Counting happens before the shuffle."""
+    """Keys with more than ``rows`` rows, the ``limit`` largest of them. Counting happens before the shuffle.
+
+    Ties are settled by the key, so that the list is the same however often it is computed.
+    """
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows)
-    return counts.orderBy(F.col("_n").desc()).limit(limit).select(*keys, F.lit(True).alias("_hot"))
+    return counts.orderBy(F.col("_n").desc(), *keys).limit(limit).select(*keys, F.lit(True).alias("_hot"))
 
 
 def running(
