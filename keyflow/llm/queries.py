@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.llm import packing, pieces, substring
+from keyflow.llm import jaccard, packing, pieces, substring
 from keyflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,12 @@ def op2_substring_dedup(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
+@query
+def op5_ngram_jaccard_join(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return jaccard.similar(docs, 5, 80).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op8_sentencepiece(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
