@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.llm import jaccard, packing, pieces, substring
+from keyflow.llm import jaccard, packing, pieces, rules, sharding, substring, topk
 from keyflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,12 +33,37 @@ def op2_substring_dedup(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
+@query
+def op4_kd_tree_sharding(spark, sf_dir):
+    out = sharding.shard_documents(table(spark, sf_dir, "documents"), 8)
+    return out.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 @query
 def op5_ngram_jaccard_join(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return jaccard.similar(docs, 5, 80).select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op6_exact_topk(spark, sf_dir):
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
+ORACLE_SQL["op6_exact_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
+
+
 @query
 def op8_sentencepiece(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -46,3 +71,8 @@ def op8_sentencepiece(spark, sf_dir):
     return coded.select(
         "doc_id", "n_tokens", "ids_sha256", F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"), "n_differing"
     )
+
+
+@query
+def op9_quality_rules(spark, sf_dir):
+    return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
