@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.llm import jaccard, packing, pieces, rules, sharding, substring, topk
-from keyflow.llm.common import table
+from keyflow.llm import jaccard, langid, packing, pieces, quality, rules, sharding, substring, topk, toxicity
+from keyflow.llm.common import crc_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -33,6 +33,16 @@ def op2_substring_dedup(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
+@query
+def op3_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id", (crc_bucket("doc_id", 3) == 1).alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op4_kd_tree_sharding(spark, sf_dir):
     out = sharding.shard_documents(table(spark, sf_dir, "documents"), 8)
@@ -64,6 +74,16 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY scor
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
 
 
+@query
+def op7_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = quality.classify(docs)
+    return out.select(
+        "doc_id", F.col("quality_score").alias("score"), "weak_label", F.col("quality_kept").cast("int").alias("predicted"),
+        F.col("quality_kept").alias("kept"),
+    )
+
+
 @query
 def op8_sentencepiece(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -76,3 +96,9 @@ def op8_sentencepiece(spark, sf_dir):
 @query
 def op9_quality_rules(spark, sf_dir):
     return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_language_id(spark, sf_dir):
+    out = langid.identify(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", (crc_bucket("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
