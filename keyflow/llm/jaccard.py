@@ -246,6 +246,25 @@ def similar(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "d
     sets_of = nodes.groupBy("signature").agg(F.min("node").alias("node")).join(firsts, "signature").join(found, "node", "left")
     sets_of = stage(sets_of.withColumn("component", F.coalesce("component", "node")))
     smallest = sets_of.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = sets_of.join(smallest, "component").select("signature", "component_id")
+    named = sets_of.join(smallest, "component").select("signature", "component", "component_id")
     out = known.join(small_side(named), "signature", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "text_key")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "text_key", "component")
+
+
+def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest identifier. Rows without words all stay."""
+    judged = stage(similar(docs, width, percent, doc_id, text).select("doc_id", "text_key", "component", "n_shingles"))
+    kept = judged.filter("n_shingles > 0").groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("_k"), F.count("*").alias("_n"))
+    rows = docs.withColumn("_text_key", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
+    # How many rows are equal to the kept one in identifier and text.
+    names = kept.select(F.col("_k.doc_id").alias("_id"), F.col("_k.text_key").alias("_key"))
+    twins = judged.join(names, judged["doc_id"].eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left_semi")
+    twins = twins.groupBy("doc_id", "text_key").agg(F.count("*").alias("_n")).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_n")
+    chosen = rows.join(small_side(twins), same)
+    single = chosen.filter("_n = 1")
+    double = chosen.filter("_n > 1").dropDuplicates(["_id", "_key"])
+    wordless = judged.filter("n_shingles = 0").select("text_key").distinct().select(F.col("text_key").alias("_key"))
+    empty = rows.join(small_side(wordless), F.col("_text_key") == F.col("_key"), "left_semi")
+    out = single.select(*docs.columns).unionByName(double.select(*docs.columns)).unionByName(empty.select(*docs.columns))
+    return out

@@ -28,6 +28,21 @@ FIT_ROWS, FIT_BYTES = 1_500, 16_384
 STEPS, RATE, RIDGE = 150, 0.05, 1e-5
 KEPT_FROM = 0.5
 SYMBOLS = re.compile(r"[#*$%&|<>]")
+RUNS = re.compile(r"([^\w\s])\1")
+
+
+_CLASSES: list[np.ndarray] = []
+
+
+def classes(text: str) -> tuple[int, int, int]:
+    """How many characters are upper case, letters, and letters or digits."""
+    if not _CLASSES:
+        every = list(map(chr, range(0x110000)))
+        bits = [np.fromiter(map(test, every), bool, len(every)) for test in (str.isupper, str.isalpha, str.isalnum)]
+        _CLASSES.append((bits[0] + 2 * bits[1] + 4 * bits[2]).astype(np.uint8))
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    found = np.bincount(_CLASSES[0][points], minlength=8)
+    return tuple(int(sum(n for k, n in enumerate(found) if k & bit)) for bit in (1, 2, 4))
 
 
 def votes(text: str) -> list[int]:
@@ -35,8 +50,8 @@ def votes(text: str) -> list[int]:
     words = text.split()
     n, chars = len(words), max(1, sum(map(len, words)))
     lines = [line for line in text.split("\n") if line.strip()]
-    upper = sum(map(str.isupper, text))
-    letters = max(1, sum(map(str.isalpha, text)))
+    upper, letters, alnum = classes(text)
+    letters = max(1, letters)
     unique = len(set(words)) / max(1, n)
     odd = sum(1 for w in words if len(w) == 1 and not w.isalnum()) / max(1, n)
     closed = sum(1 for line in lines if line.rstrip()[-1] in ".!?\"'”)") / max(1, len(lines))
@@ -45,15 +60,20 @@ def votes(text: str) -> list[int]:
         """Good up to one bound, bad from another."""
         return GOOD if value <= good else BAD if value >= bad else NONE
 
+    signs = chars - alnum
+    common = sum(k for _, k in Counter(words).most_common(5)) / max(1, n)
     return [
-        side(-n, -50, -15),
+        side(-n, -3, -2),
         side(len(SYMBOLS.findall(text)) / chars, 0.01, 0.04),
         side(upper / letters, 0.2, 0.5),
         side(1 - len(set(lines)) / max(1, len(lines)), 0.1, 0.4),
-        side(-unique, -0.4, -0.2) if n >= 50 else NONE,
-        side(-closed, -0.6, -0.1),
+        side(-unique, -0.4, -0.25) if n >= 50 else NONE,
+        side(-closed, -0.6, -0.1) if n >= 50 else NONE,
         side(text.count("!") / max(1, n), 0.05, 0.3),
         side(odd, 0.02, 0.15),
+        side(len(RUNS.findall(text)) / max(1, n), 0.02, 0.2),
+        side(signs / chars, 0.1, 0.18),
+        side(common, 0.25, 0.4) if n >= 50 else NONE,
     ]
 
 
@@ -66,9 +86,10 @@ def estimate(patterns: dict[tuple[int, ...], int], rounds: int = 100) -> tuple[f
     counts = np.array([patterns[k] for k in keys], float)
     votes_ = np.array(keys)
     good, bad = (votes_ == GOOD).sum(1), (votes_ == BAD).sum(1)
-    q = (good + 3.0) / (good + bad + 4.0)
-    q = np.where(bad >= 2, np.minimum(q, 0.3), q)
+    # To begin with, one bad vote is a suspicion and two are a verdict.
+    q = np.select([bad >= 2, bad == 1], [0.1, 0.5], np.where(good > 0, 0.97, 0.7))
     onehot = np.eye(3)[votes_]
+    onehot[:, :, NONE] = 0  # no vote says nothing
     prior, tables = 0.8, None
     for _ in range(rounds):
         weight = np.stack([(1 - q) * counts, q * counts])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,3 +103,8 @@ def op9_quality_rules(spark, sf_dir):
 def op10_language_id(spark, sf_dir):
     out = langid.identify(table(spark, sf_dir, "documents"))
     return out.select("doc_id", (crc_bucket("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
