@@ -9,7 +9,7 @@
 4. Index-level skipping. What is left in a list, nodes of different pivots, is sorted by set size and cut into blocks of sizes; a node looks
    only into blocks whose sizes can reach the similarity, and there skips entries whose positions leave too few shingles. A pair whose distances to
    a common pivot differ by more than the threshold is skipped too: the Jaccard distance is a metric.
-5. The remaining pairs are compared exactly, and links become components by label propagation in the cluster.
+5. Pairs are compared on a quarter of their sets first, which bounds what the whole can reach, and then exactly. Links become components by label propagation in the cluster.
 
 A shingle is a 64-bit Rabin-Karp hash of its words; two different ones of a pair are taken for equal with a probability of about n * n / 2**64.
 
@@ -130,38 +130,46 @@ def prefixes(docs: DataFrame, width: int, percent: int, late: np.ndarray) -> Dat
     return map_arrow(docs, run, f"doc_id {kind}, text_key bigint, signature binary, n bigint, prefix array<bigint>")
 
 
-def whole_sets(docs: DataFrame, width: int) -> DataFrame:
-    """The sets themselves, of documents that were found to need a comparison."""
+def sets_of_nodes(rows: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int, part: int) -> DataFrame:
+    """``node, n, members`` of the wanted nodes: the share ``1 / part`` of the set with the least hashes (1: the whole set)."""
+    names = wanted.select("node").distinct().join(nodes.select("node", "doc_id", "text_key"), "node")
+    names = small_side(names.select("node", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")))
+    found = rows.join(names, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")))
+    limit = np.uint64(2**64 // part - 1)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingles(t, width) for t in texts(batch)]
-        return pa.RecordBatch.from_arrays([batch.column("node"), lists([s.view(np.int64) for s in sets], pa.int64())], ["node", "members"])
+        parts = [s[: np.searchsorted(s, limit, side="right")].view(np.int64) for s in sets]
+        return pa.RecordBatch.from_arrays([batch.column("node"), pa.array(map(len, sets), pa.int64()), lists(parts, pa.int64())], ["node", "n", "members"])
 
-    return map_arrow(docs.select("node", "text"), run, "node bigint, members array<bigint>")
+    return stage(map_arrow(found.select("node", "text"), run, "node bigint, n bigint, members array<bigint>"))
 
 
-def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b`` plus the number of shingles in common and in either set.
+def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` that can reach the similarity, with ``common`` and ``either``: how many shingles are in both and in either set.
 
-    The sets of ``a`` travel to the pairs' other side; a node with very many pairs is an ordinary skewed join key.
+    Where ``sets`` holds only a part of each set, what is missing is taken to agree as far as the sizes allow, so no pair
+    that links is lost; with whole sets the answer is exact. The parts of ``a`` travel to the pairs' other side; a node with very many pairs is an ordinary skewed join key.
     """
-    left = small_side(pairs.select("a", "b"))
-    first = sets.select(F.col("node").alias("a"), F.col("members").alias("first")).join(left, "a")
-    both = first.join(sets.select(F.col("node").alias("b"), F.col("members").alias("second")), "b").select("a", "b", "first", "second")
+    pairs = stage(pairs.select("a", "b"))
+    first = sets.select(F.col("node").alias("a"), "n", F.col("members").alias("first")).join(small_side(pairs), "a")
+    second = sets.join(small_side(pairs.select(F.col("b").alias("node")).distinct()), "node", "left_semi")
+    second = second.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("members").alias("second"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        common, union = [], []
+        common = []
         one, two = batch.column("first"), batch.column("second")
+        n, m = batch.column("n").to_numpy(), batch.column("m").to_numpy()
         for i in range(batch.num_rows):
-            x, y = (np.asarray(c[i].values.to_numpy(zero_copy_only=False)).view(np.uint64) for c in (one, two))
+            x, y = (np.asarray(c[i].values.to_numpy(zero_copy_only=False)) for c in (one, two))
             same = len(np.intersect1d(x, y, assume_unique=True))
-            common.append(same)
-            union.append(len(x) + len(y) - same)
-        return pa.RecordBatch.from_arrays(
-            [batch.column("a"), batch.column("b"), pa.array(common, pa.int64()), pa.array(union, pa.int64())], ["a", "b", "common", "either"]
-        )
+            common.append(same + min(n[i] - len(x), m[i] - len(y)))
+        common = np.array(common, np.int64)
+        fits = pa.array((100 + percent) * common >= percent * (n + m))
+        out = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(common), pa.array(n + m - common)], ["a", "b", "common", "either"])
+        return out.filter(fits)
 
-    return stage(map_arrow(both, run, "a bigint, b bigint, common bigint, either bigint"))
+    return stage(map_arrow(first.join(second, "b").select("a", "b", "n", "m", "first", "second"), run, "a bigint, b bigint, common bigint, either bigint"))
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -198,21 +206,29 @@ def similar(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "d
     nodes = stage(prefixes(singles, width, percent, late).withColumn("node", F.monotonically_increasing_id()))
 
     # Index lists: shingles that more than one node has in its prefix.
+    # Size and position travel as one number.
     entries = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "shingle"))
-    lists_ = entries.groupBy("shingle").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")).filter("pivot < _last")
-    index = stage(entries.join(lists_.select("shingle", "pivot"), "shingle"))
+    entries = entries.select("shingle", "node", (F.shiftleft(F.col("n"), 31) + F.col("pos")).alias("_np"))
+    shared = nodes.select(F.explode("prefix").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("_k")).filter("_k > 1")
+    listed = stage(entries.join(shared.select("shingle"), "shingle"))
+    listed = listed.select("shingle", "node", F.shiftright("_np", 31).alias("n"), (F.col("_np") % (1 << 31)).cast("int").alias("pos"))
+    index = stage(listed.join(listed.groupBy("shingle").agg(F.min("node").alias("pivot")), "shingle"))
 
     # Every list's nodes against its pivot.
     pivots = nodes.select(F.col("node").alias("pivot"), F.col("n").alias("m"))
     near_size = f"100 * least(n, m) >= {percent} * greatest(n, m)"
     asked = index.filter("node <> pivot").select("node", "pivot", "n").distinct()
     to_pivot = stage(asked.join(pivots, "pivot").filter(near_size).select(F.col("node").alias("a"), F.col("pivot").alias("b")))
-    involved = index.select("node").distinct().join(nodes.select("node", "doc_id", "text_key"), "node")
-    wanted = small_side(involved.select("node", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")))
-    sets = stage(whole_sets(rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))), width))
-    met = compare(to_pivot, sets)
-    enough = f"100 * common >= {percent} * either"
-    linked = met.filter(enough).select("a", "b")
+    # A quarter of each set rules most pairs out; whole sets are made for the rest.
+    some = sets_of_nodes(rows, nodes, index, width, 4)
+
+    def exactly(pairs: DataFrame) -> DataFrame:
+        close = compare(pairs, some, percent).select("a", "b")
+        both = close.select(F.col("a").alias("node")).unionByName(close.select(F.col("b").alias("node")))
+        return compare(close, sets_of_nodes(rows, nodes, both, width, 1), percent)
+
+    met = exactly(to_pivot)
+    linked = met.select("a", "b")
 
     # What is left: nodes of one list that have different homes.
     home = linked.groupBy("a").agg(F.min("b").alias("home")).withColumnRenamed("a", "node")
@@ -237,7 +253,7 @@ def similar(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "d
         AND {100 + percent} * (1 + least(n - pos - 1, m - at - 1)) >= {percent} * (n + m)
         AND coalesce(abs(distance - far), 0) <= {1 - percent / 100} + 1e-9"""
     rest = small.join(large, ["shingle", "block"]).filter(within).select("a", "b").distinct()
-    more = compare(stage(rest), sets).filter(enough).select("a", "b")
+    more = exactly(rest).select("a", "b")
     same = nodes.groupBy("signature").agg(F.min("node").alias("a"), F.max("node").alias("_last"), F.collect_set("node").alias("_all"))
     same = same.filter("a < _last").select("a", F.explode("_all").alias("b")).filter("a < b")
     found = components(nodes, linked.unionByName(more).unionByName(same))
