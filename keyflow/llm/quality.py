@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import map_arrow, stage, texts
+from keyflow.llm.common import map_arrow, small_side, stage, texts
 
 GOOD, BAD, NONE = 1, 0, 2
 FEATURE_BITS = 16
@@ -145,34 +145,29 @@ def classify(docs: DataFrame, text: str = "text") -> DataFrame:
     body = names[text]
 
     def vote(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = Counter(int("".join(map(str, votes(t))), 3) for t in texts(batch, body))
-        return pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], ["pattern", "n"])
-
-    counted = map_arrow(rows.select(body), vote, "pattern bigint, n bigint").groupBy("pattern").agg(F.sum("n").alias("n"))
-    patterns = {}
-    for r in counted.collect():  # at most 3 ** LABELLERS rows
-        digits = np.base_repr(r["pattern"], 3).zfill(LABELLERS)
-        patterns[tuple(map(int, digits))] = r["n"]
+        found = [int("".join(map(str, votes(t))), 3) for t in texts(batch, body)]
+        return pa.RecordBatch.from_arrays([batch.column("key"), batch.column("size"), pa.array(found, pa.int64())], ["key", "size", "pattern"])
+
+    value = F.coalesce(F.col(body), F.lit(""))
+    keyed = rows.select(F.xxhash64(value).alias("key"), F.octet_length(value).cast("bigint").alias("size"), body)
+    # A few numbers per text.
+    voted = stage(map_arrow(keyed, vote, "key bigint, size bigint, pattern bigint"))
+    patterns, numbers = {}, {}
+    for r in voted.groupBy("pattern").count().collect():  # at most 3 ** LABELLERS rows
+        pattern = tuple(map(int, np.base_repr(r["pattern"], 3).zfill(LABELLERS)))
+        patterns[pattern], numbers[pattern] = r["count"], r["pattern"]
     if not patterns:
         return docs.withColumns({"quality_score": F.lit(1.0), "weak_label": F.lit(1.0), "quality_kept": F.lit(True)})
     _, _, posterior = estimate(patterns)
 
-    # Texts by hash, as many from either side of the posterior.
-    def side(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([batch.column("text"), pa.array([posterior.get(tuple(votes(t)), 0.5) for t in texts(batch)])], ["text", "p"])
-
-    short = rows.select(F.coalesce(F.col(body), F.lit("")).alias("text")).filter(F.octet_length("text") <= FIT_BYTES)
-    # A fixed share of the texts is looked at by its hash, large enough for both sides; the count sets the share.
-    n = sum(patterns.values())
-    share = max(1, n // (40 * FIT_ROWS))
-    candidates = short.filter(F.pmod(F.xxhash64("text"), F.lit(share)) == 0).distinct()
-    judged = stage(map_arrow(candidates, side, "text string, p double"))
-    sample = []
-    for condition in ("p >= 0.5", "p < 0.5"):
-        found = judged.filter(condition).orderBy(F.xxhash64("text", F.lit(1)), "text").limit(FIT_ROWS).toArrow()
-        sample += list(zip(found.column("text").to_pylist(), found.column("p").to_pylist()))
-    if not sample:
-        sample = [("", next(iter(posterior.values())))]
+    # As many texts from either side of the posterior, by a hash of their key.
+    known = docs.sparkSession.createDataFrame([(numbers[k], float(p)) for k, p in posterior.items()], "pattern bigint, p double")
+    judged = voted.filter(F.col("size") <= FIT_BYTES).join(small_side(known), "pattern").select("key", "p").dropDuplicates(["key"])
+    sides = [judged.filter(c).orderBy(F.xxhash64("key"), "key").limit(FIT_ROWS) for c in ("p >= 0.5", "p < 0.5")]
+    chosen = small_side(sides[0].unionByName(sides[1]))
+    found = keyed.join(chosen, "key").groupBy("key").agg(F.any_value(F.coalesce(F.col(body), F.lit(""))).alias("text"), F.any_value("p").alias("p"))
+    found = found.orderBy("key").toArrow()
+    sample = list(zip(found.column("text").to_pylist(), found.column("p").to_pylist())) or [("", next(iter(posterior.values())))]
     shared = docs.sparkSession.sparkContext.broadcast((fit(sample).astype(np.float32), posterior))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
