@@ -93,9 +93,11 @@ def parse_duration(text: Column | str) -> Column:
     numbers, units = (F.regexp_extract_all(body, part, F.lit(group)) for group in (1, 2))
     unit_ns = F.create_map(*[F.lit(x) for pair in DURATION_UNITS.items() for x in pair])
     nanos = F.zip_with(
-        numbers, units, lambda n, u: (n.cast("decimal(20,9)") * F.element_at(unit_ns, u)).cast("decimal(38,0)")
+        numbers, units, lambda n, u: (n.try_cast("decimal(24,9)") * F.element_at(unit_ns, u).cast("decimal(13,0)")).cast("decimal(38,0)")
     )
     total = F.aggregate(nanos, F.lit(0).cast("decimal(38,0)"), lambda acc, n: (acc + n).cast("decimal(38,0)"))
-    micros = F.call_function("div", total, F.lit(1000)).cast("bigint")
+    # Beyond 64 bits, or with longer numbers than any duration has, the text is not a duration.
+    most = F.lit(str((2**63 - 1) * 1000)).cast("decimal(38,0)")
+    micros = F.when(total <= most, F.call_function("div", total, F.lit(1000)).cast("bigint"))
     signed = F.when(s.startswith("-"), -micros).otherwise(micros)
     return F.when(body == "0", F.lit(0).cast("bigint")).when(body.rlike(f"^({_NUMBER}{_UNIT})+$"), signed)

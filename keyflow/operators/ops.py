@@ -70,6 +70,11 @@ def sustained_failures(fetch_log: DataFrame, bail_ms: int = DEFAULT_BAIL_MS, bit
 
     Runs are told apart by the number of successes before them, a running sum that is computed in blocks of time.
     """
+    if check_bail_ms(bail_ms) == 0:
+        kinds = dict(fetch_log.dtypes)
+        names = "".join(f"{c} {kinds[c]}, " for c in S.PARTITION)
+        schema = f"{names}run_id bigint, first_us bigint, last_us bigint, failures bigint, err {kinds['err']}, reason string"
+        return fetch_log.sparkSession.createDataFrame([], schema)
     ok = F.when(F.col("ok"), 1).otherwise(0).cast("bigint")
     numbered = running(fetch_log, S.PARTITION, ["at_us", "seq"], "at_us", [Running("_run", ok)], bits)
     runs = (
@@ -82,8 +87,6 @@ def sustained_failures(fetch_log: DataFrame, bail_ms: int = DEFAULT_BAIL_MS, bit
             F.max_by("err", F.struct("at_us", "seq")).alias("err"),
         )
     )
-    if check_bail_ms(bail_ms) == 0:
-        return runs.limit(0).withColumn("reason", F.lit(""))
     lasted = text.format_duration(F.lit(bail_ms * 1000).cast("bigint"))
     reason = F.concat(
         F.lit("partition "),
@@ -123,7 +126,11 @@ def throttle(
     )
     stretches = ranked.select(*keys, "_cell", (F.col("_cell") - F.col("_rank")).alias("_stretch"))
     group = [*keys, "_stretch"]
-    instants = placed_in.join(small_side(stretches), [*keys, "_cell"]).groupBy(*group, "_at").agg(F.count("*").alias("_n"))
+    # Null keys are keys too.
+    p, s = placed_in.alias("p"), small_side(stretches).alias("s")
+    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"s.{c}")) for c in [*keys, "_cell"]]
+    joined = p.join(s, same).select("p.*", "s._stretch")
+    instants = joined.groupBy(*group, "_at").agg(F.count("*").alias("_n"))
     ordered = instants.repartition(*group).sortWithinPartitions(*group, "_at")
     key_types = {f.name: f for f in df.schema.fields}
     out_schema = T.StructType(
@@ -136,11 +143,12 @@ def throttle(
             rows = []
             at = pdf["_at"].to_numpy(dtype=np.int64)
             total = np.concatenate(([0], np.cumsum(pdf["_n"].to_numpy(dtype=np.int64))))
-            changed = (pdf[group] != pdf[group].shift()).any(axis=1).to_numpy()
+            before = pdf[group].shift()
+            changed = ((pdf[group] != before) & ~(pdf[group].isna() & before.isna())).any(axis=1).to_numpy()
             changed[0] = True
             edges = [*np.flatnonzero(changed), len(pdf)]
             for begin, end in zip(edges, edges[1:], strict=False):
-                group_key = tuple(pdf[group].iloc[begin])
+                group_key = tuple(None if pd.isna(v) else v for v in pdf[group].iloc[begin])
                 pos = begin
                 if group_key == current:
                     pos = begin + int(np.searchsorted(at[begin:end], kept + width))

@@ -14,17 +14,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from keyflow.operators.staging import small_side
+
 DEFAULT_BITS = 20
 
 # Positions that are instants in microseconds: a block is about 67 seconds. With 2**20, about a second, a quiet log would
 # have nearly as many blocks as rows; a block still cannot hold more than 2**26 different instants.
 TIME_BITS = 26
 
-# A key is split only when it has more rows than this ...
+# A key is split only when it has more rows than this, so there are at most rows / HOT_ROWS such keys. Their list is staged and
+# broadcast if it is small by its bytes, else joined by a shuffle.
 HOT_ROWS = 1 << 20
-# ... and is among this many largest keys. Any other key holds less than one part in HOT_KEYS of all rows, so it is safe to
-# keep whole, and the list of keys to split is small enough to broadcast whatever the size of the data.
-HOT_KEYS = 10_000
 
 
 @dataclass(frozen=True)
@@ -40,13 +40,10 @@ class Running:
         return F.sum(column) if self.combine == "sum" else F.max(column)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS, limit: int = HOT_KEYS) -> DataFrame:
-    """Keys with more than ``rows`` rows, the ``limit`` largest of them. Counting happens before the shuffle.
-
-    Ties are settled by the key, so that the list is the same however often it is computed.
-    """
+def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS) -> DataFrame:
+    """All keys with more than ``rows`` rows. Counting happens before the shuffle."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows)
-    return counts.orderBy(F.col("_n").desc(), *keys).limit(limit).select(*keys, F.lit(True).alias("_hot"))
+    return counts.select(*keys, F.lit(True).alias("_hot"))
 
 
 def running(
@@ -80,7 +77,7 @@ def running(
     rows = df.withColumns({**inputs, "_b0": block(bits), "_b1": block(2 * bits)})
 
     if split_only_hot:
-        hot = F.broadcast(hot_keys(df if hot_from is None else hot_from, keys, hot_rows))
+        hot = small_side(hot_keys(df if hot_from is None else hot_from, keys, hot_rows))
         to_total = rows.join(hot, keys, "inner")
         rows = rows.join(hot, keys, "left").withColumns(
             {"_b0": F.when(F.col("_hot"), F.col("_b0")), "_b1": F.when(F.col("_hot"), F.col("_b1"))}

@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 # Settings every operator relies on for right results.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
 }
 
 # Settings that matter for speed; a cluster may override any of them.

@@ -47,6 +47,20 @@ OWN_OPTIONS = {
 }
 
 
+# Names of the Kafka client.
+LOGIN_MODULES = {
+    "PLAIN": "org.apache.kafka.common.security.plain.PlainLoginModule",
+    "SCRAM-SHA-256": "org.apache.kafka.common.security.scram.ScramLoginModule",
+    "SCRAM-SHA-512": "org.apache.kafka.common.security.scram.ScramLoginModule",
+}
+SECURITY_SWITCHES = {"enable.ssl.certificate.verification"}
+SECURITY_SAME = {
+    "security.protocol", "sasl.jaas.config", "sasl.kerberos.service.name", "sasl.client.callback.handler.class", "ssl.key.password",
+    "ssl.endpoint.identification.algorithm", "ssl.cipher.suites", "ssl.enabled.protocols", "ssl.protocol", "ssl.provider",
+}
+SECURITY_SAME_PREFIXES = ("ssl.keystore.", "ssl.truststore.", "sasl.login.", "sasl.oauthbearer.")
+
+
 class OptionError(ValueError):
     """A client option that cannot be used."""
 
@@ -78,6 +92,8 @@ def starting_offsets(reset: str = "latest", topic: str | None = None, committed:
         raise OptionError(f"auto.offset.reset must be earliest or latest, got {reset!r}")
     if not committed:
         return reset
+    if not topic:
+        raise OptionError("committed offsets need the topic they belong to")
     edge = -2 if reset == "earliest" else -1
     return json.dumps({topic: {str(p): (o + 1 if o >= 0 else edge) for p, o in sorted(committed.items())}})
 
@@ -89,6 +105,7 @@ def reader_options(
     if not topic or not brokers or not group:
         raise OptionError("topic, brokers and group must all be set")
     given = merge_options(options)
+    security: dict[str, str] = {}
     out = {
         "subscribe": topic,
         "kafka.bootstrap.servers": brokers,
@@ -122,13 +139,50 @@ def reader_options(
             if not value.strip():
                 raise OptionError(f"{key} must not be blank")
             out[f"kafka.{key}"] = value
-        elif key.startswith(SECURITY_PREFIXES):
-            out["kafka.sasl.mechanism" if key == "sasl.mechanisms" else f"kafka.{key}"] = value
+        elif key.startswith(SECURITY_PREFIXES) or key in SECURITY_SWITCHES:
+            security[key] = value
         else:
             supported = sorted([*PASSED_THROUGH, *WITHOUT_EFFECT, *OWN_OPTIONS, "auto.offset.reset", "isolation.level"])
-            raise OptionError(
-                f"option {key!r} is not supported (supported: {', '.join(supported)}, and security options)"
-            )
+            raise OptionError(f"{key!r} is no option of this source; known are {', '.join(supported)} and the security options")
+    return out | security_options(security)
+
+
+def quoted(value: str) -> str:
+    """A value inside a JAAS line."""
+    return '"' + value.replace("\\", "\\\\").replace('"', '\\"') + '"'
+
+
+def security_options(given: Mapping[str, str]) -> dict[str, str]:
+    """Login and encryption settings in the names that the JVM client knows. What it has no counterpart for is refused by name."""
+    rest = dict(given)
+    out = {}
+    mechanism = rest.pop("sasl.mechanisms", None) or rest.pop("sasl.mechanism", None)
+    rest.pop("sasl.mechanism", None)
+    if mechanism:
+        out["kafka.sasl.mechanism"] = mechanism
+    user, password = rest.pop("sasl.username", None), rest.pop("sasl.password", None)
+    if (user is None) != (password is None):
+        raise OptionError("sasl.username and sasl.password belong together")
+    if user is not None:
+        module = LOGIN_MODULES.get((mechanism or "").upper())
+        if module is None:
+            raise OptionError(f"sasl.username needs one of the mechanisms {', '.join(LOGIN_MODULES)}")
+        out["kafka.sasl.jaas.config"] = f"{module} required username={quoted(user)} password={quoted(password)};"
+    if "ssl.ca.location" in rest:
+        out |= {"kafka.ssl.truststore.type": "PEM", "kafka.ssl.truststore.location": rest.pop("ssl.ca.location")}
+    certificate, key = rest.pop("ssl.certificate.location", None), rest.pop("ssl.key.location", None)
+    if certificate or key:
+        if certificate != key:
+            raise OptionError("ssl.certificate.location and ssl.key.location must name one PEM file that holds both")
+        out |= {"kafka.ssl.keystore.type": "PEM", "kafka.ssl.keystore.location": certificate}
+    if rest.pop("enable.ssl.certificate.verification", "true").lower() != "true":
+        raise OptionError("enable.ssl.certificate.verification cannot be switched off")
+    if rest.get("ssl.endpoint.identification.algorithm") == "none":
+        rest["ssl.endpoint.identification.algorithm"] = ""
+    for name, value in rest.items():
+        if name not in SECURITY_SAME and not name.startswith(SECURITY_SAME_PREFIXES):
+            raise OptionError(f"{name} has no counterpart in the JVM client")
+        out[f"kafka.{name}"] = value
     return out
 
 
@@ -141,11 +195,20 @@ def read_records(
     streaming: bool = True,
     max_per_trigger: int | None = None,
     min_partitions: int | None = None,
+    committed: Mapping[int, int] | None = None,
 ) -> DataFrame:
     """Records of one topic as envelopes.
 
+    ``committed`` holds the last committed offset per partition; reading starts behind it.
     ``max_per_trigger`` bounds a micro-batch; ``min_partitions`` splits few Kafka partitions over more tasks.
     """
+    settings = reader_settings(topic, brokers, group, options, streaming, max_per_trigger, min_partitions, committed)
+    reader = spark.readStream if streaming else spark.read
+    return envelope(reader.format("kafka").options(**settings).load())
+
+
+def reader_settings(topic, brokers, group, options=(), streaming=True, max_per_trigger=None, min_partitions=None, committed=None) -> dict[str, str]:
+    """All options of :func:`read_records` as the reader gets them."""
     settings = reader_options(topic, brokers, group, options)
     if max_per_trigger is not None:
         settings["maxOffsetsPerTrigger"] = str(max_per_trigger)
@@ -153,8 +216,9 @@ def read_records(
         settings["minPartitions"] = str(min_partitions)
     if not streaming and settings["startingOffsets"] == "latest":
         settings["startingOffsets"] = "earliest"
-    reader = spark.readStream if streaming else spark.read
-    return envelope(reader.format("kafka").options(**settings).load())
+    if committed:
+        settings["startingOffsets"] = starting_offsets(settings["startingOffsets"], topic, committed)
+    return settings
 
 
 def writer_options(

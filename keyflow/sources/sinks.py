@@ -39,15 +39,15 @@ def upsert_latest(new: DataFrame, target: DataFrame, keys: Sequence[str], order:
 
 
 def overwrite_batch(df: DataFrame, path: str, batch_id: int, file_format: str = "parquet") -> None:
-    """Write a micro-batch into its own ``batch_id`` folder; a replay of the batch replaces the folder instead of adding."""
-    (
-        df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.format(file_format)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .save(path)
-    )
+    """Write a micro-batch into its own ``batch_id`` folder; a replay replaces the folder, also when it has no rows any more.
+
+    A batch without rows leaves an empty, readable folder. ``batch_id`` is read back from the folder's name.
+    """
+    df.write.format(file_format).mode("overwrite").save(batch_folder(path, batch_id))
+
+
+def batch_folder(path: str, batch_id: int) -> str:
+    return f"{path.rstrip('/')}/batch_id={batch_id}"
 
 
 def write_dead_letters(dead: DataFrame, path: str, batch_id: int = 0, file_format: str = "parquet") -> None:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from keyflow.operators.process import split_outcomes
-from keyflow.sources.sinks import overwrite_batch, write_dead_letters
+from keyflow.sources.sinks import batch_folder, overwrite_batch, write_dead_letters
 
 Sink = str | Callable[[DataFrame, int], None]
 
@@ -58,8 +58,8 @@ def run_stream(
         outcomes = process(batch)
         if staging is not None:
             overwrite_batch(outcomes, staging, batch_id)
-            written = batch.sparkSession.read.parquet(staging)
-            outcomes = written.filter(written.batch_id == batch_id).drop("batch_id")
+            # Only this batch's folder, with the schema that is known.
+            outcomes = batch.sparkSession.read.schema(outcomes.schema).parquet(batch_folder(staging, batch_id))
         else:
             outcomes = outcomes.persist(StorageLevel.MEMORY_AND_DISK)
         try:

@@ -183,3 +183,8 @@ def test_envelope_from_table(spark):
     assert (row.key, row.value, row.key_str, row.ts_kind, row.ts_millis, row.headers) == (None, b"", "1", 0, None, None)
     with pytest.raises(ValueError):
         records_from_table(df, {"topic": "topic"})
+
+
+def test_durations_out_of_range_are_none(spark):
+    df = spark.createDataFrame([("123456789012ms",), ("9" * 40 + "s",), ("999999999999999h",)], "s string")
+    assert [r[0] for r in df.select(text.parse_duration("s")).collect()] == [123456789012000, None, None]

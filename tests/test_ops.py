@@ -144,3 +144,9 @@ def test_severity(spark):
     df = spark.createDataFrame([(n,) for n in (0, 1, 2, 3, 3, 9)], "level int")
     assert {r.severity: r.n for r in O.severity_counts(df).collect()} == {"debug": 1, "info": 1, "warn": 1, "error": 2, "unknown": 1}
     assert O.severity_counts(df, 3).count() == 2
+
+
+def test_throttle_keeps_null_keys(spark):
+    df = frame(spark, [("a", 0), (None, 0), (None, 10), (None, 5_000_000)], "k string, at_us bigint")
+    got = sorted([tuple(r) for r in O.throttle(df, ["k"], 1000).collect()], key=repr)
+    assert got == sorted([("a", 0, 0), (None, 0, 1), (None, 5_000_000, 0)], key=repr)

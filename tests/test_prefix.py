@@ -71,3 +71,8 @@ def test_ordering_violations(spark, bits, hot_rows):
                 want.append((now[1], now[4], now[2], now[3], inversion, overlap))
     assert sorted((r.partition, r.key_str, r.offset, r.attempt_no, r.inversion, r.overlap) for r in got) == sorted(want)
     assert want
+
+
+def test_every_hot_key_is_listed(spark):
+    rows = spark.range(30_000).selectExpr("id % 15000 AS k")
+    assert hot_keys(rows, ["k"], 1).count() == 15_000

@@ -144,3 +144,34 @@ def test_file_stream_and_batch_have_the_same_rows(spark, tmp_path):
     batch = tables.records_from_table(tables.read_table(spark, path), mapping)
     stream = tables.records_from_table(tables.read_table(spark, path, streaming=True), mapping)
     assert stream.isStreaming and stream.schema == batch.schema and batch.count() == 10
+
+
+def test_security_options_are_translated():
+    out = kafka.security_options({"security.protocol": "SASL_SSL", "sasl.mechanisms": "SCRAM-SHA-512", "sasl.username": 'a"b', "sasl.password": "c\\d", "ssl.ca.location": "/ca.pem"})
+    module = "org.apache.kafka.common.security.scram.ScramLoginModule"
+    assert out == {
+        "kafka.security.protocol": "SASL_SSL", "kafka.sasl.mechanism": "SCRAM-SHA-512", "kafka.ssl.truststore.type": "PEM",
+        "kafka.ssl.truststore.location": "/ca.pem", "kafka.sasl.jaas.config": module + ' required username="a\\"b" password="c\\\\d";',
+    }
+
+
+@pytest.mark.parametrize("given", [
+    {"sasl.username": "u"}, {"sasl.username": "u", "sasl.password": "p"}, {"ssl.certificate.location": "a", "ssl.key.location": "b"},
+    {"enable.ssl.certificate.verification": "false"}, {"ssl.crl.location": "x"},
+])
+def test_security_options_without_counterpart_are_refused(given):
+    with pytest.raises(kafka.OptionError):
+        kafka.security_options(given)
+
+
+def test_committed_offsets_reach_the_reader():
+    settings = kafka.reader_settings("t", "b", "g", committed={0: 9, 1: -1})
+    assert json.loads(settings["startingOffsets"]) == {"t": {"0": 10, "1": -1}}
+
+
+def test_replay_without_rows_leaves_none(spark, tmp_path):
+    one = spark.createDataFrame([(1, "x")], "k int, reason string")
+    sinks.write_dead_letters(one, str(tmp_path / "d"), 7)
+    sinks.write_dead_letters(one.limit(0), str(tmp_path / "d"), 7)
+    sinks.write_dead_letters(one, str(tmp_path / "d"), 8)
+    assert [r.batch_id for r in sinks.read_batches(spark, str(tmp_path / "d")).collect()] == [8]
