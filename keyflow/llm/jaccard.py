@@ -4,7 +4,7 @@
 2. Nodes are indexed by the shingles of their prefix: a node of n shingles can only link with another if they share one of
    its first ``n - ceil(s * n) + 1`` shingles in a common order. The order puts shingles that many documents share last; which
    these are is counted over all documents, chunk by chunk. Any order gives the same links; a good one keeps the lists short.
-3. Answer-level skipping. In each index list the first node is the pivot and is compared with the list's other nodes, which costs one
+3. Answer-level skipping. In each index list the most central node is the pivot and is compared with the list's other nodes, which costs one
    comparison per entry. Nodes that link with the same pivot are known to be connected and are never compared with each other.
 4. Index-level skipping. What is left in a list, nodes of different pivots, is sorted by set size and cut into blocks of sizes; a node looks
    only into blocks whose sizes can reach the similarity, and there skips entries whose positions leave too few shingles. A pair whose distances to
@@ -210,9 +210,14 @@ def similar(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "d
     entries = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "shingle"))
     entries = entries.select("shingle", "node", (F.shiftleft(F.col("n"), 31) + F.col("pos")).alias("_np"))
     shared = nodes.select(F.explode("prefix").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("_k")).filter("_k > 1")
-    listed = stage(entries.join(shared.select("shingle"), "shingle"))
-    listed = listed.select("shingle", "node", F.shiftright("_np", 31).alias("n"), (F.col("_np") % (1 << 31)).cast("int").alias("pos"))
-    index = stage(listed.join(listed.groupBy("shingle").agg(F.min("node").alias("pivot")), "shingle"))
+    listed = stage(entries.join(shared, "shingle"))
+    listed = listed.select("shingle", "node", F.shiftright("_np", 31).alias("n"), (F.col("_np") % (1 << 31)).cast("int").alias("pos"), "_k")
+    # The pivot of a list is its most central node: the original of a group of copies shares its whole prefix with many, a
+    # changed copy only what it left unchanged.
+    central = listed.groupBy("node").agg((F.sum("_k") / (F.max("n") - F.ceil(F.max("n") * percent / 100) + 1)).alias("central"))
+    pivot = F.max_by("node", F.struct("central", (-F.col("node")).alias("_first"))).alias("pivot")
+    chosen = listed.join(central, "node").groupBy("shingle").agg(pivot)
+    index = stage(listed.drop("_k").join(chosen, "shingle"))
 
     # Every list's nodes against its pivot.
     pivots = nodes.select(F.col("node").alias("pivot"), F.col("n").alias("m"))
