@@ -209,7 +209,7 @@ def process_rules(spark, sf_dir):
 def process_udf(spark, sf_dir):
     def handler(message):
         if message.value is None:
-            raise P.HandlerError("unexpected tombstone")
+            raise P.HandlerError("record without a value")
         if message.value == b"":
             raise P.HandlerError("empty payload")
         if message.value == b"{bad":

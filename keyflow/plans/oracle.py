@@ -44,7 +44,7 @@ TABLES["processed"] = """
 SELECT *, CASE WHEN error IS NULL THEN 'ok' ELSE 'error' END AS outcome,
   CASE WHEN error IS NULL THEN CAST(1024 + CASE WHEN cents > 5000 THEN 2048 ELSE 0 END
     + CASE WHEN event_type = 'purchase' THEN 4096 ELSE 0 END AS BIGINT) ELSE CAST(0 AS BIGINT) END AS app_traits
-FROM (SELECT *, CASE WHEN value IS NULL THEN 'unexpected tombstone'
+FROM (SELECT *, CASE WHEN value IS NULL THEN 'record without a value'
     WHEN octet_length(value) = 0 THEN 'empty payload'
     WHEN NOT json_valid(value_text) THEN 'invalid JSON'
     WHEN key_source = 'base64' THEN 'binary key ' || key_str END AS error FROM records)"""
@@ -198,8 +198,8 @@ sql(
     "order_events",
     "",
     """
-SELECT number, key, '{"orderId":"' || key || '","customerId":"' || ['c-4711','c-8100','c-2049','c-3312','c-9930'][number % 5 + 1]
-  || '","sku":"' || ['SKU-0042','SKU-1337','SKU-2020','SKU-7777','SKU-0101'][(number // 5) % 5 + 1]
+SELECT number, key, '{"orderId":"' || key || '","customerId":"' || ['north-1','north-2','south-1','west-7','east-3'][number % 5 + 1]
+  || '","sku":"' || ['kettle','lamp','rope','shelf','spoon'][(number // 5) % 5 + 1]
   || '","quantity":' || (number % 5 + 1) || ',"unitPriceCents":' || (999 + (number % 50) * 10)
   || ',"currency":"GBP","placedAt":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') || '"}' AS value
 FROM (SELECT o_orderkey AS number, substr(sha256(CAST(o_orderkey AS VARCHAR)), 1, 32) AS key, o_orderdate FROM orders)""",
@@ -352,7 +352,7 @@ sql(
     """
 SELECT topic, part AS "partition", off AS "offset",
   CASE WHEN value IS NULL OR octet_length(value) = 0 THEN 'error' WHEN value_text = '{bad' THEN 'panic' ELSE 'ok' END AS outcome,
-  CASE WHEN value IS NULL THEN 'unexpected tombstone' WHEN octet_length(value) = 0 THEN 'empty payload'
+  CASE WHEN value IS NULL THEN 'record without a value' WHEN octet_length(value) = 0 THEN 'empty payload'
        WHEN value_text = '{bad' THEN 'panic in process callback' END AS error,
   CASE WHEN octet_length(value) > 0 AND value_text <> '{bad' THEN 1024::BIGINT ELSE 0::BIGINT END AS app_traits
 FROM records""",
@@ -846,7 +846,7 @@ sql(
     "snaps",
     f"""
 SELECT snap_id, CASE pick WHEN 2 THEN 'malformed document' WHEN 3 THEN 'missing field: summary' WHEN 5 THEN 'missing field: throughput.totalDeadLettered' END AS error,
-  CASE WHEN {_GOOD} THEN total END AS total_processed, CASE WHEN {_GOOD} THEN '2m30s' END AS max_end_to_end,
+  CASE WHEN {_GOOD} THEN total END AS total_processed, CASE WHEN {_GOOD} THEN '4m5s' END AS max_end_to_end,
   CASE WHEN {_GOOD} THEN parts::INT END AS partitions FROM snaps""",
 )
 sql(
