@@ -5,9 +5,11 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from keyflow.plans import catalog, oracle
 
 DATA = Path("/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+# The library's own queries; those of the optional subpackage have their tests beside them.
+QUERIES, SQL = catalog.QUERIES, oracle.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="test data not present")
 
