@@ -1,7 +1,7 @@
 """K-d tree sharding: documents cut along metadata into shards of nearly equal bytes. DataFrame operations only.
 
 The units that are placed are texts, each with the bytes of all its copies, so equal texts stay together. A text that alone would take
-more than ``split_share`` of a shard is cut into that many equal parts instead, as no cut could balance it otherwise. Every unit is a point: size, language and source
+more than ``split_share`` of a shard is cut into small equal parts instead, as no cut could balance it otherwise. Every unit is a point: size, language and source
 of its text (the least among its copies), each as a number that keeps the order, with bits of the text's digest behind it to
 settle ties. At every level each node is cut along its widest dimension, relative to the dimension's range over all units, at the
 weighted median, or at the share of leaves on its left if their number is odd. The median is found by distributed histograms: every pass over the
@@ -26,6 +26,10 @@ TIE_BITS = 24
 VALUE_BITS = 38  # value and tie bits stay within 62, so that sums of two never leave 64
 # A bin is not refined any more when it holds less than this share of a leaf.
 NEGLIGIBLE = 1e-4
+# Parts per ``split_share`` of a shard, for a text that is cut.
+PARTS = 8
+# Copies in such a part, at least.
+COPIES = 8
 # Documents per block when slots are dealt.
 SLOT_BLOCK = 100_000
 
@@ -42,11 +46,14 @@ def units(docs: DataFrame, text: str, dims: list[Column], leaves: int, split_sha
     names = [f"_d{i}" for i in range(len(dims))]
     rows = docs.withColumns({"_unit": digest(text), "_weight": F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint") + 1})
     rows = rows.withColumns(dict(zip(names, dims)))
-    grouped = rows.groupBy("_unit").agg(F.sum("_weight").alias("weight"), *[F.min(n).alias(n) for n in names])
+    grouped = rows.groupBy("_unit").agg(F.sum("_weight").alias("weight"), F.count("*").alias("copies"), *[F.min(n).alias(n) for n in names])
     grouped = stage(grouped)
     total = grouped.agg(F.sum("weight")).first()[0] or 0
     limit = max(1, int(total / leaves * split_share))
-    parts = grouped.withColumn("parts", F.when(F.col("weight") > limit, F.ceil(F.col("weight") / limit)).otherwise(1).cast("int"))
+    # A text that must be cut is cut finely, so that its parts can level the shards, but not finer than its copies can be dealt evenly.
+    fine = F.least(F.ceil(F.col("weight") * PARTS / limit), F.ceil(F.col("copies") / COPIES))
+    number = F.greatest(F.ceil(F.col("weight") / limit), fine)
+    parts = grouped.withColumn("parts", F.when(F.col("weight") > limit, number).otherwise(1).cast("int"))
     tie = F.conv(F.substring(F.hex("_unit"), 1, TIE_BITS // 4), 16, 10).cast("bigint")
     cut = parts.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).select(
         "_unit", "parts", "part", (F.col("weight") / F.col("parts")).alias("weight"),
