@@ -199,8 +199,11 @@ def similar(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "d
     known = stage(described(rows, width))
 
     # One document stands for all with the same set. Rows equal in identifier and text stay and are joined up at the end.
-    firsts = known.filter("n > 0").groupBy("signature").agg(F.min("doc_id").alias("first"))
-    copies = known.join(firsts, "signature").filter("doc_id <> first").select("doc_id", "text_key").distinct()
+    counted = known.filter("n > 0").groupBy("signature").agg(F.min("doc_id").alias("first"), F.count("*").alias("_n"))
+    firsts = counted.select("signature", "first")
+    # Only sets found more than once have copies; their rows need not come together to be named.
+    repeated = small_side(counted.filter("_n > 1").select("signature", "first"))
+    copies = known.join(repeated, "signature").filter("doc_id <> first").select("doc_id", "text_key").distinct()
     singles = rows.join(small_side(copies), ["doc_id", "text_key"], "left_anti")
     late = frequent(singles, width).select("shingle").toArrow().column(0).to_numpy().view(np.uint64)[::-1]
     nodes = stage(prefixes(singles, width, percent, late).withColumn("node", F.monotonically_increasing_id()))
