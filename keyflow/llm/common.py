@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from keyflow.operators.staging import small_side, stage
 from keyflow.session import prepare
 
-# Rows handed to Python at once. Texts may be very long, so a batch is kept small.
+# Rows and bytes handed to Python at once. Texts and sets may be very long, so a batch is kept small; one row is always taken.
 BATCH_ROWS = 512
+BATCH_BYTES = 8 << 20
 
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
@@ -28,6 +29,7 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 def session(spark: SparkSession) -> SparkSession:
     prepare(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 

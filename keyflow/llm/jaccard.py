@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from keyflow.llm.common import lists, map_arrow, mixed, rolling, small_side, stage, texts, word_hashes
 
-# Shingles counted at once in a worker.
-CHUNK = 4_000_000
+# Shingles counted at once in a worker: 16 MB, and three times that while they are sorted.
+CHUNK = 2_000_000
 # Shingles found in more documents than this move to the end of the order; at most this many are kept, the most frequent: 2 MB.
 FREQUENT = 32
 FREQUENT_KEPT = 250_000
