@@ -1,9 +1,10 @@
 """Encoding and decoding with a merge-type (BPE) sentencepiece vocabulary.
 
 A text is cut before every run of spaces: no piece of such a vocabulary has a space after another character, so no merge
-crosses a cut (checked when the vocabulary is loaded; else a text is one chunk). Each chunk is encoded by an agenda of adjacent
+crosses a cut (checked when the vocabulary is loaded; else a text is one chunk). A chunk is cut further between two characters that are
+neighbours in no piece, such as a letter and a full stop. Each part is encoded by an agenda of adjacent
 symbol pairs: the pair whose joint piece has the best score is merged first, the leftmost of equal scores; stale entries
-are skipped. Chunks repeat, so each worker remembers a bounded number of them. What is new in an Arrow batch is also encoded by the
+are skipped. Chunks and parts repeat, so each worker remembers a bounded number of them. What is new in an Arrow batch is also encoded by the
 sentencepiece library; where the two differ the library's ids count and the row says how many of its chunks differed.
 
 Defined results: a null or empty text has no ids and decodes to ''. Very long texts, also without any space, are
@@ -31,6 +32,8 @@ REMEMBERED = 600_000
 # Up to this length the agenda is a list, beyond it a heap.
 SCANNED_CHARS = 48
 NEVER = float("inf")
+# Where a chunk may be cut: around runs of letters and digits.
+RUNS = re.compile(f"{SPACE}*\\w+|[^\\w{SPACE}]+|{SPACE}+")
 # A chunk longer than this is not remembered.
 REMEMBERED_CHARS = 64
 
@@ -55,6 +58,7 @@ class Agenda:
         self.ids = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == NORMAL}
         self.byte_ids = {int(p.piece[3:5], 16): i for i, p in enumerate(proto.pieces) if p.type == BYTE}
         self.unknown = next(i for i, p in enumerate(proto.pieces) if p.type == UNKNOWN)
+        self.neighbours = {a + b for p in self.ids for a, b in zip(p, p[1:])}
         self.cuts = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         self.known: dict[str, tuple[tuple[int, ...], bytes]] = {}
@@ -114,9 +118,36 @@ class Agenda:
                     heapq.heappush(agenda, (rank[longer], h, longer))
         return [p for p in parts if p is not None]
 
+    def parts(self, chunk: str) -> list[str]:
+        """The runs of a chunk; two stay together where a piece has their neighbouring characters side by side."""
+        runs = RUNS.findall(chunk)
+        if len(runs) < 2:
+            return [chunk]
+        out, begin, end = [], 0, len(runs[0])
+        for run in runs[1:]:
+            if chunk[end - 1 : end + 1] not in self.neighbours:
+                out.append(chunk[begin:end])
+                begin = end
+            end += len(run)
+        out.append(chunk[begin:])
+        return out
+
     def encode_chunk(self, chunk: str) -> tuple[int, ...]:
+        parts = self.parts(chunk)
+        return self.encode_part(chunk) if len(parts) == 1 else tuple(chain.from_iterable(map(self.remembered_part, parts)))
+
+    def remembered_part(self, part: str) -> tuple[int, ...]:
+        found = self.known.get(part)
+        if found is not None:
+            return found[0]
+        ids = self.encode_part(part)
+        if len(self.known) < REMEMBERED and len(part) <= REMEMBERED_CHARS:
+            self.known[part] = (ids, ",".join(map(str, ids)).encode())
+        return ids
+
+    def encode_part(self, part: str) -> tuple[int, ...]:
         out: list[int] = []
-        for piece in self.symbols(chunk):
+        for piece in self.symbols(part):
             found = self.ids.get(piece)
             if found is not None:
                 out.append(found)
@@ -182,9 +213,10 @@ def encode_decode(docs: DataFrame, model: str, text: str = "text", keep: tuple[s
         counts, hashes, decoded, differ, all_ids = [], [], [], [], []
         for value in texts(batch):
             chunks = agenda.chunks(value)
-            missing = {c for c in chunks if c not in known}
-            fresh, differing = agenda.learn(missing) if missing else ({}, ())
-            found = [known.get(c) or fresh[c] for c in chunks]
+            found, differing = list(map(known.get, chunks)), ()
+            if None in found:
+                fresh, differing = agenda.learn({c for c, f in zip(chunks, found) if f is None})
+                found = [f or known.get(c) or fresh[c] for c, f in zip(chunks, found)]
             ids = list(chain.from_iterable([f[0] for f in found]))
             counts.append(len(ids))
             hashes.append(hashlib.sha256(b",".join([f[1] for f in found])).hexdigest())
