@@ -15,7 +15,7 @@ MAX_STATS_INTERVAL_MS = 12 * 3_600_000
 DEFAULT_FLUSH_INTERVAL_MS = 60_000
 UNKNOWN_COMPRESSION = "unknown"
 
-GROUP = ["topic", "consumer_group"]
+GROUP = S.TOPOLOGY_LABELS
 
 
 def check_stats_interval(interval_ms: int) -> int:

@@ -246,38 +246,34 @@ def drain_report(attempts: DataFrame, stop_us: int, drain_us: int = 20_000_000)
 def assignment_at(attempts: DataFrame, assignments: DataFrame, width_us: int = DAY_US) -> DataFrame:
     """Adds ``epoch``, ``assigned_us`` and ``revoked_us`` of the assignment during which an attempt was read, else nulls.
 
-    The range condition is turned into an equality on time slots: each closed assignment is listed once per slot it
-    covers, so an attempt meets only the assignments of its own slot and a busy partition is spread over its slots. An
-    assignment that is still open has no end to list; there is at most one per partition.
+    Where assignments overlap, the one assigned last counts; an attempt stays one row. The range condition is turned into
+    an equality on time slots: each slot of a partition lists the closed assignments that touch it (a rebalance each, so
+    few), and an attempt meets only the list of its own slot, so a busy partition is spread over its slots. An assignment
+    that is still open has no end to list; the last one of a partition counts.
     """
 
-
     def slot(us: Column) -> Column:
         return F.call_function("div", us, F.lit(width_us).cast("bigint"))
 
     assignments = stage(assignments.select(*S.PARTITION, "epoch", "assigned_us", "revoked_us"))
     closed = assignments.filter(F.col("revoked_us") > F.col("assigned_us")).select(
         *S.PARTITION,
-        F.struct("epoch", "assigned_us", "revoked_us").alias("_closed"),
+        F.struct("assigned_us", "epoch", "revoked_us").alias("_c"),
         F.explode(F.sequence(slot(F.col("assigned_us")), slot(F.col("revoked_us") - 1))).alias("_slot"),
     )
+    closed = closed.groupBy(*S.PARTITION, "_slot").agg(F.collect_list("_c").alias("_closed"))
     opened = assignments.filter(F.col("revoked_us").isNull()).groupBy(*S.PARTITION).agg(
-        F.max_by(F.struct("epoch", "assigned_us", "revoked_us"), "assigned_us").alias("_open")
+        F.max_by(F.struct("assigned_us", "epoch", "revoked_us"), "assigned_us").alias("_open")
     )
     slotted = attempts.withColumn("_slot", slot(F.col("read_us")))
-    a, c = slotted.alias("a"), small_side(closed).alias("c")
-    in_closed = (
-        (F.col("a.topic") == F.col("c.topic"))
-        & (F.col("a.partition") == F.col("c.partition"))
-        & (F.col("a._slot") == F.col("c._slot"))
-        & (F.col("a.read_us") >= F.col("c._closed.assigned_us"))
-        & (F.col("a.read_us") < F.col("c._closed.revoked_us"))
-    )
-    joined = a.join(c, in_closed, "left").select("a.*", "c._closed").join(small_side(opened), S.PARTITION, "left")
-    match = F.coalesce(
-        F.col("_closed"), F.when(F.col("read_us") >= F.col("_open.assigned_us"), F.col("_open"))
+    joined = slotted.join(small_side(closed), [*S.PARTITION, "_slot"], "left").join(small_side(opened), S.PARTITION, "left")
+    read = F.col("read_us")
+    covering = F.filter("_closed", lambda c: (read >= c["assigned_us"]) & (read < c["revoked_us"]))
+    in_open = (read >= F.col("_open.assigned_us")) & (
+        F.col("_c").isNull() | (F.col("_open.assigned_us") >= F.col("_c.assigned_us"))
     )
-    return joined.withColumn("_m", match).select(
+    placed = joined.withColumn("_c", F.array_max(covering))
+    return placed.withColumn("_m", F.when(in_open, F.col("_open")).otherwise(F.col("_c"))).select(
         *[F.col(c) for c in attempts.columns],
         F.col("_m.epoch").alias("epoch"),
         F.col("_m.assigned_us").alias("assigned_us"),

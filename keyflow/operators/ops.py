@@ -230,7 +230,8 @@ def config_violations(config: DataFrame) -> DataFrame:
     """Settings of a fleet (``service, key, value``) that are malformed, out of range, or contradict each other.
 
     The last value per service and key counts as the caller's: the table holds one. The rules are thirteen fixed rows, so
-    they are broadcast. A drain timeout must stay below the rebalance timeout, each with its default when not set.
+    they are broadcast. A drain timeout must stay below the rebalance timeout, each with its default when not set; a
+    rebalance timeout that is no integer is reported and the default used.
     """
     rules = F.broadcast(tunable_rules(config.sparkSession))
     number = _millis(F.col("value"), F.col("kind"))
@@ -259,7 +260,9 @@ def config_violations(config: DataFrame) -> DataFrame:
         rebalance_ms.cast("string").alias("value"),
         F.concat(F.lit("must exceed the drain timeout of "), drain_ms.cast("string"), F.lit(" ms")).alias("problem"),
     )
-    return single.unionByName(crossed)
+    unreadable = config.filter((F.col("key") == REBALANCE_KEY) & _millis(F.col("value"), F.lit("int")).isNull())
+    unreadable = unreadable.select("service", "key", "value", F.lit("not an integer").alias("problem"))
+    return single.unionByName(unreadable).unionByName(crossed)
 
 
 def unknown_settings(config: DataFrame) -> DataFrame:

@@ -141,12 +141,13 @@ def dense_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three assignments of about ten days per partition, with a minute between them."""
+    """Three assignments of about ten days per partition, with a minute between them; on some the first two overlap."""
     partitions = records(spark, sf_dir).select(*S.PARTITION).distinct()
     shift = F.col("partition").cast("bigint") * 3_600_000_000
     begin = F.lit(EPOCH_US) + F.col("epoch").cast("bigint") * 10 * DAY_US + shift
+    late = F.when((F.col("partition") % 4 == 1) & (F.col("epoch") == 0), 3_600_000_000).otherwise(0)
     return partitions.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(2)))).select(
-        *S.PARTITION, "epoch", begin.alias("assigned_us"), (begin + 10 * DAY_US - 60_000_000).alias("revoked_us")
+        *S.PARTITION, "epoch", begin.alias("assigned_us"), (begin + 10 * DAY_US - 60_000_000 + late).alias("revoked_us")
     )
 
 
@@ -231,6 +232,8 @@ def bandwidth_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("m-1").alias("metrics_id"),
         "topic",
         F.concat(F.lit("group-"), (F.col("seq") % 2).cast("string")).alias("consumer_group"),
+        F.concat(F.lit("svc-"), (F.col("seq") % 3).cast("string")).alias("service"),
+        F.lit("core").alias("team"),
         F.when(F.col("seq") % 4 == 0, three).otherwise(two).alias("brokers"),
         "partitions",
     )

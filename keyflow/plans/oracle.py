@@ -66,7 +66,8 @@ FROM deliveries GROUP BY ALL"""
 
 TABLES["assignments"] = f"""
 SELECT topic, part, epoch, {EPOCH_US} + epoch * 10 * {DAY_US} + part::BIGINT * 3600000000 AS assigned_us,
-  {EPOCH_US} + (epoch + 1) * 10 * {DAY_US} + part::BIGINT * 3600000000 - 60000000 AS revoked_us
+  {EPOCH_US} + (epoch + 1) * 10 * {DAY_US} + part::BIGINT * 3600000000 - 60000000
+    + CASE WHEN part % 4 = 1 AND epoch = 0 THEN 3600000000 ELSE 0 END AS revoked_us
 FROM (SELECT DISTINCT topic, part FROM records), (SELECT unnest([0, 1, 2])::BIGINT AS epoch)"""
 
 TABLES["packets"] = f"""
@@ -88,16 +89,16 @@ SELECT off // 100 AS seq, topic, part AS id, sum(coalesce(octet_length(value), 0
   max(read_us) AS at_us, count(*) AS n FROM records GROUP BY ALL"""
 
 TABLES["bw_partitions"] = """
-SELECT seq, topic, 'group-' || (seq % 2) AS consumer_group, id, received_bytes, at_us,
+SELECT seq, topic, 'group-' || (seq % 2) AS consumer_group, 'svc-' || (seq % 3) AS service, 'core' AS team, id, received_bytes, at_us,
   CASE WHEN id = 5 THEN 0 ELSE n * 7 END AS transmitted_bytes, CASE WHEN id = 7 THEN 0 ELSE n END AS messages,
   n * 3 AS compressed_bytes, CASE WHEN id % 4 = 0 THEN 0 ELSE n * 9 END AS uncompressed_bytes,
   ['lz4', 'unknown', 'zstd'][id % 3 + 1] AS compression
 FROM bw_entries"""
 
 TABLES["bw_packets"] = """
-SELECT seq, topic, consumer_group, count(*) AS partitions, CASE WHEN seq % 4 = 0 THEN 3 ELSE 2 END AS brokers,
+SELECT seq, topic, consumer_group, service, team, count(*) AS partitions, CASE WHEN seq % 4 = 0 THEN 3 ELSE 2 END AS brokers,
   CASE WHEN seq % 7 = 0 THEN 0 ELSE max(at_us) * 1000 END AS ts_unix_ns, 5000 + seq % 5 * 500 AS stats_interval_ms
-FROM bw_partitions GROUP BY seq, topic, consumer_group"""
+FROM bw_partitions GROUP BY seq, topic, consumer_group, service, team"""
 
 TABLES["snap_parts"] = """
 SELECT off // 50 AS snap_id, part, min(off) AS lo, max(off) AS hi, count(*) AS n FROM records GROUP BY ALL"""
@@ -563,7 +564,8 @@ sql(
     "attempts assignments",
     f"""
 SELECT a.topic, a.part AS "partition", off AS "offset", CAST(epoch AS INT) AS epoch, coalesce(coalesce(done_us, {NEVER}) > revoked_us, false) AS orphaned
-FROM attempts a LEFT JOIN assignments s ON a.topic = s.topic AND a.part = s.part AND read_us >= assigned_us AND read_us < revoked_us""",
+FROM attempts a LEFT JOIN assignments s ON a.topic = s.topic AND a.part = s.part AND read_us >= assigned_us AND read_us < revoked_us
+QUALIFY row_number() OVER (PARTITION BY a.topic, a.part, off, attempt_no ORDER BY assigned_us DESC) = 1""",
 )
 sql(
     "first_after_rebalance",
@@ -571,7 +573,9 @@ sql(
     """
 SELECT topic, part AS "partition", off AS "offset", CAST(epoch AS INT) AS epoch, read_us FROM (
   SELECT a.topic, a.part, off, epoch, read_us, row_number() OVER (PARTITION BY a.topic, a.part, epoch ORDER BY read_us, off, attempt_no) AS rn
-  FROM attempts a JOIN assignments s ON a.topic = s.topic AND a.part = s.part AND read_us >= assigned_us AND read_us < revoked_us)
+  FROM attempts a JOIN assignments s ON a.topic = s.topic AND a.part = s.part AND read_us >= assigned_us AND read_us < revoked_us
+    AND NOT EXISTS (SELECT 1 FROM assignments o WHERE o.topic = s.topic AND o.part = s.part AND o.assigned_us > s.assigned_us
+      AND read_us >= o.assigned_us AND read_us < o.revoked_us))
 WHERE rn = 1""",
 )
 _LAG = f"""SELECT e.topic, e.part, coalesce(ready, -1) AS committed_offset, end_offset, greatest(end_offset - coalesce(ready, -1) - 1, 0) AS lag
@@ -734,35 +738,35 @@ sql(
     "bandwidth_counters",
     "bw_partitions",
     """
-SELECT * FROM (SELECT topic, consumer_group, id AS "partition", CAST(sum(received_bytes) FILTER (WHERE received_bytes > 0) AS BIGINT) AS received_bytes,
+SELECT * FROM (SELECT topic, consumer_group, service, team, id AS "partition", CAST(sum(received_bytes) FILTER (WHERE received_bytes > 0) AS BIGINT) AS received_bytes,
   CAST(sum(transmitted_bytes) FILTER (WHERE transmitted_bytes > 0) AS BIGINT) AS transmitted_bytes,
   CAST(sum(messages) FILTER (WHERE messages > 0) AS BIGINT) AS received_messages
-FROM bw_partitions GROUP BY topic, consumer_group, id)
+FROM bw_partitions GROUP BY topic, consumer_group, service, team, id)
 WHERE received_bytes IS NOT NULL OR transmitted_bytes IS NOT NULL OR received_messages IS NOT NULL""",
 )
 sql(
     "bandwidth_compression",
     "bw_partitions",
     """
-SELECT topic, consumer_group, id AS "partition", compression, CAST(sum(compressed_bytes) FILTER (WHERE compressed_bytes > 0) AS BIGINT) AS compressed_bytes,
+SELECT topic, consumer_group, service, team, id AS "partition", compression, CAST(sum(compressed_bytes) FILTER (WHERE compressed_bytes > 0) AS BIGINT) AS compressed_bytes,
   CAST(sum(uncompressed_bytes) FILTER (WHERE uncompressed_bytes > 0) AS BIGINT) AS uncompressed_bytes
-FROM bw_partitions GROUP BY topic, consumer_group, id, compression""",
+FROM bw_partitions GROUP BY topic, consumer_group, service, team, id, compression""",
 )
 sql(
     "topology_gauges",
     "bw_packets",
     """
-SELECT topic, consumer_group, CAST(arg_max(brokers, seq) AS BIGINT) AS broker_count, arg_max(partitions, seq) AS partition_count,
+SELECT topic, consumer_group, service, team, CAST(arg_max(brokers, seq) AS BIGINT) AS broker_count, arg_max(partitions, seq) AS partition_count,
   arg_max(stats_interval_ms, seq) / 1000.0::DOUBLE AS stats_interval_seconds,
   arg_max(ts_unix_ns // 1000000000, seq) FILTER (WHERE ts_unix_ns <> 0) AS last_collection_timestamp_seconds
-FROM bw_packets GROUP BY topic, consumer_group""",
+FROM bw_packets GROUP BY topic, consumer_group, service, team""",
 )
 sql(
     "broker_info",
     "bw_packets",
     """
-SELECT DISTINCT topic, consumer_group, b.id AS broker_id, b.host AS broker_host, '9092' AS broker_port, 'r' || b.id AS broker_rack, 1 AS value
-FROM (SELECT topic, consumer_group, unnest([{'id': '1', 'host': 'h1'}, {'id': '2', 'host': 'h2-' || (seq % 3)}]
+SELECT DISTINCT topic, consumer_group, service, team, b.id AS broker_id, b.host AS broker_host, '9092' AS broker_port, 'r' || b.id AS broker_rack, 1 AS value
+FROM (SELECT topic, consumer_group, service, team, unnest([{'id': '1', 'host': 'h1'}, {'id': '2', 'host': 'h2-' || (seq % 3)}]
   || CASE WHEN seq % 4 = 0 THEN [{'id': '3', 'host': 'h3'}] ELSE [] END) AS b FROM bw_packets)""",
 )
 sql(
@@ -940,6 +944,7 @@ b AS (SELECT service, max({_INT.format("value")}) AS n FROM config WHERE key = '
 p AS (SELECT coalesce(d.service, b.service) AS service, CASE WHEN coalesce(d.n, 0) = 0 THEN 20000 ELSE d.n END AS drain, coalesce(b.n, 60000) AS reb
   FROM d FULL JOIN b ON d.service = b.service)
 SELECT * FROM s WHERE problem IS NOT NULL
+UNION ALL SELECT service, key, value, 'not an integer' FROM config WHERE key = 'rebalance.timeout.ms' AND {_INT.format("value")} IS NULL
 UNION ALL SELECT service, 'rebalance.timeout.ms', CAST(reb AS VARCHAR), 'must exceed the drain timeout of ' || drain || ' ms' FROM p WHERE reb <= drain""",
 )
 sql(

@@ -158,6 +158,22 @@ def test_rebalance_flags(spark):
     assert first == {0, 5, 9, 12}
 
 
+def test_overlapping_assignments(spark):
+    """The assignment that began last counts, and every attempt stays one row; redeliveries are not collapsed."""
+    spans = [("t", 0, 0, 0, 100), ("t", 0, 1, 50, 200), ("t", 0, 2, 60, 70), ("t", 0, 3, 150, None), ("t", 1, 0, 0, None), ("t", 1, 1, 40, 60)]
+    assignments = spark.createDataFrame(spans, ASSIGNMENT_SCHEMA)
+    rows = [attempt(n, n, done=n + 1, partition=p) for n in range(0, 230, 5) for p in (0, 1)] + [attempt(5, 5, done=6), attempt(5, 5, done=6)]
+
+    def last(p, at):
+        covering = [s for s in spans if s[1] == p and s[3] <= at and (s[4] is None or at < s[4])]
+        return max(covering, key=lambda s: s[3])[2] if covering else None
+
+    want = sorted((r[1], r[2], last(r[1], r[5])) for r in rows)
+    for width in (7, D.DAY_US):
+        got = sorted((r.partition, r.offset, r.epoch) for r in D.assignment_at(frame(spark, rows), assignments, width).collect())
+        assert got == want
+
+
 def test_lag(spark):
     marks_df = spark.createDataFrame([("t", 0, 7)], "topic string, partition int, highest_ready_offset bigint")
     ends = spark.createDataFrame([("t", 0, 10), ("t", 1, 3)], "topic string, partition int, end_offset bigint")

@@ -150,7 +150,7 @@ BW = (
 
 
 def bw(spark, *rows):
-    return spark.createDataFrame(list(rows), BW)
+    return spark.createDataFrame(list(rows), BW).withColumns({"service": F.lit("s"), "team": F.lit("")})
 
 
 def entry(received=0, sent=0, messages=0, compressed=0, uncompressed=0, compression="", partition=0):
@@ -164,6 +164,13 @@ def test_bandwidth_deltas_accumulate(spark):
     assert (rows[0].received_bytes, rows[0].transmitted_bytes, rows[0].received_messages) == (2000, None, 1)
 
 
+def test_services_of_a_group_stay_apart(spark):
+    df = bw(spark, (0, 1, 5000, "t", "g", [("1", "h", "9092", "r")], [entry(1000, compressed=5)]))
+    df = df.unionByName(df.withColumn("service", F.lit("other")))
+    assert {r.service: r.received_bytes for r in B.bandwidth_counters(df).collect()} == {"s": 1000, "other": 1000}
+    assert [f(df).count() for f in (B.bandwidth_compression, B.topology_gauges, B.broker_info)] == [2, 2, 2]
+
+
 def test_compression(spark):
     df = bw(spark, (0, 1, 5000, "t", "g", [], [entry(compressed=128), entry(compressed=3, uncompressed=9, compression="lz4"), entry()]))
     got = {r.compression: (r.compressed_bytes, r.uncompressed_bytes) for r in B.bandwidth_compression(df).collect()}

@@ -98,6 +98,12 @@ def test_drain_must_stay_below_rebalance(spark, rebalance, drain, bad):
     assert [r.key for r in out] == (["rebalance.timeout.ms"] if bad else [])
 
 
+@pytest.mark.parametrize(("value", "bad"), [("abc", True), ("30s", True), ("60000", False)])
+def test_malformed_rebalance_timeout(spark, value, bad):
+    out = O.config_violations(settings(spark, ("s", "rebalance.timeout.ms", value))).collect()
+    assert [(r.key, r.problem) for r in out] == ([("rebalance.timeout.ms", "not an integer")] if bad else [])
+
+
 def test_every_default_and_zero_is_accepted(spark):
     good = {
         "concurrentKeys": "250", "perKeyBufferLen": "16", "pollTimeout": "100ms", "autoCommitInterval": "5s", "drainTimeout": "20s",
