@@ -27,8 +27,8 @@ from sentencepiece import sentencepiece_model_pb2 as model_pb2
 from keyflow.llm.common import map_arrow, texts
 
 SPACE = "▁"
-# Chunks remembered per worker, each a short text: about 150 MB.
-REMEMBERED = 600_000
+# Chunks remembered per worker, each a short text: about 250 MB.
+REMEMBERED = 1_000_000
 # Up to this length the agenda is a list, beyond it a heap.
 SCANNED_CHARS = 48
 NEVER = float("inf")
@@ -120,6 +120,8 @@ class Agenda:
 
     def parts(self, chunk: str) -> list[str]:
         """The runs of a chunk; two stay together where a piece has their neighbouring characters side by side."""
+        if chunk[1:].isalpha() and chunk[0] == SPACE:
+            return [chunk]
         runs = RUNS.findall(chunk)
         if len(runs) < 2:
             return [chunk]
@@ -146,8 +148,13 @@ class Agenda:
         return ids
 
     def encode_part(self, part: str) -> tuple[int, ...]:
+        symbols = self.symbols(part)
+        try:
+            return tuple(map(self.ids.__getitem__, symbols))
+        except KeyError:  # characters outside the vocabulary
+            pass
         out: list[int] = []
-        for piece in self.symbols(part):
+        for piece in symbols:
             found = self.ids.get(piece)
             if found is not None:
                 out.append(found)
@@ -211,12 +218,12 @@ def encode_decode(docs: DataFrame, model: str, text: str = "text", keep: tuple[s
         agenda = load(model)
         known = agenda.known
         counts, hashes, decoded, differ, all_ids = [], [], [], [], []
-        for value in texts(batch):
-            chunks = agenda.chunks(value)
-            found, differing = list(map(known.get, chunks)), ()
+        in_texts = list(map(agenda.chunks, texts(batch)))
+        fresh, differing = agenda.learn(set().union(*in_texts))
+        for chunks in in_texts:
+            found = list(map(known.get, chunks))
             if None in found:
-                fresh, differing = agenda.learn({c for c, f in zip(chunks, found) if f is None})
-                found = [f or known.get(c) or fresh[c] for c, f in zip(chunks, found)]
+                found = [f or fresh[c] for c, f in zip(chunks, found)]
             ids = list(chain.from_iterable([f[0] for f in found]))
             counts.append(len(ids))
             hashes.append(hashlib.sha256(b",".join([f[1] for f in found])).hexdigest())
