@@ -1,7 +1,7 @@
 """Exact top-k search by integer inner product, with vector-approximation files.
 
-1. Components become ``floor(1024 * x)``. Of equal vectors only the k + 1 with the smallest identifiers can be among a query's
-   best k, so only these are searched.
+1. Components become ``floor(1024 * x)``. Of equal vectors only k rows of each identifier, and of these the first 2k by identifier, are
+   searched: a query's own identifier holds at most k of them, so the k others that come first are always among them.
 2. Every vector is quantised, one byte per dimension, on a grid between the smallest and largest value of the dimension: the approximation file.
 3. Queries come in blocks of bounded size. A block is sent to the tasks that scan the approximations; the cells give a lower and an upper
    bound of every score. A task keeps what can still be among a query's best k by the lower bounds it has seen.
@@ -153,8 +153,10 @@ def dot(a: Column, b: Column) -> Column:
 def search(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding", scale: int = SCALE) -> DataFrame:
     """``query_id, rank, vec_id, score`` of every query's best ``k`` rows; ``is_query`` is a condition on ``vec_id``."""
     rows = prepared(vectors, vec_id, vector, scale)
+    repeats = Window.partitionBy("v", "vec_id").orderBy("row_no")
     same = Window.partitionBy("v").orderBy(F.col("vec_id").asc_nulls_last(), "row_no")
-    candidates = stage(rows.withColumn("_n", F.row_number().over(same)).filter(F.col("_n") <= k + 1).drop("_n"))
+    few = rows.withColumn("_n", F.row_number().over(repeats)).filter(F.col("_n") <= k).drop("_n")
+    candidates = stage(few.withColumn("_n", F.row_number().over(same)).filter(F.col("_n") <= 2 * k).drop("_n"))
     asked = stage(rows.filter(is_query.alias("q")).withColumn("block", F.monotonically_increasing_id()))
     marks = grid(candidates)
     approximations = quantised(candidates, marks)

@@ -174,6 +174,16 @@ def test_topk(spark, k):
     assert topk.search(df.limit(0), F.col("vec_id") % 100 == 0, k).collect() == []
 
 
+@pytest.mark.parametrize("repeats", [2, 11, 30])
+def test_topk_of_a_repeated_query_row(spark, repeats):
+    vector = [0.5, -0.25, 0.75]
+    rows = [(100, vector)] * repeats + [(200 + i, vector) for i in range(30)] + [(None, vector)] * 15 + [(300 + i, [0.1, 0.1, 0.1]) for i in range(5)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    score = sum(int(np.floor(1024 * x)) ** 2 for x in vector)
+    got = [tuple(r) for r in topk.search(df, F.col("vec_id") == 100, 10).select("query_id", "rank", "vec_id", "score").collect()]
+    assert sorted(got) == sorted([(100, i + 1, 200 + i, score) for i in range(10)] * repeats)
+
+
 def test_sharding(docs, nothing, corpus):
     out = sharding.shard_documents(docs.filter("length(text) < 4000 or text is null"), 4).collect()
     size, slots = Counter(), defaultdict(list)
