@@ -3,7 +3,8 @@
 The units that are placed are texts, each with the bytes of all its copies, so equal texts stay together. A text that alone would take
 more than ``split_share`` of a shard is cut into small equal parts instead, as no cut could balance it otherwise. Every unit is a point: size, language and source
 of its text (the least among its copies), each as a number that keeps the order, with bits of the text's digest behind it to
-settle ties. At every level each node is cut along its widest dimension, relative to the dimension's range over all units, at the
+settle ties. Languages and sources are numbered by the rank of the whole name among the distinct ones.
+At every level each node is cut along its widest dimension, relative to the dimension's range over all units and without the tie bits, at the
 weighted median, or at the share of leaves on its left if their number is odd. The median is found by distributed histograms: every pass over the
 units adds up bytes in ``BINS`` bins per node, and the bin that holds the median is refined in the next, until what it holds is negligible.
 Only these sums reach the driver: ``BINS`` numbers per node.
@@ -34,19 +35,26 @@ COPIES = 8
 SLOT_BLOCK = 100_000
 
 
-def text_code(value: Column) -> Column:
-    """The first bytes of a text as a number of ``VALUE_BITS`` bits that keeps their order."""
-    taken = VALUE_BITS // 8
-    code = F.conv(F.rpad(F.hex(F.substring(F.encode(F.coalesce(value, F.lit("")), "UTF-8"), 1, taken)), 2 * taken, "0"), 16, 10)
-    return code.cast("bigint")
+def ranks(values: DataFrame) -> DataFrame:
+    """The distinct ``value``s and their ``rank`` from 0 in the order of their bytes. Sorted by ranges, so that no task holds all of them."""
+    ordered = values.distinct().orderBy("value").withColumn("_at", F.monotonically_increasing_id())
+    # The number holds the partition above its 33 bits for the row.
+    ordered = stage(ordered.select("value", F.shiftright("_at", 33).alias("_part"), F.col("_at").bitwiseAND((1 << 33) - 1).alias("_row")))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition.
+    starts = ordered.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    return ordered.join(F.broadcast(starts), "_part").select("value", (F.col("_base") + F.col("_row")).alias("rank"))
 
 
 def units(docs: DataFrame, text: str, dims: list[Column], leaves: int, split_share: float) -> tuple[DataFrame, DataFrame]:
     """The documents with their unit, and one row per unit: ``unit, part, weight`` and a coordinate per dimension."""
     names = [f"_d{i}" for i in range(len(dims))]
     rows = docs.withColumns({"_unit": digest(text), "_weight": F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint") + 1})
-    rows = rows.withColumns(dict(zip(names, dims)))
-    grouped = rows.groupBy("_unit").agg(F.sum("_weight").alias("weight"), F.count("*").alias("copies"), *[F.min(n).alias(n) for n in names])
+    points = rows.select("_unit", "_weight", *[d.alias(n) for n, d in zip(names, dims)])
+    for n in [n for n, kind in points.dtypes if kind == "string"]:
+        points = points.withColumn(n, F.coalesce(F.col(n), F.lit("")))
+        points = points.join(small_side(ranks(points.select(F.col(n).alias("value")))), F.col(n) == F.col("value")).withColumn(n, F.col("rank")).drop("value", "rank")
+    grouped = points.groupBy("_unit").agg(F.sum("_weight").alias("weight"), F.count("*").alias("copies"), *[F.min(n).alias(n) for n in names])
     grouped = stage(grouped)
     total = grouped.agg(F.sum("weight")).first()[0] or 0
     limit = max(1, int(total / leaves * split_share))
@@ -67,7 +75,7 @@ def units(docs: DataFrame, text: str, dims: list[Column], leaves: int, split_sha
 
 
 def kd_tree(points: DataFrame, dims: list[str], leaves: int) -> DataFrame:
-    """``points`` with a ``leaf`` from 0; ``weight`` is what is balanced."""
+    """``points`` with a ``leaf`` from 0; ``weight`` is what is balanced. Coordinates end in ``TIE_BITS`` tie bits."""
     spark = points.sparkSession
     ranges = points.agg(*[F.min(d).alias(f"lo_{d}") for d in dims], *[F.max(d).alias(f"hi_{d}") for d in dims], F.sum("weight").alias("total")).first()
     if ranges["total"] is None:
@@ -85,7 +93,10 @@ def kd_tree(points: DataFrame, dims: list[str], leaves: int) -> DataFrame:
         ).collect()  # one row per node
         cuts = {}
         for box in boxes:
-            spread = {d: (box[f"hi_{d}"] - box[f"lo_{d}"]) / max(1, ranges[f"hi_{d}"] - ranges[f"lo_{d}"]) for d in dims}
+            def width(ends, d: str) -> int:
+                return (ends[f"hi_{d}"] >> TIE_BITS) - (ends[f"lo_{d}"] >> TIE_BITS)
+
+            spread = {d: width(box, d) / max(1, width(ranges, d)) for d in dims}
             widest = max(dims, key=lambda d: spread[d])
             a, b = box["_from"], box["_to"]
             middle = (a + b) // 2
@@ -149,9 +160,9 @@ def slots(df: DataFrame, shard: str = "shard", block: int = SLOT_BLOCK) -> DataF
 
 
 def shard_documents(docs: DataFrame, leaves: int = 8, doc_id: str = "doc_id", text: str = "text", dims: list[Column] | None = None, split_share: float = 0.5) -> DataFrame:
-    """``doc_id, size, text_crc32, shard, slot``. ``dims`` are whole numbers from 0; by default size, language and source."""
+    """``doc_id, size, text_crc32, shard, slot``. ``dims`` are whole numbers from 0, or strings; by default size, language and source."""
     if dims is None:
-        dims = [F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint"), text_code(F.col("lang")), text_code(F.col("source"))]
+        dims = [F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint"), F.col("lang").cast("string"), F.col("source").cast("string")]
     names = [f"_d{i}" for i in range(len(dims))]
     rows, points = units(docs, text, dims, leaves, split_share)
     leaf = kd_tree(points, names, leaves).select("_unit", "parts", "part", "leaf")

@@ -205,6 +205,23 @@ def test_a_text_that_holds_most_bytes_is_split(spark):
     assert max(size.values()) - min(size.values()) <= 0.2 * sum(size.values()) / 4
 
 
+def test_shards_follow_whole_source_names(spark):
+    rows = [(i, f"text {i:04}", "en", f"http://site/{i % 8}") for i in range(400)]
+    where = defaultdict(Counter)
+    source = {r[0]: r[3] for r in rows}
+    for r in sharding.shard_documents(spark.createDataFrame(rows, "doc_id int, text string, lang string, source string"), 4).collect():
+        where[r.shard][source[r.doc_id]] += 1
+    # Two sources to a shard, in the order of their names.
+    names = [sorted(c) for c in where.values()]
+    assert sorted(names) == [[f"http://site/{i}", f"http://site/{i + 1}"] for i in range(0, 8, 2)]
+
+
+def test_names_are_ranked_whole(spark):
+    values = [f"src{i}" for i in range(300)] + ["", "é", "src1"]
+    df = spark.createDataFrame([(v,) for v in values], "value string").repartition(5)
+    assert {r["value"]: r["rank"] for r in sharding.ranks(df).collect()} == {v: i for i, v in enumerate(sorted(set(values), key=str.encode))}
+
+
 def test_pieces(docs, nothing, corpus):
     agenda = pieces.load(PIECE_BPE)
     rng = random.Random(4)
