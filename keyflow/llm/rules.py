@@ -5,12 +5,13 @@ characters per word. The cutoff of a rule in a stratum is chosen from a fixed gr
 them into two halves:
 
 * The holdout decides which cutoffs are safe. Going from the most lenient to the strictest, a cutoff is certified while the exact
-  binomial test rejects "it turns down more than ``risk / rules`` of the good documents" at level ``error / (rules * strata)``, and the first
-  failure ends the row (fixed-sequence testing within a rule and stratum, Bonferroni across them). So with probability 1 - ``error`` all
-  certified cutoffs together turn down at most ``risk`` of the good documents of every stratum.
+  binomial test rejects "it turns down more than ``risk / rules`` of the good documents" at level ``error / (rules * groups)``, and the first
+  failure ends the row (fixed-sequence testing within a rule and group, Bonferroni across them). A group is a stratum with enough good holdout
+  documents to certify a cutoff that turns none of them down; all strata with fewer share one group. Only these numbers settle the groups, not what cutoffs
+  turn down. So with probability 1 - ``error`` all certified cutoffs together turn down at most ``risk`` of the good documents of every group.
 * The other half picks, among the certified cutoffs, the one that turns down most bad documents, less ``regret`` for each good one.
 
-A rule without a certified or useful cutoff in a stratum turns nothing down there. Only counts per stratum, rule and cutoff reach the driver.
+A rule without a certified or useful cutoff in a group turns nothing down there; nor does any rule in a stratum without good holdout documents. Only counts per stratum, rule and cutoff reach the driver.
 
 Defined results: a null or empty text has no words and fails the base rule. Without labels, or labels of one kind, no rule
 is switched on. Strata beyond the ``MAX_STRATA`` most frequent share one stratum. Repeated rows are judged and counted as often as they come.
@@ -113,8 +114,18 @@ def certified(false: list[int], good: int, risk: float, level: float) -> list[in
     return out
 
 
+def groups(good: dict[str, int], risk: float, error: float) -> list[list[str]]:
+    """Strata that share their cutoffs, by their numbers of good holdout documents: as many as can be certified alone, and the rest together."""
+    order = sorted((s for s, n in good.items() if n), key=lambda s: (-good[s], s))
+    for alone in range(len(order), 0, -1):
+        out = [[s] for s in order[:alone]] + [order[alone:]] * (alone < len(order))
+        if at_most(0, good[order[alone - 1]], risk / len(RULES)) <= error / (len(RULES) * len(out)):
+            return out
+    return [order] if order else []
+
+
 def thresholds(judged: DataFrame, labels: DataFrame, doc_id: str, quality: str, risk: float, error: float, regret: float) -> dict[str, dict[str, float]]:
-    """Cutoffs per rule and stratum, from features with ``_stratum`` and ``base_failed``."""
+    """Cutoffs per rule and stratum (equal ones within a group), from features with ``_stratum`` and ``base_failed``."""
     marks = labels.select(F.col(doc_id).alias("_id"), F.col(quality).alias("_good")).filter("_id IS NOT NULL AND _good IS NOT NULL")
     marks = marks.groupBy("_id").agg(F.max("_good").alias("_good"))
     known = judged.filter(~F.col("base_failed")).join(small_side(marks), F.col(doc_id) == F.col("_id"))
@@ -131,20 +142,21 @@ def thresholds(judged: DataFrame, labels: DataFrame, doc_id: str, quality: str,
     table: dict[tuple, dict[int, int]] = {}
     for r in counts:
         table.setdefault((r["_stratum"], r["rule"], r["holdout"], r["good"]), {})[r["beyond"]] = r["n"]
-    strata = {k[0] for k in table}
+    # Every rule has seen the same documents.
+    held = {s: sum(table.get((s, "symbols", True, True), {}).values()) for s in {k[0] for k in table}}
+    shared = groups(held, risk, error)
     out: dict[str, dict[str, float]] = {r: {} for r in RULES}
-    for stratum in strata:
+    for strata in shared:
         for rule, grid in RULES.items():
             def past(holdout: bool, good: bool) -> list[int]:
-                n = table.get((stratum, rule, holdout, good), {})
-                return [sum(v for k, v in n.items() if k > i) for i in range(len(grid))]
+                n = [x for s in strata for x in table.get((s, rule, holdout, good), {}).items()]
+                return [sum(v for k, v in n if k > i) for i in range(len(grid))]
 
-            good = sum(table.get((stratum, rule, True, True), {}).values())
-            safe = certified(past(True, True), good, risk / len(RULES), error / (len(RULES) * len(strata))) if good else []
+            safe = certified(past(True, True), sum(held[s] for s in strata), risk / len(RULES), error / (len(RULES) * len(shared)))
             gain = [b - regret * g for b, g in zip(past(False, False), past(False, True))]
             best = max(safe, key=lambda i: (gain[i], i), default=None)
             if best is not None and gain[best] > 0:
-                out[rule][stratum] = grid[best]
+                out[rule].update(dict.fromkeys(strata, grid[best]))
     return out
 
 

@@ -284,3 +284,25 @@ def test_rules_keep_good_documents(spark, docs, nothing):
     assert not any(got[i] for i in range(0, 3000, 5)) and sum(got[i] for i in range(3000) if i % 5) > 0.97 * 2400
     assert all(not r.failed_rules for r in rules.judge(docs, marks.limit(0)).collect())
     assert rules.judge(nothing, marks).collect() == []
+
+
+def test_strata_that_cannot_be_certified_alone_share_their_cutoffs():
+    assert rules.groups({"en": 1064, "de": 270, "fr": 248, "es": 156, "it": 0}, 0.04, 0.05) == [["en"], ["de", "fr", "es"]]
+    assert rules.groups({"a": 5000, "b": 4000}, 0.04, 0.05) == [["a"], ["b"]]
+    assert rules.groups({"a": 300, "b": 300}, 0.04, 0.05) == [["a", "b"]] and rules.groups({}, 0.04, 0.05) == []
+
+
+def test_rules_reach_strata_with_few_labels(spark):
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
+    rows, labels = [], []
+    for i in range(4200):
+        lang = ["en", "en", "en", "de", "fr", "es", "it"][i % 7]
+        bad = i % 5 == 0
+        rows.append((i, " ".join(rng.choice(words) + "##" * bad for _ in range(60)), lang))
+        if lang != "it":
+            labels.append((i, 0 if bad else 1))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    out = rules.judge(frame, spark.createDataFrame(labels, "doc_id bigint, quality int")).collect()
+    rejected = Counter(r.stratum for r in out if not r.kept)
+    assert rejected == {"en": 360, "de": 120, "fr": 120, "es": 120} and all(r.doc_id % 5 == 0 for r in out if not r.kept)
