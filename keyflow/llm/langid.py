@@ -2,26 +2,27 @@
 
 A text is cut into windows of ``WINDOW`` bytes, the last one filled up with zeros. Filters of several widths run over a window's
 bytes, each keeps its largest response, and a softmax layer turns these into languages. The network is trained in numpy, with
-gradients written out, on a bounded sample of labelled texts: at most ``FIT_ROWS`` documents of at most ``FIT_BYTES`` bytes, picked by a hash of their identifier, and
-at most ``FIT_WINDOWS`` windows of each. A text's prediction is the mean of its windows' log probabilities, weighted by their bytes; all windows of the whole text count.
+gradients written out, on a bounded sample of labelled texts: of every language at most ``FIT_ROWS`` documents of at most ``FIT_BYTES`` bytes, picked by a hash of
+their identifier, and at most ``FIT_WINDOWS`` windows of each. So a rare language is learnt from all it has up to that number; the sample, 512 bytes a document,
+and the time to fit grow with the number of languages. A text's prediction is the mean of its windows' log probabilities, weighted by their bytes; all windows of the whole text count.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; so is every text if nothing could be learnt. Null languages are never learnt.
-Repeated rows are predicted alike. A very long text is many windows, handled in blocks.
+Repeated rows are learnt once and predicted alike. A very long text is many windows, handled in blocks.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import crc_bucket, map_arrow
+from keyflow.llm.common import crc_bucket, map_arrow, small_side, stage
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
 FILTERS = 8
-FIT_ROWS, FIT_BYTES, FIT_WINDOWS = 3_000, 16_384, 4
+FIT_ROWS, FIT_BYTES, FIT_WINDOWS = 750, 16_384, 4
 EPOCHS, BATCH, RATE = 6, 64, 0.01
 # Windows handled at once.
 BLOCK = 4_096
@@ -107,23 +108,47 @@ class Network:
                     w -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
 
 
-def fit(rows: list[tuple[str, str]]) -> tuple[list[str], Network] | None:
-    """Languages and network, from (text, language)."""
-    rows = [r for r in rows if has_letter(r[0])]
+def learnable(text: str) -> bytes:
+    """The windows of a text that are learnt from."""
+    parts = windows(text)[0]
+    return parts[np.unique(np.linspace(0, len(parts) - 1, FIT_WINDOWS).astype(int))].tobytes()
+
+
+def fit(rows: list[tuple[bytes, str]]) -> tuple[list[str], Network] | None:
+    """Languages and network, from (learnable windows, language)."""
     languages = sorted({lang for _, lang in rows})
     if not languages:
         return None
-    x, y = [], []
-    for text, lang in rows:
-        parts = windows(text)[0]
-        chosen = parts[np.unique(np.linspace(0, len(parts) - 1, FIT_WINDOWS).astype(int))]
-        x.append(chosen)
-        y += [languages.index(lang)] * len(chosen)
+    number = {lang: i for i, lang in enumerate(languages)}
+    x = np.frombuffer(b"".join(parts for parts, _ in rows), np.uint8).reshape(-1, WINDOW)
+    y = np.repeat([number[lang] for _, lang in rows], [len(parts) // WINDOW for parts, _ in rows])
     network = Network(len(languages))
-    network.train(np.concatenate(x), np.array(y))
+    network.train(x, y)
     return languages, network
 
 
+def sample(usable: DataFrame) -> list[tuple[bytes, str]]:
+    """At most ``FIT_ROWS`` rows of each language, as learnable windows."""
+    keyed = usable.select("text", "lang", F.xxhash64("doc_id").alias("_h"), F.xxhash64("text").alias("_key"))
+    keys = ["lang", "_h", "_key"]
+    # Keys are ranked, not texts, and only those of the first ranges of hashes that hold enough, so that a common language is not sorted in one task.
+    known = stage(keyed.select(*keys).distinct().withColumn("_range", F.shiftright("_h", 54)))
+    before = Window.partitionBy("lang").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = known.groupBy("lang", "_range").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    first = known.join(small_side(ranges.filter(F.col("_before") < FIT_ROWS).select("lang", "_range")), ["lang", "_range"])
+    least = Window.partitionBy("lang").orderBy("_h", "_key")
+    chosen = first.select(*keys).withColumn("_n", F.row_number().over(least)).filter(F.col("_n") <= FIT_ROWS).drop("_n")
+    found = keyed.join(small_side(chosen), keys)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        parts = pa.array([learnable(t) for t in batch.column("text").to_pylist()], pa.binary())
+        return pa.RecordBatch.from_arrays([*[batch.column(c) for c in keys], parts], [*keys, "parts"])
+
+    cut = map_arrow(found.select("text", *keys), run, "lang string, _h bigint, _key bigint, parts binary")
+    learnt = cut.groupBy(*keys).agg(F.min("parts").alias("parts")).orderBy("_h", "_key", "lang").select("parts", "lang").toArrow()
+    return list(zip(learnt.column("parts").to_pylist(), learnt.column("lang").to_pylist()))
+
+
 def has_letter(text: str | None) -> bool:
     return any(map(str.isalpha, text or ""))
 
@@ -149,10 +174,9 @@ def predict(model: tuple[list[str], Network], values: list[str | None]) -> tuple
 def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", allowed=None) -> DataFrame:
     """``doc_id, lang_pred, score``. ``allowed`` says, by the identifier, which rows may be learnt from."""
     allowed = allowed or (lambda c: crc_bucket(c, 4) != 2)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    usable = rows.filter(allowed("doc_id") & F.col("lang").isNotNull() & (F.octet_length("text") <= FIT_BYTES) & (F.length(F.trim("text")) > 0))
-    learnt = usable.orderBy(F.xxhash64("doc_id"), "text").limit(FIT_ROWS).select("text", "lang").toArrow()
-    model = fit(list(zip(learnt.column("text").to_pylist(), learnt.column("lang").to_pylist())))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
+    usable = rows.filter(allowed("doc_id") & F.col("lang").isNotNull() & (F.octet_length("text") <= FIT_BYTES) & F.col("text").rlike(r"\p{L}"))
+    model = fit(sample(usable))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

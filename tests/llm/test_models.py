@@ -62,6 +62,16 @@ def test_language(spark):
     assert langid.identify(docs.limit(0)).collect() == []
 
 
+def test_a_rare_language_is_learnt(spark, monkeypatch):
+    monkeypatch.setattr(langid, "FIT_ROWS", 200)
+    rng = random.Random(12)
+    rows = [(i, syllables(rng, rng.randrange(20, 80), GERMAN if i % 100 == 0 else ENGLISH), "de" if i % 100 == 0 else "en") for i in range(6000)]
+    out = langid.identify(spark.createDataFrame(rows + rows[:1] * 300, "doc_id bigint, text string, lang string")).collect()
+    right = [r.lang_pred == ("de" if r.doc_id % 100 == 0 else "en") for r in out]
+    rare = [x for x, r in zip(right, out) if r.doc_id and r.doc_id % 100 == 0]
+    assert len(rare) == 59 and sum(rare) >= 56 and sum(right) >= 0.97 * len(right)
+
+
 def test_network_gradients():
     rng = np.random.default_rng(1)
     net = langid.Network(3)
