@@ -7,8 +7,8 @@
 3. Answer-level skipping. In each index list the most central node is the pivot and is compared with the list's other nodes, which costs one
    comparison per entry. Nodes that link with the same pivot are known to be connected and are never compared with each other.
 4. Index-level skipping. What is left in a list, nodes of different pivots, is sorted by set size and cut into blocks of sizes; a node looks
-   only into blocks whose sizes can reach the similarity, and there skips entries whose positions leave too few shingles. A pair whose distances to
-   a common pivot differ by more than the threshold is skipped too: the Jaccard distance is a metric.
+   only into blocks whose sizes can reach the similarity, and there skips entries whose positions leave too few shingles. Distances to a
+   common pivot skip no pair: they are only known where a node links with the pivot, and two such distances never differ by more than the threshold.
 5. Pairs are compared on a quarter of their sets first, which bounds what the whole can reach, and then exactly. Links become components by label propagation in the cluster.
 
 A shingle is a 64-bit Rabin-Karp hash of its words; two different ones of a pair are taken for equal with a probability of about n * n / 2**64.
