@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.llm import jaccard, langid, packing, pieces, quality, rules, sharding, substring, topk, toxicity
+from keyflow.llm import centroids, jaccard, langid, packing, pieces, quality, rules, sharding, substring, token_counts, topk, toxicity
 from keyflow.llm.common import crc_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,6 +105,47 @@ def op10_language_id(spark, sf_dir):
     return out.select("doc_id", (crc_bucket("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op11_centroid_clustering(spark, sf_dir):
+    assignment, found = centroids.cluster(table(spark, sf_dir, "embeddings"), 40, 5, 256, 64, "2")
+    return centroids.report(assignment, found)
+
+
+def _clustering_sql(k: int, rounds: int) -> str:
+    """The rounds written out, over whole tables: the nearest of all centroids per vector, then the floor of the mean."""
+    square = "list_sum(list_transform(list_zip(v.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    parts = [
+        """v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""c0 AS MATERIALIZED (SELECT * FROM (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS INT) AS c, v FROM v WHERE vec_id IS NOT NULL) WHERE c < {k})""",
+    ]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (
+  SELECT row, any_value(vec_id) AS vec_id, any_value(v) AS v, min({{'d': d, 'c': c}}) AS best
+  FROM (SELECT v.row, v.vec_id, v.v, c.c, CAST({square} AS BIGINT) AS d FROM v CROSS JOIN c{r} AS c) GROUP BY row)""")
+        if r < rounds:
+            parts.append(f"""s{r} AS (
+  SELECT c, pos, sum(x) AS s, count(*) AS n
+  FROM (SELECT best.c AS c, unnest(v) AS x, unnest(range(len(v))) AS pos FROM a{r}) GROUP BY c, pos),
+m{r} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY pos) AS v FROM s{r} GROUP BY c),
+c{r + 1} AS MATERIALIZED (SELECT c{r}.c, coalesce(m{r}.v, c{r}.v) AS v FROM c{r} LEFT JOIN m{r} ON c{r}.c = m{r}.c)""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, best.c AS cluster, best.d AS distance, CAST(sum(best.d) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} AS c ON best.c = c.c"""
+
+
+ORACLE_SQL["op11_centroid_clustering"] = _clustering_sql(40, 5)
+
+
+@query
+def op12_token_counts(spark, sf_dir):
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
