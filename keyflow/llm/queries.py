@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.llm import centroids, jaccard, langid, packing, pieces, quality, rules, sharding, substring, token_counts, topk, toxicity
+from keyflow.llm import centroids, conversations, jaccard, langid, packing, pieces, quality, rules, sharding, substring, token_counts, topk, toxicity
 from keyflow.llm.common import crc_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,6 +146,12 @@ def op12_token_counts(spark, sf_dir):
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+@query
+def op13_conversation_repair(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repair(conversations.damaged(rows), rows)
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
