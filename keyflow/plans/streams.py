@@ -97,6 +97,22 @@ def commit_watermark_stream(spark, sf_dir):
     return _last(_drain(stateful.commit_watermark_stream(attempts), "update"), S.PARTITION)
 
 
+@query
+def stalled_partitions_stream(spark, sf_dir):
+    """The log in two deliveries, one batch each. Some records of odd partitions are read in the first and finished in the second."""
+    base = _run_dir(spark)
+    attempts = fx.attempts(spark, sf_dir)
+    half = F.call_function("div", F.lit(attempts.agg(F.max("offset")).first()[0] or 0), F.lit(2))
+    late = (F.col("partition") % 2 == 1) & (F.col("offset") % 7 == 3)
+    first = attempts.filter(F.col("offset") < half).withColumn("done_us", F.when(~late, F.col("done_us")))
+    second = attempts.filter((F.col("offset") >= half) | late)
+    for part in (first, second):
+        part.write.mode("append").parquet(f"{base}/in")
+        alarms = stateful.stalled_partitions_stream(runner.read_stream_of(spark, f"{base}/in", attempts.schema), 1)
+        runner.collect_updates(alarms, f"{base}/out", f"{base}/checkpoint", "update", once=True).awaitTermination()
+    return spark.read.schema(alarms.schema.add("batch_id", T.LongType())).parquet(f"{base}/out")
+
+
 @query
 def throttle_stream(spark, sf_dir):
     logs = _events(spark, sf_dir).select(

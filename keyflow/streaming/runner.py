@@ -100,13 +100,21 @@ def stop_gracefully(query: StreamingQuery, drain_seconds: float = 20.0) -> bool:
     return idle
 
 
-def collect_updates(df: DataFrame, path: str, checkpoint: str, mode: str = "append", drain: bool = True) -> StreamingQuery:
-    """Write what a streaming DataFrame emits to ``path``, one folder per batch."""
+def collect_updates(
+    df: DataFrame, path: str, checkpoint: str, mode: str = "append", drain: bool = True, once: bool = False
+) -> StreamingQuery:
+    """Write what a streaming DataFrame emits to ``path``, one folder per batch.
+
+    With ``once`` a single batch takes all there is. Operators with processing-time timers need it to end: as long as a timer may
+    fire, a drain goes on with empty batches.
+    """
     writer = (
         df.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(lambda batch, batch_id: overwrite_batch(batch, path, batch_id))
     )
+    if once:
+        return writer.trigger(once=True).start()
     return (writer.trigger(availableNow=True) if drain else writer).start()
 
 

@@ -13,26 +13,16 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from keyflow import schema as S
 from keyflow.operators.ops import DEFAULT_BAIL_MS, DEFAULT_LOG_INTERVAL_MS
+from keyflow.streaming.state import with_state
+from keyflow.streaming.watermark import commit_watermark_stream, stalled_partitions_stream
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def use_state_store(spark: SparkSession) -> None:
-    """Select the state store keyed state needs; takes effect for queries started afterwards."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-
-
-def _with_state(df: DataFrame, keys: list[str], processor: StatefulProcessor, schema, time_mode: str = "None") -> DataFrame:
-    use_state_store(df.sparkSession)
-    return df.groupBy(*keys).transformWithStateInPandas(processor, schema, "Update", time_mode)
-
+__all__ = ["commit_watermark_stream", "process_by_key_stream", "stalled_partitions_stream", "sustained_failures_stream", "throttle_stream"]
 
 # ---- per-key ordered processing ------------------------------------------------------------------------------------
 
@@ -71,144 +61,10 @@ def process_by_key_stream(
     number of keys.
     """
     time_mode = "ProcessingTime" if ttl_ms else "None"
-    return _with_state(df, ["topic", "key_str"], _KeyProcessor(step, initial, ttl_ms), out_schema, time_mode)
-
-
-# ---- commit watermark ----------------------------------------------------------------------------------------------
-
-WATERMARK_SCHEMA = (
-    "topic string, partition int, highest_ready_offset bigint, max_offset_seen bigint, gap_buffer_depth bigint"
-)
-_SPANS_SCHEMA = "topic string, partition int, lo bigint, hi bigint, done boolean"
-
-
-def _merge_ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted disjoint ranges covering the same whole numbers; neighbours are joined."""
-    if len(lo) == 0:
-        return lo, hi
-    order = np.argsort(lo, kind="stable")
-    lo, reach = lo[order], np.maximum.accumulate(hi[order])
-    first = np.concatenate(([True], lo[1:] > reach[:-1] + 1))
-    last = np.concatenate((first[1:], [True]))
-    return lo[first], reach[last]
-
-
-def _finished_ranges(df: DataFrame) -> DataFrame:
-    """Finished offsets as ranges, merged within each task: neighbours of a log are read by the same task."""
-
-    def batches(source: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in source:
-            for (topic, partition), group in pdf.groupby(["topic", "partition"], sort=False):
-                offsets = group["offset"].to_numpy(dtype=np.int64)
-                lo, hi = _merge_ranges(offsets, offsets)
-                yield pd.DataFrame({"topic": topic, "partition": partition, "lo": lo, "hi": hi, "done": True})
-
-    finished = df.filter(F.col("done_us").isNotNull()).select(*S.COORDINATES)
-    return finished.mapInPandas(batches, _SPANS_SCHEMA)
-
-
-class _IntegerWatermark(StatefulProcessor):
-    """State: next offset to commit, and the finished ranges beyond it."""
-
-    def __init__(self, start: int):
-        self.start = start
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("ranges", "next bigint, lo array<bigint>, hi array<bigint>")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows))
-        lo, hi = pdf["lo"].to_numpy(dtype=np.int64), pdf["hi"].to_numpy(dtype=np.int64)
-        following = self.start
-        if self.state.exists():
-            following, old_lo, old_hi = self.state.get()
-            lo = np.concatenate((lo, np.array(old_lo, dtype=np.int64)))
-            hi = np.concatenate((hi, np.array(old_hi, dtype=np.int64)))
-        keep = hi >= following
-        lo, hi = _merge_ranges(np.maximum(lo[keep], following), hi[keep])
-        if len(lo) and lo[0] == following:
-            following, lo, hi = int(hi[0]) + 1, lo[1:], hi[1:]
-        self.state.update((int(following), [int(x) for x in lo], [int(x) for x in hi]))
-        ready = following - 1 if following > self.start else -1
-        yield pd.DataFrame(
-            {
-                "topic": [key[0]],
-                "partition": [key[1]],
-                "highest_ready_offset": [ready],
-                "max_offset_seen": [int(hi[-1]) if len(hi) else following - 1],
-                "gap_buffer_depth": [int((hi - lo + 1).sum())],
-            }
-        )
-
-    def close(self) -> None:
-        pass
-
-
-def _latest_flags(df: DataFrame) -> DataFrame:
-    """One row per offset and task batch: has it been finished. Reading and finishing may come as separate rows."""
-
-    def batches(source: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in source:
-            flags = pdf.groupby(["topic", "partition", "lo"], sort=False, as_index=False)["done"].max()
-            flags["hi"] = flags["lo"]
-            yield flags[["topic", "partition", "lo", "hi", "done"]]
+    return with_state(df, ["topic", "key_str"], _KeyProcessor(step, initial, ttl_ms), out_schema, time_mode)
 
-    events = df.select(*S.PARTITION, F.col("offset").alias("lo"), F.col("done_us").isNotNull().alias("done"))
-    return events.mapInPandas(batches, _SPANS_SCHEMA)
 
-
-class _ReadWatermark(StatefulProcessor):
-    """State: highest ready and highest seen offset, and the offsets read above the ready one with their flag."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState(
-            "window", "ready bigint, seen bigint, offsets array<bigint>, done array<boolean>"
-        )
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows))
-        offsets, done = pdf["lo"].to_numpy(dtype=np.int64), pdf["done"].to_numpy(dtype=bool)
-        ready, seen = -1, -1
-        if self.state.exists():
-            ready, seen, old, old_done = self.state.get()
-            offsets = np.concatenate((offsets, np.array(old, dtype=np.int64)))
-            done = np.concatenate((done, np.array(old_done, dtype=bool)))
-        open_window = pd.Series(done, index=offsets)[offsets > ready].groupby(level=0).max()
-        offsets, done = open_window.index.to_numpy(dtype=np.int64), open_window.to_numpy(dtype=bool)
-        seen = max(seen, int(offsets[-1]) if len(offsets) else -1)
-        run = len(done) if done.all() else int(np.argmin(done))
-        if run:
-            ready = int(offsets[run - 1])
-        offsets, done = offsets[run:], done[run:]
-        self.state.update((int(ready), int(seen), [int(x) for x in offsets], [bool(x) for x in done]))
-        yield pd.DataFrame(
-            {
-                "topic": [key[0]],
-                "partition": [key[1]],
-                "highest_ready_offset": [ready],
-                "max_offset_seen": [seen],
-                "gap_buffer_depth": [int(done.sum())],
-            }
-        )
-
-    def close(self) -> None:
-        pass
-
-
-def commit_watermark_stream(df: DataFrame, mode: str = "read", start: int = 0) -> DataFrame:
-    """Commit watermark per partition after each batch; the latest row of a partition counts.
-
-    ``integer`` takes finished offsets and counts up from ``start``. ``read`` takes rows for records read (``done_us``
-    null) and finished, in any mix; records must not be read out of offset order across batches, as a log never does.
-    """
-    if mode == "integer":
-        return _with_state(_finished_ranges(df), S.PARTITION, _IntegerWatermark(start), WATERMARK_SCHEMA)
-    if mode != "read":
-        raise ValueError(f"mode must be 'read' or 'integer', got {mode!r}")
-    return _with_state(_latest_flags(df), S.PARTITION, _ReadWatermark(), WATERMARK_SCHEMA)
-
-
-# ---- poll failures, throttle, liveness -----------------------------------------------------------------------------
+# ---- poll failures, throttle -----------------------------------------------------------------------------
 
 
 class _SustainedFailures(StatefulProcessor):
@@ -243,7 +99,7 @@ class _SustainedFailures(StatefulProcessor):
 def sustained_failures_stream(fetch_log: DataFrame, bail_ms: int = DEFAULT_BAIL_MS) -> DataFrame:
     """One row per run of failures, at the fetch with which it has lasted ``bail_ms``."""
     schema = "topic string, partition int, first_us bigint, reported_us bigint, err string"
-    return _with_state(fetch_log, S.PARTITION, _SustainedFailures(bail_ms * 1000), schema)
+    return with_state(fetch_log, S.PARTITION, _SustainedFailures(bail_ms * 1000), schema)
 
 
 class _Throttle(StatefulProcessor):
@@ -278,43 +134,4 @@ def throttle_stream(
     """Instants kept by the log throttle; rows must not come out of time order across batches."""
     types = {f.name: f for f in df.schema.fields}
     schema = T.StructType([*[types[k] for k in keys], T.StructField(time, T.LongType())])
-    return _with_state(df.select(*keys, time), keys, _Throttle(keys, time, interval_ms * 1000), schema)
-
-
-class _Watchdog(StatefulProcessor):
-    """State: last completion and open work; a timer fires when nothing finished for the quiet time."""
-
-    def __init__(self, quiet_ms: int):
-        self.quiet_ms = quiet_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("progress", "last_done bigint, high bigint")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        last_done, high = self.state.get() if self.state.exists() else (-1, -1)
-        for pdf in rows:
-            high = max(high, int(pdf["offset"].max()))
-            done = pdf.loc[pdf["done_us"].notna(), "offset"]
-            if len(done):
-                last_done = max(last_done, int(done.max()))
-        for timer in self.handle.listTimers():
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.quiet_ms)
-        self.state.update((last_done, high))
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        last_done, high = self.state.get()
-        if high > last_done:
-            yield pd.DataFrame({"topic": [key[0]], "partition": [key[1]], "behind": [high - last_done]})
-
-    def close(self) -> None:
-        pass
-
-
-def stalled_partitions_stream(attempts: DataFrame, quiet_ms: int) -> DataFrame:
-    """A row when a partition with work behind has shown no activity for ``quiet_ms`` of processing time."""
-    schema = "topic string, partition int, behind bigint"
-    events = attempts.select(*S.COORDINATES, "done_us")
-    return _with_state(events, S.PARTITION, _Watchdog(quiet_ms), schema, "ProcessingTime")
+    return with_state(df.select(*keys, time), keys, _Throttle(keys, time, interval_ms * 1000), schema)

@@ -10,7 +10,7 @@ from keyflow.operators import delivery, metrics, ordering
 from keyflow.operators import ops as O
 from keyflow.operators import process as P
 from keyflow.sources import sinks
-from keyflow.streaming import runner, stateful, stateless
+from keyflow.streaming import runner, stateful, stateless, watermark
 
 
 def as_files(df, path, order, files=4):
@@ -119,9 +119,9 @@ def test_integer_watermark(spark, tmp_path):
 def test_merge_ranges():
     import numpy as np
 
-    lo, hi = stateful._merge_ranges(np.array([5, 1, 2, 9, 3]), np.array([7, 1, 8, 9, 3]))
+    lo, hi = watermark.merge_ranges(np.array([5, 1, 2, 9, 3]), np.array([7, 1, 8, 9, 3]))
     assert list(zip(lo, hi, strict=True)) == [(1, 9)]
-    lo, hi = stateful._merge_ranges(np.array([5, 1]), np.array([5, 2]))
+    lo, hi = watermark.merge_ranges(np.array([5, 1]), np.array([5, 2]))
     assert list(zip(lo, hi, strict=True)) == [(1, 2), (5, 5)]
 
 
@@ -153,23 +153,24 @@ def test_drop_redeliveries(spark, tmp_path):
     assert got.count() == len(coordinates) and got.select("partition", "offset").distinct().count() == len(coordinates)
 
 
-def test_watchdog(spark, tmp_path):
-    path = str(tmp_path / "in")
-    frame(spark, [attempt(1, done=5), attempt(2), attempt(1, done=5, partition=1)]).coalesce(1).write.parquet(path)
-    out = str(tmp_path / "out")
-    df = stateful.stalled_partitions_stream(stream(spark, path, ATTEMPT_SCHEMA), 1000)
-    query = runner.collect_updates(df, out, str(tmp_path / "checkpoint"), "update", drain=False)
-    try:
-        deadline, rows = time.time() + 60, []
-        while not rows and time.time() < deadline:
-            time.sleep(0.5)
-            try:
-                rows = spark.read.parquet(out).collect()
-            except Exception:  # noqa: BLE001 - nothing written yet
-                rows = []
-    finally:
-        query.stop()
-    assert [(r.partition, r.behind) for r in rows] == [(0, 1)]
+def test_watchdog_looks_at_the_contiguous_position(spark, tmp_path):
+    """Offset 10 is finished while 1 to 9 are open; on partition 1 everything is finished; on partition 2 the watermark moves on."""
+    path, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    steps = [
+        [attempt(o) for o in range(1, 10)] + [attempt(10, done=5), attempt(1, done=5, partition=1)] + [attempt(o, partition=2) for o in (1, 2)],
+        [attempt(11, done=6), attempt(1, done=7, partition=2)],
+        [attempt(o, done=8) for o in range(1, 10)] + [attempt(3, done=9, partition=2)],
+    ]
+    alarms = []
+    for rows in steps:
+        frame(spark, rows).coalesce(1).write.mode("append").parquet(path)
+        df = stateful.stalled_partitions_stream(stream(spark, path, ATTEMPT_SCHEMA), 1)
+        runner.collect_updates(df, out, checkpoint, "update", once=True).awaitTermination()
+        found = spark.read.schema(df.schema).parquet(out)
+        alarms.append(sorted((r.partition, r.first_open, r.highest_ready_offset, r.behind, r.held) for r in found.collect()))
+    assert alarms[0] == []
+    assert alarms[1] == [(0, 1, -1, 12, 2)]
+    assert alarms[2] == [(0, 1, -1, 12, 2), (2, 2, 1, 2, 1)]
 
 
 def rules(df):
