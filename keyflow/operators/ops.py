@@ -14,7 +14,8 @@ from keyflow import schema as S
 from keyflow.functions import text
 from keyflow.operators.delivery import ordered_pair
 from keyflow.operators.prefix import DEFAULT_BITS, HOT_ROWS, TIME_BITS, Running, running
-from keyflow.operators.staging import small_side
+from keyflow.operators.scan import exclusive_scan
+from keyflow.operators.staging import small_side, stage
 
 # Defaults and limits, in milliseconds.
 DEFAULT_BAIL_MS = 600_000
@@ -101,6 +102,92 @@ def sustained_failures(fetch_log: DataFrame, bail_ms: int = DEFAULT_BAIL_MS, bit
     return runs.filter(F.col("last_us") - F.col("first_us") >= bail_ms * 1000).withColumn("reason", reason)
 
 
+def _floor_div(column: Column, by: int) -> Column:
+    """Whole-number division that rounds down, below zero too."""
+    by = F.lit(by).cast("bigint")
+    return F.call_function("div", column - F.pmod(column, by), by)
+
+
+# Cells of a stretch that are walked in one task; each cell is as wide as the throttle's interval.
+BLOCK_CELLS = 8
+
+
+def kept_instants(instants: np.ndarray, last: int | None, width: int) -> list[int]:
+    """Of sorted instants those a throttle keeps that has kept ``last`` before."""
+    kept, at = [], 0 if last is None else int(np.searchsorted(instants, last + width))
+    while at < len(instants):
+        kept.append(int(instants[at]))
+        at = int(np.searchsorted(instants, kept[-1] + width))
+    return kept
+
+
+class Steps:
+    """What a block of instants makes of the instant kept last before it, as a step function.
+
+    ``upto`` rises; an entry up to ``upto[i]`` (and above ``upto[i - 1]``) leaves the block with ``kept[i]`` as the last kept instant, an entry
+    above all of them leaves it unchanged, as the throttle still holds back everything in the block.
+    """
+
+    def __init__(self, upto: np.ndarray, kept: np.ndarray):
+        # Neighbouring steps that end alike are one.
+        last = np.append(kept[1:] != kept[:-1], True) if len(kept) else np.zeros(0, bool)
+        self.upto, self.kept = upto[last], kept[last]
+
+    def after(self, entry: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.upto, entry)
+        inside = at < len(self.upto)
+        return np.where(inside, self.kept[np.minimum(at, max(len(self.kept) - 1, 0))], entry) if len(self.kept) else entry
+
+    def then(self, other: Steps) -> Steps:
+        beyond = other.upto > (self.upto[-1] if len(self.upto) else np.iinfo(np.int64).min)
+        return Steps(np.concatenate((self.upto, other.upto[beyond])), np.concatenate((other.after(self.kept), other.kept[beyond])))
+
+    def to_bytes(self) -> bytes:
+        return np.concatenate((self.kept, self.upto)).astype(">i8").tobytes()
+
+    @staticmethod
+    def of_bytes(data: bytes) -> Steps:
+        kept, upto = np.frombuffer(data, ">i8").astype(np.int64).reshape(2, -1)
+        return Steps(upto, kept)
+
+
+class StepsOfBlock:
+    """Builds the :class:`Steps` of a block from its instants in order, chunk by chunk. It holds one number per different course."""
+
+    def __init__(self, begin: int, width: int):
+        self.begin, self.width, self.closed = begin, width, False
+        self.upto, self.kept = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, instants: np.ndarray) -> None:
+        if not self.closed:
+            # The entry lies before the block, so the first instant kept lies in the first interval of the block or is the next one.
+            n = int(np.searchsorted(instants, self.begin + self.width)) + 1
+            self.closed = n <= len(instants)
+            first = instants[:n]
+            self.upto, self.kept = np.append(self.upto, first - self.width), np.append(self.kept, first)
+        while True:
+            at = np.searchsorted(instants, self.kept + self.width)
+            moving = at < len(instants)
+            if not moving.any():
+                break
+            self.kept[moving] = instants[at[moving]]
+        steps = Steps(self.upto, self.kept)
+        self.upto, self.kept = steps.upto, steps.kept.copy()
+
+    def steps(self) -> Steps:
+        return Steps(self.upto, self.kept)
+
+
+def _groups(pdf: pd.DataFrame, group: list[str]) -> Iterator[tuple[tuple, int, int]]:
+    """Runs of equal keys in sorted rows: ``key, begin, end``. Nulls are equal to nulls."""
+    before = pdf[group].shift()
+    changed = ((pdf[group] != before) & ~(pdf[group].isna() & before.isna())).any(axis=1).to_numpy()
+    changed[0] = True
+    edges = [*np.flatnonzero(changed), len(pdf)]
+    for begin, end in zip(edges, edges[1:], strict=False):
+        yield tuple(None if pd.isna(v) else v for v in pdf[group].iloc[begin]), begin, end
+
+
 def throttle(
     df: DataFrame,
     keys: Sequence[str],
@@ -113,25 +200,39 @@ def throttle(
 
     Columns ``keys, time, suppressed``: how many rows until the next kept instant were dropped. Equal instants of a key are
     merged before anything moves. Time is cut into cells as wide as the interval; across an empty cell the throttle has
-    always run out, so each stretch of neighbouring cells can be walked on its own, whatever its key. A walk streams
-    through sorted instants and jumps from one kept instant to the next.
+    always run out, so each stretch of neighbouring cells can be walked on its own, whatever its key. A stretch longer than ``BLOCK_CELLS`` is cut
+    into blocks: each block is turned into the step function from the instant kept last before it to the one kept last in it, a scan of these
+    functions tells every block what was kept before, and all blocks are walked side by side. A function has at most as many steps
+    as there are different instants in one interval.
     """
     keys = list(keys)
     width = interval_ms * 1000
     at = F.col(time).cast("bigint")
-    placed_in = df.select(*keys, at.alias("_at"), F.call_function("div", at, F.lit(width).cast("bigint")).alias("_cell"))
+    placed_in = df.filter(at.isNotNull()).select(*keys, at.alias("_at"), _floor_div(at, width).alias("_cell"))
     cells = placed_in.select(*keys, "_cell").distinct()
     ranked = running(
         cells, keys, ["_cell"], "_cell", [Running("_rank", F.lit(1).cast("bigint"))], bits, True, hot_rows
     )
-    stretches = ranked.select(*keys, "_cell", (F.col("_cell") - F.col("_rank")).alias("_stretch"))
+    stretches = small_side(ranked.select(*keys, "_cell", (F.col("_cell") - F.col("_rank")).alias("_stretch")))
     group = [*keys, "_stretch"]
-    # Null keys are keys too.
-    p, s = placed_in.alias("p"), small_side(stretches).alias("s")
-    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"s.{c}")) for c in [*keys, "_cell"]]
-    joined = p.join(s, same).select("p.*", "s._stretch")
-    instants = joined.groupBy(*group, "_at").agg(F.count("*").alias("_n"))
-    ordered = instants.repartition(*group).sortWithinPartitions(*group, "_at")
+    block = _floor_div(F.col("_cell"), BLOCK_CELLS)
+    ends = stretches.groupBy(*group).agg(F.min(block).alias("_from"), F.max(block).alias("_to"))
+    long = small_side(ends.filter("_from < _to"))
+    any_long = not long.isEmpty()
+
+    def same(left: str, right: str, columns: list[str]) -> list[Column]:
+        """Null keys are keys too."""
+        return [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns]
+
+    if any_long:
+        found = stretches.alias("c").join(long.alias("l"), same("c", "l", group), "left")
+        in_block = F.when(F.col("l._from").isNotNull(), _floor_div(F.col("c._cell"), BLOCK_CELLS))
+        stretches = small_side(found.select("c.*", in_block.alias("_block")))
+    else:
+        stretches = stretches.withColumn("_block", F.lit(None).cast("bigint"))
+    joined = placed_in.alias("p").join(stretches.alias("s"), same("p", "s", [*keys, "_cell"])).select("p.*", "s._stretch", "s._block")
+    whole = [*group, "_block"]
+    instants = joined.groupBy(*whole, "_at").agg(F.count("*").alias("_n"))
     key_types = {f.name: f for f in df.schema.fields}
     out_schema = T.StructType(
         [*[key_types[k] for k in keys], T.StructField(time, T.LongType()), T.StructField("suppressed", T.LongType())]
@@ -143,28 +244,59 @@ def throttle(
             rows = []
             at = pdf["_at"].to_numpy(dtype=np.int64)
             total = np.concatenate(([0], np.cumsum(pdf["_n"].to_numpy(dtype=np.int64))))
-            before = pdf[group].shift()
-            changed = ((pdf[group] != before) & ~(pdf[group].isna() & before.isna())).any(axis=1).to_numpy()
-            changed[0] = True
-            edges = [*np.flatnonzero(changed), len(pdf)]
-            for begin, end in zip(edges, edges[1:], strict=False):
-                group_key = tuple(None if pd.isna(v) else v for v in pdf[group].iloc[begin])
+            for group_key, begin, end in _groups(pdf, whole):
                 pos = begin
                 if group_key == current:
                     pos = begin + int(np.searchsorted(at[begin:end], kept + width))
                     dropped += int(total[pos] - total[begin])
                 while pos < end:
                     if current is not None:
-                        rows.append((*current[:-1], kept, dropped))
+                        rows.append((*current[: len(keys)], kept, dropped))
                     current, kept = group_key, int(at[pos])
                     after = pos + int(np.searchsorted(at[pos:end], kept + width))
                     dropped, pos = int(total[after] - total[pos]) - 1, after
             if rows:
                 yield pd.DataFrame(rows, columns=[*keys, time, "suppressed"])
         if current is not None:
-            yield pd.DataFrame([(*current[:-1], kept, dropped)], columns=[*keys, time, "suppressed"])
+            yield pd.DataFrame([(*current[: len(keys)], kept, dropped)], columns=[*keys, time, "suppressed"])
+
+    def walked(rows: DataFrame) -> DataFrame:
+        columns = [*whole, "_at", "_n"]
+        return rows.select(*columns).repartition(*whole).sortWithinPartitions(*whole, "_at").mapInPandas(walk, out_schema)
+
+    if not any_long:
+        return walked(instants)
+    instants = stage(instants)
+    in_blocks = instants.filter(F.col("_block").isNotNull())
+    parts = in_blocks.select(*whole, "_at").repartition(*whole).sortWithinPartitions(*whole, "_at")
+
+    def functions(source: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, building = None, None
+
+        def done():
+            return pd.DataFrame([(*current, building.steps().to_bytes())], columns=[*whole, "_steps"])
 
-    return ordered.mapInPandas(walk, out_schema)
+        for pdf in source:
+            at = pdf["_at"].to_numpy(dtype=np.int64)
+            for group_key, begin, end in _groups(pdf, whole):
+                if group_key != current:
+                    if current is not None:
+                        yield done()
+                    current, building = group_key, StepsOfBlock(int(group_key[-1]) * BLOCK_CELLS * width, width)
+                building.add(at[begin:end])
+        if current is not None:
+            yield done()
+
+    def composed(first: bytes, second: bytes) -> bytes:
+        return Steps.of_bytes(first).then(Steps.of_bytes(second)).to_bytes()
+
+    steps = parts.mapInPandas(functions, T.StructType([*[parts.schema[c] for c in whole], T.StructField("_steps", T.BinaryType())]))
+    carried = exclusive_scan(steps, group, "_block", "_steps", composed).filter("carry IS NOT NULL")
+    # Nothing was kept before the stretch, so the first step counts, the number that leads its bytes. It enters the block as a row of its own.
+    entering = carried.select(*whole, F.conv(F.hex(F.substring("carry", 1, 8)), 16, -10).cast("bigint").alias("_at"), F.lit(1).cast("bigint").alias("_n"))
+    kept = walked(instants.unionByName(entering))
+    # An instant kept in one block may hold back rows of the next ones.
+    return kept.groupBy(*keys, time).agg(F.sum("suppressed").alias("suppressed"))
 
 
 def throttle_tumbling(

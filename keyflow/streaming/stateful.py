@@ -1,7 +1,7 @@
 """Streaming operators with keyed state (``transformWithStateInPandas``, RocksDB state store).
 
-A micro-batch has no order, so each processor sorts the rows of a key within the batch; the batch size, set at the source,
-bounds that. Where the key is a partition of the log, and so few keys carry everything, rows are merged into ranges or
+A micro-batch has no order, so each processor sorts the rows of a key within the batch, by an external merge in the state store where they are
+many. Where the key is a partition of the log, and so few keys carry everything, rows are merged into ranges or
 single events inside each task before they are shuffled to the state.
 """
 
@@ -18,31 +18,35 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from keyflow import schema as S
-from keyflow.operators.ops import DEFAULT_BAIL_MS, DEFAULT_LOG_INTERVAL_MS
-from keyflow.streaming.state import with_state
+from keyflow.operators.ops import DEFAULT_BAIL_MS, DEFAULT_LOG_INTERVAL_MS, kept_instants
+from keyflow.streaming.state import RUN_STATE, SortedRows, with_state
 from keyflow.streaming.watermark import commit_watermark_stream, stalled_partitions_stream
 
 __all__ = ["commit_watermark_stream", "process_by_key_stream", "stalled_partitions_stream", "sustained_failures_stream", "throttle_stream"]
 
+# Rows of one key sorted in memory; beyond that they go through the state store.
+HELD_ROWS = 1 << 17
+
 # ---- per-key ordered processing ------------------------------------------------------------------------------------
 
 
 class _KeyProcessor(StatefulProcessor):
-    def __init__(self, step, initial, ttl_ms):
-        self.step, self.initial, self.ttl_ms = step, initial, ttl_ms
+    def __init__(self, step, initial, ttl_ms, held):
+        self.step, self.initial, self.ttl_ms, self.held = step, initial, ttl_ms, held
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("state", "data binary", self.ttl_ms)
+        self.runs = handle.getMapState("runs", *RUN_STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values(["partition", "offset"], kind="stable")
         state = pickle.loads(self.state.get()[0]) if self.state.exists() else self.initial
-        out = []
-        for row in pdf.itertuples(index=False):
-            state, produced = self.step(state, row)
-            out.append(produced)
+        for pdf in SortedRows(self.runs, ["partition", "offset"], self.held).frames(rows):
+            out = []
+            for row in pdf.itertuples(index=False):
+                state, produced = self.step(state, row)
+                out.append(produced)
+            yield pd.DataFrame(out)
         self.state.update((pickle.dumps(state),))
-        yield pd.DataFrame(out)
 
     def close(self) -> None:
         pass
@@ -54,14 +58,16 @@ def process_by_key_stream(
     out_schema: T.StructType | str,
     initial: Any = None,
     ttl_ms: int | None = None,
+    held_rows: int = HELD_ROWS,
 ) -> DataFrame:
     """``keyflow.operators.ordering.process_by_key`` on a stream: the state of a key is carried from batch to batch.
 
+    Memory holds ``held_rows`` rows of a key, however many a batch brings.
     ``ttl_ms`` drops the state of keys not seen for that long (needs processing time), without it state grows with the
     number of keys.
     """
     time_mode = "ProcessingTime" if ttl_ms else "None"
-    return with_state(df, ["topic", "key_str"], _KeyProcessor(step, initial, ttl_ms), out_schema, time_mode)
+    return with_state(df, ["topic", "key_str"], _KeyProcessor(step, initial, ttl_ms, held_rows), out_schema, time_mode)
 
 
 # ---- poll failures, throttle -----------------------------------------------------------------------------
@@ -75,22 +81,23 @@ class _SustainedFailures(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("run", "since bigint, reported boolean")
+        self.runs = handle.getMapState("runs", *RUN_STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values(["at_us", "seq"], kind="stable")
         since, reported = self.state.get() if self.state.exists() else (0, False)
-        out = []
-        for row in pdf.itertuples(index=False):
-            if row.ok:
-                since, reported = 0, False
-                continue
-            since = since or row.at_us
-            if not reported and row.at_us - since >= self.bail_us:
-                reported = True
-                out.append((key[0], key[1], since, row.at_us, row.err))
+        for pdf in SortedRows(self.runs, ["at_us", "seq"], HELD_ROWS).frames(rows):
+            out = []
+            for row in pdf.itertuples(index=False):
+                if row.ok:
+                    since, reported = 0, False
+                    continue
+                since = since or row.at_us
+                if not reported and row.at_us - since >= self.bail_us:
+                    reported = True
+                    out.append((key[0], key[1], since, row.at_us, row.err))
+            if out:
+                yield pd.DataFrame(out, columns=["topic", "partition", "first_us", "reported_us", "err"])
         self.state.update((int(since), bool(reported)))
-        if out:
-            yield pd.DataFrame(out, columns=["topic", "partition", "first_us", "reported_us", "err"])
 
     def close(self) -> None:
         pass
@@ -110,19 +117,19 @@ class _Throttle(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("kept", "at bigint")
+        self.runs = handle.getMapState("runs", *RUN_STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        instants = np.unique(np.concatenate([pdf[self.time].to_numpy(dtype=np.int64) for pdf in rows]))
         last = self.state.get()[0] if self.state.exists() else None
-        kept, at = [], 0
-        if last is not None:
-            at = int(np.searchsorted(instants, last + self.width))
-        while at < len(instants):
-            kept.append(int(instants[at]))
-            at = int(np.searchsorted(instants, kept[-1] + self.width))
-        if kept:
-            self.state.update((kept[-1],))
-            yield pd.DataFrame([(*key, k) for k in kept], columns=[*self.keys, self.time])
+        before = last
+        instants = (pd.DataFrame({"at": np.unique(pdf[self.time].to_numpy(dtype=np.int64))}) for pdf in rows)
+        for pdf in SortedRows(self.runs, ["at"], HELD_ROWS).frames(instants):
+            kept = kept_instants(pdf["at"].to_numpy(), last, self.width)
+            if kept:
+                last = kept[-1]
+                yield pd.DataFrame([(*key, k) for k in kept], columns=[*self.keys, self.time])
+        if last != before:
+            self.state.update((last,))
 
     def close(self) -> None:
         pass

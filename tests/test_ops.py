@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from helpers import attempt, frame
 
@@ -156,3 +157,55 @@ def test_throttle_keeps_null_keys(spark):
     df = frame(spark, [("a", 0), (None, 0), (None, 10), (None, 5_000_000)], "k string, at_us bigint")
     got = sorted([tuple(r) for r in O.throttle(df, ["k"], 1000).collect()], key=repr)
     assert got == sorted([("a", 0, 0), (None, 0, 1), (None, 5_000_000, 0)], key=repr)
+
+
+def plain_throttle(rows, width):
+    """Kept instants and how many rows each held back, one row after the other."""
+    out, last = {}, {}
+    for key, at in sorted(rows, key=lambda r: (repr(r[0]), r[1])):
+        if key not in last or at >= last[key] + width:
+            last[key] = at
+            out[key, at] = 0
+        else:
+            out[key, last[key]] += 1
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_throttle_in_blocks(spark, seed):
+    """Long stretches of neighbouring cells, dense, sparse and with gaps, before 1970 and with a null key."""
+    rng = random.Random(seed)
+    rows = []
+    for key, step, n in [("dense", 30, 3000), ("sparse", 900, 300), (None, 400, 300), ("short", 5000, 40), ("even", 0, 400)]:
+        at = rng.randrange(-200_000, 5_000)
+        for _ in range(n):
+            at += rng.randrange(step) if step else 250
+            if rng.random() < 0.01:
+                at += 20_000
+            rows += [(key, at)] * rng.choice([1, 1, 1, 2])
+    df = spark.createDataFrame(rows, "k string, at_us bigint").repartition(4)
+    got = {(r.k, r.at_us): r.suppressed for r in O.throttle(df, ["k"], 1).collect()}
+    assert got == plain_throttle(rows, 1000)
+    assert O.throttle(df.filter("false"), ["k"], 1).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_steps_of_blocks_compose(seed):
+    rng = np.random.default_rng(seed)
+    width = int(rng.choice([3, 50, 1000]))
+    instants = np.unique(rng.integers(0, 8000, int(rng.choice([5, 200, 4000]))))
+    cuts = np.arange(0, 8001, 1000)
+    whole = None
+    for begin, end in zip(cuts, cuts[1:]):
+        part = instants[(instants >= begin) & (instants < end)]
+        building = O.StepsOfBlock(int(begin), width)
+        for chunk in np.array_split(part, 3):
+            building.add(chunk)
+        steps = O.Steps.of_bytes(building.steps().to_bytes())
+        entries = np.unique(rng.integers(begin - 2 * width, begin, 40))
+        want = [(O.kept_instants(part, int(e), width) or [int(e)])[-1] for e in entries]
+        assert steps.after(entries).tolist() == want
+        whole = steps if whole is None else whole.then(steps)
+        before = np.unique(rng.integers(-2 * width, 0, 40))
+        upto = instants[instants < end]
+        assert whole.after(before).tolist() == [(O.kept_instants(upto, int(e), width) or [int(e)])[-1] for e in before]
