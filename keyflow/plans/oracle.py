@@ -973,12 +973,13 @@ SELECT CAST(event_id % 5 AS INT) AS level, CASE event_id % 5 WHEN 1 THEN 'info'
   count(*) AS n FROM events WHERE event_id % 5 >= 1 GROUP BY 1, 2""",
 )
 
-# ---- streams: a drained stream must give what the batch query gives ------------------------------------------------
+# ---- streams and the split fold must give what the plain batch query gives ------------------------------------------------
 
 for _stream, _batch in (
     ("run_stream_ok", "split_outcomes_ok"),
     ("run_stream_dead", "split_outcomes_dead"),
     ("process_by_key_stream", "process_by_key"),
+    ("fold_by_key", "process_by_key"),
 ):
     QUERIES[_stream] = QUERIES[_batch]
 sql("commit_watermark_stream", "attempts", _watermark("attempts"))
