@@ -156,6 +156,17 @@ def watermark_advance(attempts: DataFrame, bits: int = DEFAULT_BITS) -> DataFram
     ).drop("_reached")
 
 
+def commit_log(attempts: DataFrame, interval_us: int, bits: int = DEFAULT_BITS) -> DataFrame:
+    """The commits of a consumer that commits what is ready every ``interval_us``: ``topic, partition, committed_us, committed_offset``.
+
+    One row per partition and tick at which its position has moved since the tick before.
+    """
+    moved = watermark_advance(attempts, bits).filter(F.col("watermark_advance_us").isNotNull())
+    interval = F.lit(interval_us).cast("bigint")
+    late = F.pmod(-F.col("watermark_advance_us"), interval)
+    return moved.groupBy(*S.PARTITION, (F.col("watermark_advance_us") + late).alias("committed_us")).agg(F.max("offset").alias("committed_offset"))
+
+
 def commit_buffered(attempts: DataFrame, bits: int = DEFAULT_BITS) -> DataFrame:
     """Finished records held back because an earlier one was not finished yet."""
     return watermark_advance(attempts, bits).filter("commit_buffered").select(*S.COORDINATES, "done_us")

@@ -1,7 +1,7 @@
 """Operational snapshot of a run: throughput windows, partition offsets, concurrency, shards, and the JSON document.
 
-Everything is derived from the attempt and assignment tables as of one instant. An attempt belongs to the time bucket in
-which it finished.
+Everything is derived from the attempt, assignment and commit tables as of one instant, topic by topic. An attempt belongs to the time bucket
+in which it finished.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from keyflow import schema as S
 from keyflow.functions import sharding, text
 from keyflow.operators import delivery
 from keyflow.operators.metrics import DEFAULT_CONCURRENT_KEYS
+from keyflow.operators.staging import stage
 
 # The default sliding window is fifteen buckets of one second.
 WINDOW_BUCKETS = 15
@@ -53,57 +54,74 @@ def as_of(attempts: DataFrame, at_us: int) -> DataFrame:
     )
 
 
-def one_row(*parts: DataFrame) -> DataFrame:
-    """Single-row tables side by side, without a join: stacked, then the one value of each column."""
+def by_topic(*parts: DataFrame) -> DataFrame:
+    """Tables with one row per topic side by side, without a join: stacked, then the one value of each column."""
     stacked = parts[0]
     for part in parts[1:]:
         stacked = stacked.unionByName(part, allowMissingColumns=True)
-    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+    return stacked.groupBy("topic").agg(*[F.max(c).alias(c) for c in stacked.columns if c != "topic"])
+
+
+def topics_of(*tables: DataFrame) -> DataFrame:
+    """The topics found in any of the tables."""
+    stacked = tables[0].select("topic")
+    for table in tables[1:]:
+        stacked = stacked.unionByName(table.select("topic"))
+    return stacked.distinct()
+
+
+def _spine(topics: DataFrame, n: int, name: str) -> DataFrame:
+    """The numbers below ``n`` for each topic."""
+    return topics.select("topic", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name))
 
 
 def throughput_windows(
-    attempts: DataFrame, as_of_us: int, buckets: int = WINDOW_BUCKETS, width_us: int = WINDOW_WIDTH_US
+    attempts: DataFrame, as_of_us: int, buckets: int = WINDOW_BUCKETS, width_us: int = WINDOW_WIDTH_US, topics: DataFrame | None = None
 ) -> DataFrame:
-    """Processed and dead-lettered counts of the ``buckets`` most recent buckets, oldest first; empty ones stay as 0."""
+    """Per topic, processed and dead-lettered counts of the ``buckets`` most recent buckets, oldest first; empty ones stay as 0."""
     begin = as_of_us - buckets * width_us
     inside = attempts.filter((F.col("done_us") >= begin) & (F.col("done_us") < as_of_us))
     counted = inside.groupBy(
-        F.call_function("div", F.col("done_us") - begin, F.lit(width_us).cast("bigint")).cast("int").alias("bucket")
+        "topic", F.call_function("div", F.col("done_us") - begin, F.lit(width_us).cast("bigint")).cast("int").alias("bucket")
     ).agg(F.count("*").alias("_n"), F.count_if(_failed()).alias("_dead"))
-    spine = attempts.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
-    start = F.lit(begin).cast("bigint") + F.col("bucket").cast("bigint") * width_us
     zero = F.lit(0).cast("bigint")
-    return spine.join(counted, "bucket", "left").select(
+    spine = _spine(topics_of(attempts) if topics is None else topics, buckets, "bucket")
+    # A few rows per topic: stacked and summed up instead of joined.
+    stacked = spine.withColumns({"_n": zero, "_dead": zero}).unionByName(counted)
+    start = F.lit(begin).cast("bigint") + F.col("bucket").cast("bigint") * width_us
+    return stacked.groupBy("topic", "bucket").agg(F.sum("_n").alias("_n"), F.sum("_dead").alias("_dead")).select(
+        "topic",
         "bucket",
         text.utc_millis_text_of_micros(start).alias("from_time"),
         text.utc_millis_text_of_micros(start + width_us).alias("to_time"),
-        F.coalesce("_n", zero).alias("processed_count"),
-        F.coalesce("_dead", zero).alias("dead_letter_count"),
+        F.col("_n").alias("processed_count"),
+        F.col("_dead").alias("dead_letter_count"),
     )
 
 
 def window_latency(
     attempts: DataFrame, as_of_us: int, buckets: int = WINDOW_BUCKETS, width_us: int = WINDOW_WIDTH_US
 ) -> DataFrame:
-    """Handler and end-to-end times in microseconds over the whole sliding window, by when they ended."""
+    """Per topic, handler and end-to-end times in microseconds over the whole sliding window, by when they ended."""
     begin = as_of_us - buckets * width_us
     inside = (F.col("done_us") >= begin) & (F.col("done_us") < as_of_us)
-    spent = F.col("done_us") - F.col("start_us")
-    handler = attempts.filter(inside).agg(
-        F.call_function("div", F.sum(spent), F.count(spent)).alias("avg_process_us"), F.max(spent).alias("max_process_us")
+    spent = F.when(inside, F.col("done_us") - F.col("start_us"))
+    handler = attempts.groupBy("topic").agg(
+        F.call_function("div", F.sum(spent), F.nullif(F.count(spent), F.lit(0))).alias("avg_process_us"), F.max(spent).alias("max_process_us")
     )
     advance = F.col("watermark_advance_us")
     e2e = F.col("end_to_end_us")
     whole = (
         delivery.watermark_advance(as_of(attempts, as_of_us))
         .filter((advance >= begin) & (advance < as_of_us))
+        .groupBy("topic")
         .agg(
             F.call_function("div", F.sum(e2e), F.count(e2e)).alias("avg_end_to_end_us"),
             F.max(e2e).alias("max_end_to_end_us"),
             F.min(e2e).alias("min_end_to_end_us"),
         )
     )
-    return one_row(handler, whole)
+    return by_topic(handler, whole)
 
 
 def assigned_at(assignments: DataFrame, at_us: int) -> DataFrame:
@@ -143,14 +161,26 @@ def summary(attempts: DataFrame, assignments: DataFrame, as_of_us: int) -> DataF
     )
 
 
-def partition_offsets(attempts: DataFrame, assignments: DataFrame, as_of_us: int) -> DataFrame:
-    """Offsets per partition known from work or from assignment; -1 where there is no position yet."""
-    marks = delivery.commit_watermark(as_of(attempts, as_of_us))
-    now = assigned_at(assignments, as_of_us).select(*S.PARTITION, "assigned")
+def committed_at(commits: DataFrame, at_us: int) -> DataFrame:
+    """The position last committed per partition at an instant; of commits at the same instant the higher one."""
+    latest = F.max_by("committed_offset", F.struct("committed_us", "committed_offset"))
+    return commits.filter(F.col("committed_us") <= at_us).groupBy(*S.PARTITION).agg(latest.alias("committed_offset"))
+
+
+def partition_offsets(
+    attempts: DataFrame, assignments: DataFrame, as_of_us: int, commits: DataFrame | None = None
+) -> DataFrame:
+    """Offsets per partition known from work, from assignment or from commits; -1 where there is no position yet.
+
+    ``commits`` is a commit log (``topic, partition, committed_us, committed_offset``), as :func:`keyflow.operators.delivery.commit_log` gives it; what is
+    ready has not been committed before the log says so. Without one no position counts as committed.
+    """
+    parts = [delivery.commit_watermark(as_of(attempts, as_of_us)), assigned_at(assignments, as_of_us).select(*S.PARTITION, "assigned")]
     none = F.lit(-1).cast("bigint")
-    stacked = marks.unionByName(now, allowMissingColumns=True)
+    parts.append(committed_at(commits, as_of_us) if commits is not None else parts[0].select(*S.PARTITION, none.alias("committed_offset")))
+    stacked = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
     return stacked.groupBy(*S.PARTITION).agg(
-        F.coalesce(F.max("highest_ready_offset"), none).alias("committed_offset"),
+        F.coalesce(F.max("committed_offset"), none).alias("committed_offset"),
         F.coalesce(F.max("highest_ready_offset"), none).alias("highest_ready_offset"),
         F.coalesce(F.max("max_offset_seen"), none).alias("max_offset_seen"),
         F.coalesce(F.max("gap_buffer_depth"), F.lit(0).cast("bigint")).alias("gap_buffer_depth"),
@@ -163,12 +193,17 @@ def _active_keys(attempts: DataFrame, at_us: int) -> DataFrame:
     return attempts.filter(running_now).select("topic", "key_str").distinct()
 
 
-def concurrency(attempts: DataFrame, as_of_us: int, capacity: int = DEFAULT_CONCURRENT_KEYS) -> DataFrame:
-    """Keys in flight at an instant against the limit. Channel figures of an engine have no counterpart: 0."""
+def concurrency(
+    attempts: DataFrame, as_of_us: int, capacity: int = DEFAULT_CONCURRENT_KEYS, topics: DataFrame | None = None
+) -> DataFrame:
+    """Per topic, keys in flight at an instant against the limit. Channel figures of an engine have no counterpart: 0."""
     zero = F.lit(0).cast("bigint")
-    active = _active_keys(attempts, as_of_us).agg(F.count("*").alias("_n"))
+    found = _active_keys(attempts, as_of_us).groupBy("topic").agg(F.count("*").alias("_n"))
+    spine = (topics_of(attempts) if topics is None else topics).select("topic", zero.alias("_n"))
+    active = spine.unionByName(found).groupBy("topic").agg(F.sum("_n").alias("_n"))
     limit = F.lit(capacity).cast("bigint")
     return active.select(
+        "topic",
         F.least(F.col("_n"), limit).alias("guard_active"),
         limit.alias("guard_capacity"),
         F.greatest(F.col("_n") - limit, zero).alias("overflow_active"),
@@ -178,18 +213,20 @@ def concurrency(attempts: DataFrame, as_of_us: int, capacity: int = DEFAULT_CONC
     )
 
 
-def shards(attempts: DataFrame, as_of_us: int, count: int = sharding.DEFAULT_SHARDS) -> DataFrame:
-    """Keys in flight per shard at an instant; shards without any stay with 0."""
+def shards(
+    attempts: DataFrame, as_of_us: int, count: int = sharding.DEFAULT_SHARDS, topics: DataFrame | None = None
+) -> DataFrame:
+    """Per topic, keys in flight per shard at an instant; shards without any stay with 0."""
     n = sharding.check_shards(count)
+    zero = F.lit(0).cast("bigint")
     busy = (
         _active_keys(attempts, as_of_us)
-        .groupBy(sharding.key_shard("key_str", n).alias("shard"))
+        .groupBy("topic", sharding.key_shard("key_str", n).alias("shard"))
         .agg(F.count("*").alias("_n"))
     )
-    spine = attempts.sparkSession.range(n).select(F.col("id").cast("int").alias("shard"))
-    zero = F.lit(0).cast("bigint")
-    return spine.join(busy, "shard", "left").select(
-        "shard", F.coalesce("_n", zero).alias("active_workers"), zero.alias("pooled_workers")
+    spine = _spine(topics_of(attempts) if topics is None else topics, n, "shard").withColumn("_n", zero)
+    return spine.unionByName(busy).groupBy("topic", "shard").agg(
+        F.sum("_n").alias("active_workers"), F.max(zero).alias("pooled_workers")
     )
 
 
@@ -201,15 +238,20 @@ def snapshot_json(
     width_us: int = WINDOW_WIDTH_US,
     capacity: int = DEFAULT_CONCURRENT_KEYS,
     shard_count: int = sharding.DEFAULT_SHARDS,
+    commits: DataFrame | None = None,
 ) -> DataFrame:
-    """One row with the JSON document ``doc`` of one topic. Lists hold windows, partitions and shards only."""
+    """One row per topic with its JSON document: ``topic, doc``. Lists hold the windows, partitions and shards of the topic only.
+
+    A topic is in it when it has attempts or assignments, at the instant or later; what it has not done yet counts 0.
+    """
+    topics = stage(topics_of(attempts, assignments))
 
     def rows(df: DataFrame, name: str, fields: dict[str, Column]) -> DataFrame:
         item = F.struct(*[c.alias(n) for n, c in fields.items()])
-        return df.agg(F.array_sort(F.collect_list(item)).alias(name))
+        return df.groupBy("topic").agg(F.array_sort(F.collect_list(item)).alias(name))
 
     windows = rows(
-        throughput_windows(attempts, as_of_us, buckets, width_us),
+        throughput_windows(attempts, as_of_us, buckets, width_us, topics),
         "windows",
         {
             "fromTime": F.col("from_time"),
@@ -219,7 +261,7 @@ def snapshot_json(
         },
     )
     partitions = rows(
-        partition_offsets(attempts, assignments, as_of_us),
+        partition_offsets(attempts, assignments, as_of_us, commits),
         "partitions",
         {
             "partition": F.col("partition"),
@@ -231,7 +273,7 @@ def snapshot_json(
         },
     )
     shard_rows = rows(
-        shards(attempts, as_of_us, shard_count),
+        shards(attempts, as_of_us, shard_count, topics),
         "shards",
         {
             "shard": F.col("shard").cast("bigint"),
@@ -239,36 +281,40 @@ def snapshot_json(
             "pooledWorkers": F.col("pooled_workers"),
         },
     )
-    joined = one_row(
-        summary(attempts, assignments, as_of_us),
+    joined = by_topic(
+        summary(attempts, assignments, as_of_us).withColumnRenamed("topic_name", "topic"),
         windows,
         window_latency(attempts, as_of_us, buckets, width_us),
         partitions,
-        concurrency(attempts, as_of_us, capacity),
+        concurrency(attempts, as_of_us, capacity, topics),
         shard_rows,
     )
+    none = F.array().cast(snapshot_schema()["preCommits"].dataType["partitions"].dataType)
+
+    def total(name: str) -> Column:
+        return F.coalesce(name, F.lit(0).cast("bigint"))
 
     def duration(name: str) -> Column:
         return F.coalesce(text.format_duration(name), F.lit("0s"))
 
     document = F.struct(
         F.struct(
-            F.col("topic_name").alias("topicName"),
-            F.col("assigned_partition_count").alias("assignedPartitionCount"),
-            F.col("total_processed").alias("totalProcessed"),
+            F.col("topic").alias("topicName"),
+            total("assigned_partition_count").alias("assignedPartitionCount"),
+            total("total_processed").alias("totalProcessed"),
             F.coalesce("last_rebalance_time", F.lit("")).alias("lastRebalanceTime"),
         ).alias("summary"),
         F.struct(
             "windows",
-            F.col("total_processed").alias("totalProcessed"),
-            F.col("total_dead_lettered").alias("totalDeadLettered"),
+            total("total_processed").alias("totalProcessed"),
+            total("total_dead_lettered").alias("totalDeadLettered"),
             duration("avg_process_us").alias("avgProcessDuration"),
             duration("max_process_us").alias("maxProcessDuration"),
             duration("avg_end_to_end_us").alias("avgEndToEndDuration"),
             duration("max_end_to_end_us").alias("maxEndToEndDuration"),
             duration("min_end_to_end_us").alias("minEndToEndDuration"),
         ).alias("throughput"),
-        F.struct("partitions").alias("preCommits"),
+        F.struct(F.coalesce("partitions", none).alias("partitions")).alias("preCommits"),
         F.struct(
             F.col("guard_active").alias("guardActive"),
             F.col("guard_capacity").alias("guardCapacity"),
@@ -279,7 +325,7 @@ def snapshot_json(
         ).alias("concurrency"),
         F.col("shards").alias("shards"),
     )
-    return joined.select(F.to_json(document).alias("doc"))
+    return joined.select("topic", F.to_json(document).alias("doc"))
 
 
 def _missing(value: Column, kind: T.DataType, path: str) -> Column:

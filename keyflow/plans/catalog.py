@@ -534,44 +534,56 @@ def bandwidth_from_records(spark, sf_dir):
 WINDOW = {"buckets": 15, "width_us": 2 * fx.DAY_US}
 
 
+def _two_topics(spark, sf_dir):
+    return fx.in_topics(fx.deliveries(spark, sf_dir)), fx.in_topics(fx.assignments(spark, sf_dir))
+
+
 @query
 def throughput_windows(spark, sf_dir):
-    return snapshot.throughput_windows(fx.deliveries(spark, sf_dir), fx.END_US, **WINDOW)
+    return snapshot.throughput_windows(_two_topics(spark, sf_dir)[0], fx.END_US, **WINDOW)
 
 
 @query
 def window_latency(spark, sf_dir):
-    return snapshot.window_latency(fx.deliveries(spark, sf_dir), fx.END_US, **WINDOW)
+    return snapshot.window_latency(_two_topics(spark, sf_dir)[0], fx.END_US, **WINDOW)
 
 
 @query
 def summary(spark, sf_dir):
-    return snapshot.summary(fx.deliveries(spark, sf_dir), fx.assignments(spark, sf_dir), fx.STOP_US)
+    return snapshot.summary(*_two_topics(spark, sf_dir), fx.STOP_US)
+
+
+@query
+def commit_log(spark, sf_dir):
+    return delivery.commit_log(_two_topics(spark, sf_dir)[0], fx.COMMIT_INTERVAL_US)
 
 
 @query
 def partition_offsets(spark, sf_dir):
-    return snapshot.partition_offsets(fx.deliveries(spark, sf_dir), fx.assignments(spark, sf_dir), fx.STOP_US)
+    attempts, assignments = _two_topics(spark, sf_dir)
+    # The log of commits ends half a day before the stop, as a table of it that is loaded twice a day.
+    commits = delivery.commit_log(attempts, fx.COMMIT_INTERVAL_US).filter(F.col("committed_us") <= fx.STOP_US - fx.DAY_US // 2)
+    return snapshot.partition_offsets(attempts, assignments, fx.STOP_US, commits)
 
 
 @query
 def concurrency(spark, sf_dir):
-    return snapshot.concurrency(fx.attempts(spark, sf_dir), fx.STOP_US, 5)
+    return snapshot.concurrency(fx.in_topics(fx.attempts(spark, sf_dir)), fx.STOP_US, 5)
 
 
 @query
 def shards(spark, sf_dir):
-    return snapshot.shards(fx.attempts(spark, sf_dir), fx.STOP_US)
+    return snapshot.shards(fx.in_topics(fx.attempts(spark, sf_dir)), fx.STOP_US)
 
 
 @query
 def snapshot_json(spark, sf_dir):
     # Every section reads the attempts, so they are derived once.
-    attempts = stage(
-        fx.deliveries(spark, sf_dir).select(*S.COORDINATES, "key_str", "read_us", "start_us", "done_us", "outcome")
-    )
-    assignments = stage(fx.assignments(spark, sf_dir))
-    return snapshot.snapshot_json(attempts, assignments, fx.STOP_US, **WINDOW)
+    attempts, assignments = _two_topics(spark, sf_dir)
+    attempts = stage(attempts.select(*S.COORDINATES, "key_str", "read_us", "start_us", "done_us", "outcome"))
+    assignments = stage(assignments)
+    commits = delivery.commit_log(attempts, fx.COMMIT_INTERVAL_US)
+    return snapshot.snapshot_json(attempts, assignments, fx.STOP_US, **WINDOW, commits=commits)
 
 
 @query

@@ -139,8 +139,22 @@ SELECT * FROM (VALUES ('concurrentKeys', 'int', 1, 5000), ('perKeyBufferLen', 'i
   ('workerShardsCount', 'power_of_two', 2, 64), ('rebalancePausePollingTimeout', 'duration', 10000, 600000),
   ('acquireCommitGuardTimeout', 'duration', 100, 30000)) AS t(key, kind, lo, hi)"""
 
+_IN_TOPICS = "SELECT * REPLACE (CASE WHEN part % 3 = 2 THEN 'clicks' ELSE topic END AS topic) FROM {}"
+TABLES["topic_work"] = _IN_TOPICS.format("deliveries")
+TABLES["topic_attempts"] = _IN_TOPICS.format("attempts")
+TABLES["topic_assignments"] = _IN_TOPICS.format("assignments")
+TABLES["commits"] = f"""
+SELECT topic, part, (reached + 21599999999) // 21600000000 * 21600000000 AS committed_us, max(off) AS committed_offset
+FROM (SELECT *, max(coalesce(done_us, {NEVER})) OVER (PARTITION BY topic, part ORDER BY off) AS reached
+  FROM (SELECT topic, part, off, min(done_us) AS done_us FROM topic_work GROUP BY ALL))
+WHERE reached < {NEVER} GROUP BY ALL"""
+
 # Which tables each one is built from.
 NEEDS = {
+    "topic_work": ["deliveries"],
+    "topic_attempts": ["attempts"],
+    "topic_assignments": ["assignments"],
+    "commits": ["topic_work"],
     "log": [],
     "records": ["log"],
     "processed": ["records"],
@@ -787,62 +801,74 @@ _WIDTH = 2 * DAY_US
 _BEGIN = END_US - 15 * _WIDTH
 sql(
     "throughput_windows",
-    "deliveries",
+    "topic_work",
     f"""
-SELECT b AS bucket, {_TEXT.format(f"{_BEGIN} + b::BIGINT * {_WIDTH}")} AS from_time, {_TEXT.format(f"{_BEGIN} + (b::BIGINT + 1) * {_WIDTH}")} AS to_time,
+SELECT s.topic, b AS bucket, {_TEXT.format(f"{_BEGIN} + b::BIGINT * {_WIDTH}")} AS from_time, {_TEXT.format(f"{_BEGIN} + (b::BIGINT + 1) * {_WIDTH}")} AS to_time,
   count(done_us) AS processed_count, count(done_us) FILTER (WHERE outcome <> 'ok') AS dead_letter_count
-FROM (SELECT unnest(range(15))::INT AS b) LEFT JOIN deliveries ON done_us >= {_BEGIN} + b::BIGINT * {_WIDTH} AND done_us < {_BEGIN} + (b::BIGINT + 1) * {_WIDTH}
-GROUP BY b""",
+FROM (SELECT topic, unnest(range(15))::INT AS b FROM (SELECT DISTINCT topic FROM topic_work)) s
+LEFT JOIN topic_work d ON d.topic = s.topic AND done_us >= {_BEGIN} + b::BIGINT * {_WIDTH} AND done_us < {_BEGIN} + (b::BIGINT + 1) * {_WIDTH}
+GROUP BY s.topic, b""",
 )
 sql(
     "window_latency",
-    "deliveries",
+    "topic_work",
     f"""
 , c AS (SELECT topic, part, off, min(read_us) AS read_us, min(CASE WHEN done_us <= {END_US} THEN done_us END) AS done_us
-  FROM deliveries WHERE read_us <= {END_US} GROUP BY ALL),
+  FROM topic_work WHERE read_us <= {END_US} GROUP BY ALL),
 w AS ({_RUNMAX} FROM c),
-e AS (SELECT reached - read_us AS e2e FROM w WHERE reached >= {_BEGIN} AND reached < {END_US}),
-h AS (SELECT done_us - start_us AS spent FROM deliveries WHERE done_us >= {_BEGIN} AND done_us < {END_US})
-SELECT (SELECT CAST(sum(spent) // count(*) AS BIGINT) FROM h) AS avg_process_us, (SELECT max(spent) FROM h) AS max_process_us,
-  (SELECT CAST(sum(e2e) // count(*) AS BIGINT) FROM e) AS avg_end_to_end_us, (SELECT max(e2e) FROM e) AS max_end_to_end_us,
-  (SELECT min(e2e) FROM e) AS min_end_to_end_us""",
+e AS (SELECT topic, CAST(sum(reached - read_us) // count(*) AS BIGINT) AS avg_us, max(reached - read_us) AS max_us, min(reached - read_us) AS min_us
+  FROM w WHERE reached >= {_BEGIN} AND reached < {END_US} GROUP BY topic),
+h AS (SELECT topic, CAST(sum(done_us - start_us) // count(*) AS BIGINT) AS avg_us, max(done_us - start_us) AS max_us
+  FROM topic_work WHERE done_us >= {_BEGIN} AND done_us < {END_US} GROUP BY topic)
+SELECT t.topic, h.avg_us AS avg_process_us, h.max_us AS max_process_us, e.avg_us AS avg_end_to_end_us, e.max_us AS max_end_to_end_us, e.min_us AS min_end_to_end_us
+FROM (SELECT DISTINCT topic FROM topic_work) t LEFT JOIN h USING (topic) LEFT JOIN e USING (topic)""",
 )
 _ASSIGNED = """SELECT topic, part, epoch, assigned_us, revoked_us > {0} AS assigned FROM (SELECT *, row_number() OVER
-  (PARTITION BY topic, part ORDER BY assigned_us DESC) AS rn FROM assignments WHERE assigned_us <= {0}) WHERE rn = 1"""
+  (PARTITION BY topic, part ORDER BY assigned_us DESC) AS rn FROM topic_assignments WHERE assigned_us <= {0}) WHERE rn = 1"""
 sql(
     "summary",
-    "deliveries assignments",
+    "topic_work topic_assignments",
     f"""
-, a AS ({_ASSIGNED.format(STOP_US)})
-SELECT 'events' AS topic_name, (SELECT count(*) FROM a WHERE assigned) AS assigned_partition_count,
-  (SELECT count(*) FROM deliveries WHERE done_us <= {STOP_US}) AS total_processed,
-  (SELECT count(*) FROM deliveries WHERE done_us <= {STOP_US} AND outcome <> 'ok') AS total_dead_lettered,
-  (SELECT {_TEXT.format("max(assigned_us)")} FROM a) AS last_rebalance_time""",
-)
-sql(
-    "partition_offsets",
-    "deliveries assignments",
-    f"""
-,{_SEEN}, a AS ({_ASSIGNED.format(STOP_US)}), m AS ({_watermark("seen")})
-SELECT coalesce(m.topic, a.topic) AS topic, coalesce(m."partition", a.part) AS "partition", coalesce(highest_ready_offset, -1) AS committed_offset,
+, a AS (SELECT topic, count(*) FILTER (WHERE assigned) AS n, max(assigned_us) AS last_us FROM ({_ASSIGNED.format(STOP_US)}) GROUP BY topic),
+d AS (SELECT topic, count(*) AS n, count(*) FILTER (WHERE outcome <> 'ok') AS dead FROM topic_work WHERE done_us <= {STOP_US} GROUP BY topic)
+SELECT coalesce(a.topic, d.topic) AS topic_name, coalesce(a.n, 0) AS assigned_partition_count, coalesce(d.n, 0) AS total_processed,
+  coalesce(d.dead, 0) AS total_dead_lettered, {_TEXT.format("last_us")} AS last_rebalance_time
+FROM a FULL JOIN d ON a.topic = d.topic""",
+)
+sql("commit_log", "commits", 'SELECT topic, part AS "partition", committed_us, committed_offset FROM commits')
+_OFFSETS = """
+,{seen}, a AS ({assigned}), m AS ({marks}),
+k AS (SELECT topic, part, max(committed_offset) AS committed_offset FROM commits WHERE committed_us <= {until} GROUP BY topic, part),
+every AS (SELECT topic, "partition" AS part FROM m UNION SELECT topic, part FROM a UNION SELECT topic, part FROM k)
+SELECT every.topic, every.part AS "partition", coalesce(committed_offset, -1) AS committed_offset,
   coalesce(highest_ready_offset, -1) AS highest_ready_offset, coalesce(max_offset_seen, -1) AS max_offset_seen,
   coalesce(gap_buffer_depth, 0) AS gap_buffer_depth, coalesce(assigned, false) AS assigned
-FROM m FULL JOIN a ON m.topic = a.topic AND m."partition" = a.part""",
-)
-_ACTIVE = f"SELECT DISTINCT topic, key_str FROM attempts WHERE start_us <= {STOP_US} AND coalesce(done_us, {NEVER}) > {STOP_US}"
+FROM every LEFT JOIN m ON m.topic = every.topic AND m."partition" = every.part
+LEFT JOIN a ON a.topic = every.topic AND a.part = every.part LEFT JOIN k ON k.topic = every.topic AND k.part = every.part"""
+_TOPIC_SEEN = _SEEN.replace("deliveries", "topic_work")
+
+
+def _offsets(until: int) -> str:
+    return _OFFSETS.format(seen=_TOPIC_SEEN, assigned=_ASSIGNED.format(STOP_US), marks=_watermark("seen"), until=until).strip()
+
+
+sql("partition_offsets", "topic_work topic_assignments commits", _offsets(STOP_US - DAY_US // 2))
+_ACTIVE = f"SELECT DISTINCT topic, key_str FROM topic_attempts WHERE start_us <= {STOP_US} AND coalesce(done_us, {NEVER}) > {STOP_US}"
 sql(
     "concurrency",
-    "attempts",
+    "topic_attempts",
     f"""
-SELECT least(n, 5) AS guard_active, 5::BIGINT AS guard_capacity, greatest(n - 5, 0) AS overflow_active, 0::BIGINT AS overflow_capacity,
-  0::BIGINT AS commit_ingest_active, 0::BIGINT AS commit_ingest_capacity FROM (SELECT count(*) AS n FROM ({_ACTIVE}))""",
+SELECT topic, least(n, 5) AS guard_active, 5::BIGINT AS guard_capacity, greatest(n - 5, 0) AS overflow_active, 0::BIGINT AS overflow_capacity,
+  0::BIGINT AS commit_ingest_active, 0::BIGINT AS commit_ingest_capacity
+FROM (SELECT t.topic, count(k.key_str) AS n FROM (SELECT DISTINCT topic FROM topic_attempts) t LEFT JOIN ({_ACTIVE}) k ON t.topic = k.topic GROUP BY t.topic)""",
 )
 sql(
     "shards",
-    "attempts",
+    "topic_attempts",
     f"""
-SELECT s AS shard, count(key_str) AS active_workers, 0::BIGINT AS pooled_workers FROM (SELECT unnest(range(16))::INT AS s)
-LEFT JOIN (SELECT key_str, CAST({_FNV} & 15 AS INT) AS shard FROM ({_ACTIVE})) ON s = shard GROUP BY s""",
+SELECT s.topic, s.n AS shard, count(key_str) AS active_workers, 0::BIGINT AS pooled_workers
+FROM (SELECT topic, unnest(range(16))::INT AS n FROM (SELECT DISTINCT topic FROM topic_attempts)) s
+LEFT JOIN (SELECT topic, key_str, CAST({_FNV} & 15 AS INT) AS shard FROM ({_ACTIVE})) k ON s.n = k.shard AND s.topic = k.topic GROUP BY s.topic, s.n""",
 )
 _GOOD = "pick NOT IN (2, 3, 5)"
 sql(
@@ -924,7 +950,8 @@ sql(
     "assigned_at",
     "assignments",
     f"""
-SELECT topic, part AS "partition", CAST(epoch AS INT) AS epoch, assigned_us, assigned FROM ({_ASSIGNED.format(EPOCH_US + 20 * DAY_US + 5 * 3_600_000_000)})""",
+SELECT topic, part AS "partition", CAST(epoch AS INT) AS epoch, assigned_us, assigned
+FROM ({_ASSIGNED.format(EPOCH_US + 20 * DAY_US + 5 * 3_600_000_000).replace("topic_assignments", "assignments")})""",
 )
 # Every duration in these tables is a whole number followed by ms or s, or plain 0.
 _MS = """CASE WHEN regexp_full_match({0}, '[0-9]+ms') THEN CAST(replace({0}, 'ms', '') AS BIGINT)
@@ -1016,30 +1043,38 @@ def _document() -> str:
         """Text of a window query for the window that ends at the stop."""
         return QUERIES[name][1].replace(str(_BEGIN), str(begin)).replace(str(END_US), str(STOP_US))
 
-    latency_tables, latency = moved("window_latency").split("\nSELECT (SELECT", 1)
-    offsets = QUERIES["partition_offsets"][1].rsplit("\nSELECT", 1)
-    summary_rows = QUERIES["summary"][1].split("\nSELECT", 1)[1]
-    active = _ACTIVE.replace("FROM attempts", "FROM deliveries")
+    latency_tables, latency = moved("window_latency").split("\nSELECT t.topic", 1)
+    offset_tables, offsets = _offsets(STOP_US).rsplit("\nSELECT every.topic", 1)
+    summary_tables, summary_rows = QUERIES["summary"][1].split("\nSELECT", 1)
+    summary_tables = summary_tables.replace(", a AS", "sa AS").replace("\nd AS", "\nsd AS")
+    summary_rows = summary_rows.replace("a.", "sa.").replace("d.", "sd.").replace("FROM a FULL JOIN d", "FROM sa FULL JOIN sd")
+    latency_tables = latency_tables.replace(", c AS", "lc AS").replace("FROM c)", "FROM lc)").replace("\nw AS", "\nlw AS").replace("FROM w ", "FROM lw ")
+    active = _ACTIVE.replace("topic_attempts", "topic_work")
     window = """'{"fromTime":"' || from_time || '","toTime":"' || to_time || '","processedCount":' || processed_count
       || ',"deadLetterCount":' || dead_letter_count || '}'"""
     partition = """'{"partition":' || "partition" || ',"committedOffset":' || committed_offset || ',"highestReadyOffset":' || highest_ready_offset
       || ',"maxOffsetSeen":' || max_offset_seen || ',"gapBufferDepth":' || gap_buffer_depth || ',"assigned":' || assigned || '}'"""
+    shard = """'{"shard":' || shard || ',"activeWorkers":' || active_workers || ',"pooledWorkers":0}'"""
     return f"""
-{offsets[0]}
+{offset_tables},
+{summary_tables},
 {latency_tables},
-po AS (SELECT{offsets[1]}), su AS (SELECT{summary_rows}), la AS (SELECT (SELECT{latency}), tw AS ({moved("throughput_windows")}),
-sh AS ({QUERIES["shards"][1].replace(_ACTIVE, active)}), ac AS (SELECT count(*) AS n FROM ({active}))
-SELECT '{{"summary":{{"topicName":"' || topic_name || '","assignedPartitionCount":' || assigned_partition_count || ',"totalProcessed":' || total_processed
-  || ',"lastRebalanceTime":"' || last_rebalance_time || '"}},"throughput":{{"windows":[' || (SELECT string_agg({window}, ',' ORDER BY bucket) FROM tw)
+po AS (SELECT every.topic{offsets}), su AS (SELECT{summary_rows}), la AS (SELECT t.topic{latency}), tw AS ({moved("throughput_windows")}),
+sh AS ({QUERIES["shards"][1].replace("topic_attempts", "topic_work")}), ac AS (SELECT topic, count(*) AS n FROM ({active}) GROUP BY topic),
+pj AS (SELECT topic, string_agg({partition}, ',' ORDER BY "partition") AS j FROM po GROUP BY topic),
+wj AS (SELECT topic, string_agg({window}, ',' ORDER BY bucket) AS j FROM tw GROUP BY topic),
+sj AS (SELECT topic, string_agg({shard}, ',' ORDER BY shard) AS j FROM sh GROUP BY topic)
+SELECT topic_name AS topic, '{{"summary":{{"topicName":"' || topic_name || '","assignedPartitionCount":' || assigned_partition_count || ',"totalProcessed":' || total_processed
+  || ',"lastRebalanceTime":"' || last_rebalance_time || '"}},"throughput":{{"windows":[' || wj.j
   || '],"totalProcessed":' || total_processed || ',"totalDeadLettered":' || total_dead_lettered
   || ',"avgProcessDuration":"' || {_duration("avg_process_us")} || '","maxProcessDuration":"' || {_duration("max_process_us")}
   || '","avgEndToEndDuration":"' || {_duration("avg_end_to_end_us")} || '","maxEndToEndDuration":"' || {_duration("max_end_to_end_us")}
   || '","minEndToEndDuration":"' || {_duration("min_end_to_end_us")} || '"}},"preCommits":{{"partitions":['
-  || (SELECT string_agg({partition}, ',' ORDER BY "partition") FROM po) || ']}},"concurrency":{{"guardActive":' || (SELECT least(n, 250) FROM ac)
-  || ',"guardCapacity":250,"overflowActive":' || (SELECT greatest(n - 250, 0) FROM ac)
-  || ',"overflowCapacity":0,"commitIngestActive":0,"commitIngestCapacity":0}},"shards":['
-  || (SELECT string_agg('{{"shard":' || shard || ',"activeWorkers":' || active_workers || ',"pooledWorkers":0}}', ',' ORDER BY shard) FROM sh) || ']}}' AS doc
-FROM su, la"""
+  || pj.j || ']}},"concurrency":{{"guardActive":' || least(coalesce(ac.n, 0), 250)
+  || ',"guardCapacity":250,"overflowActive":' || greatest(coalesce(ac.n, 0) - 250, 0)
+  || ',"overflowCapacity":0,"commitIngestActive":0,"commitIngestCapacity":0}},"shards":[' || sj.j || ']}}' AS doc
+FROM su JOIN la ON la.topic = topic_name JOIN wj ON wj.topic = topic_name JOIN pj ON pj.topic = topic_name JOIN sj ON sj.topic = topic_name
+LEFT JOIN ac ON ac.topic = topic_name"""
 
 
-sql("snapshot_json", "deliveries assignments", _document())
+sql("snapshot_json", "topic_work topic_assignments commits", _document())

@@ -4,6 +4,7 @@ import pytest
 from helpers import attempt, frame
 from pyspark.sql import functions as F
 
+from keyflow.operators import delivery
 from keyflow.operators import snapshot as N
 
 ASSIGNMENT_SCHEMA = "topic string, partition int, epoch int, assigned_us bigint, revoked_us bigint"
@@ -49,6 +50,47 @@ def test_partition_offsets(spark):
     assert 2 not in rows
 
 
+COMMITS = "topic string, partition int, committed_us bigint, committed_offset bigint"
+
+
+def test_committed_is_not_ready(spark):
+    commits = spark.createDataFrame([("t", 0, 5, 0), ("t", 0, 17 * SECOND, 1), ("t", 7, 3, 40), ("t", 7, 3, 41), ("t", 8, 3, 9), ("t", 8, 4, 6)], COMMITS)
+    rows = {r.partition: r for r in N.partition_offsets(work(spark), assigned(spark), 16 * SECOND, commits).collect()}
+    assert (rows[0].committed_offset, rows[0].highest_ready_offset) == (0, 1)
+    assert (rows[7].committed_offset, rows[7].highest_ready_offset, rows[7].assigned) == (41, -1, False)
+    assert rows[8].committed_offset == 6, "a position may go back"
+    assert rows[1].committed_offset == -1
+    unknown = N.partition_offsets(work(spark), assigned(spark), 16 * SECOND)
+    assert {r.committed_offset for r in unknown.collect()} == {-1}
+
+
+def test_commit_log(spark):
+    """Ticks every 10 s: 0 and 1 are ready at the first one, nothing moves at the second, 3 is held back by 2."""
+    done = {0: 3, 1: 10, 2: 25, 3: 11, 4: None, 5: 26}
+    df = frame(spark, [attempt(o, 1, 1, None if at is None else at * SECOND) for o, at in done.items()])
+    rows = sorted(tuple(r) for r in delivery.commit_log(df, 10 * SECOND).collect())
+    assert rows == [("t", 0, 10 * SECOND, 1), ("t", 0, 30 * SECOND, 3)]
+
+
+def test_topics_stay_apart(spark):
+    one, other = work(spark), work(spark).filter("offset < 2").withColumn("topic", F.lit("u"))
+    idle = spark.createDataFrame([("v", 5, 0, 3, None)], ASSIGNMENT_SCHEMA)
+    attempts, assignments = one.unionByName(other), assigned(spark).unionByName(idle)
+    commits = spark.createDataFrame([("t", 0, 5, 0), ("u", 0, 6, 1)], COMMITS)
+    docs = {r.topic: json.loads(r.doc) for r in N.snapshot_json(attempts, assignments, 16 * SECOND, commits=commits).collect()}
+    assert set(docs) == {"t", "u", "v"}
+    assert [docs[t]["throughput"]["totalProcessed"] for t in "tuv"] == [3, 2, 0]
+    assert [sum(w["processedCount"] for w in docs[t]["throughput"]["windows"]) for t in "tuv"] == [3, 2, 0]
+    assert [len(docs[t]["throughput"]["windows"]) for t in "tuv"] == [15] * 3
+    assert [[p["partition"] for p in docs[t]["preCommits"]["partitions"]] for t in "tuv"] == [[0, 1], [0], [5]]
+    assert [docs[t]["preCommits"]["partitions"][0]["committedOffset"] for t in "tuv"] == [0, 1, -1]
+    assert [docs[t]["concurrency"]["guardActive"] for t in "tuv"] == [2, 0, 0]
+    assert [sum(s["activeWorkers"] for s in docs[t]["shards"]) for t in "tuv"] == [2, 0, 0]
+    assert docs["u"]["throughput"]["maxEndToEndDuration"] != "0s" == docs["v"]["throughput"]["maxEndToEndDuration"]
+    parsed = N.parse_snapshots(spark.createDataFrame([(json.dumps(d),) for d in docs.values()], "doc string"))
+    assert parsed.filter("error is not null").isEmpty()
+
+
 def test_concurrency_and_shards(spark):
     row = N.concurrency(work(spark), 16 * SECOND, 1).first()
     assert (row.guard_active, row.guard_capacity, row.overflow_active) == (1, 1, 1)
