@@ -59,18 +59,24 @@ def bandwidth_compression(packets: DataFrame) -> DataFrame:
     return out.filter(F.coalesce("compressed_bytes", "uncompressed_bytes").isNotNull())
 
 
-def topology_gauges(packets: DataFrame) -> DataFrame:
-    """State at the last packet (by ``seq``). The collection time is that of the last packet that carries one."""
+def _topology(packets: DataFrame) -> DataFrame:
+    """State at the last packet (by ``seq``), the interval in milliseconds."""
     collected = F.call_function("div", F.col("ts_unix_ns"), F.lit(1_000_000_000))
     with_time = F.when(F.col("ts_unix_ns") != 0, F.col("seq"))
     return packets.groupBy(*GROUP).agg(
         F.max_by(F.size("brokers").cast("bigint"), "seq").alias("broker_count"),
         F.max_by(F.size("partitions").cast("bigint"), "seq").alias("partition_count"),
-        (F.max_by("stats_interval_ms", "seq") / 1000.0).alias("stats_interval_seconds"),
+        F.max_by("stats_interval_ms", "seq").alias("stats_interval_ms"),
         F.max_by(collected, with_time).alias("last_collection_timestamp_seconds"),
     )
 
 
+def topology_gauges(packets: DataFrame) -> DataFrame:
+    """State at the last packet (by ``seq``). The collection time is that of the last packet that carries one."""
+    interval = (F.col("stats_interval_ms") / 1000.0).alias("stats_interval_seconds")
+    return _topology(packets).select(*GROUP, "broker_count", "partition_count", interval, "last_collection_timestamp_seconds")
+
+
 def broker_info(packets: DataFrame) -> DataFrame:
     """One row per broker label set ever seen, value 1; rows of an earlier topology stay."""
     brokers = packets.select(*GROUP, F.explode("brokers").alias("b"))
@@ -87,6 +93,47 @@ def broker_info(packets: DataFrame) -> DataFrame:
     )
 
 
+def _series(df: DataFrame, kind: str, values: dict[str, tuple[Column, int]], labels: list[str], extra: dict[str, Column]) -> DataFrame:
+    """A wide table of figures as long series: one row per figure that is not null. ``extra`` are labels beyond the common ones."""
+    more = F.array(*[F.struct(F.lit(n).alias("name"), c.cast("string").alias("value")) for n, c in extra.items()])
+    cells = [F.struct(F.lit(n).alias("metric"), c.cast("bigint").alias("value"), F.lit(scale).alias("scale")) for n, (c, scale) in values.items()]
+    more = more if extra else more.cast("array<struct<name:string,value:string>>")
+    present = F.filter(F.array(*cells), lambda c: c["value"].isNotNull())
+    common = [F.col(n) if n in labels else F.lit(None).cast("int").alias(n) for n in S.MESSAGE_LABELS]
+    return df.select(*common, more.alias("extra"), F.inline(present)).select(
+        F.lit("bandwidth").alias("subsystem"), "metric", F.lit(kind).alias("type"), *S.MESSAGE_LABELS, "extra",
+        F.lit(None).cast("string").alias("le"), F.lit(0).alias("sort"), "value", "scale",
+    )
+
+
+def bandwidth_long(packets: DataFrame) -> DataFrame:
+    """The ten bandwidth and topology families as series, in the columns of :func:`keyflow.operators.metrics.metrics_long`.
+
+    Families differ in their labels: counters have a partition, those of compression the algorithm too, the topology has neither, and brokers are told
+    by four labels of their own.
+    """
+    per_partition = [*GROUP, "partition"]
+    counters = {f"{n}_total": (F.col(n), 0) for n in ("received_bytes", "transmitted_bytes", "received_messages")}
+    packed = {f"{n}_total": (F.col(n), 0) for n in ("compressed_bytes", "uncompressed_bytes")}
+    state = {
+        "broker_count": (F.col("broker_count"), 0),
+        "partition_count": (F.col("partition_count"), 0),
+        "stats_interval_seconds": (F.col("stats_interval_ms") * 1_000_000, 9),
+        "last_collection_timestamp_seconds": (F.col("last_collection_timestamp_seconds"), 0),
+    }
+    broker = {n: F.col(n) for n in ("broker_id", "broker_host", "broker_port", "broker_rack")}
+    parts = [
+        _series(bandwidth_counters(packets), "counter", counters, per_partition, {}),
+        _series(bandwidth_compression(packets), "counter", packed, per_partition, {"compression": F.col("compression")}),
+        _series(_topology(packets), "gauge", state, list(GROUP), {}),
+        _series(broker_info(packets), "gauge", {"broker_info": (F.col("value"), 0)}, list(GROUP), broker),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def bandwidth_from_records(records: DataFrame, interval: str = "1 minute", time: str = "event_ts") -> DataFrame:
     """Bytes and messages received per partition in tumbling intervals; records without a timestamp are left out.
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from keyflow import schema as S
 from keyflow.functions import text, traits
 from keyflow.operators.delivery import ordered_pair
+from keyflow.operators.bandwidth import bandwidth_long
 from keyflow.operators.prefix import HOT_ROWS, TIME_BITS, Running, running
 from keyflow.operators.staging import stage
 
@@ -216,10 +217,11 @@ def failure_rates(counters: DataFrame) -> DataFrame:
     )
 
 
-def metrics_long(packets: DataFrame) -> DataFrame:
-    """All message series as ``metric, type, labels..., le, sort, value, scale``: the value is ``value / 10**scale``.
+def metrics_long(packets: DataFrame, bandwidth_packets: DataFrame | None = None) -> DataFrame:
+    """All series as ``subsystem, metric, type, labels..., extra, le, sort, value, scale``: the value is ``value / 10**scale``.
 
-    One hash aggregate computes everything, so the packets are read once. ``sort`` orders the buckets of a histogram. As
+    The message series are those of the subsystem engine; with ``bandwidth_packets`` those of bandwidth are there too. A label that a family does not have is
+    null, labels that only some families have are in ``extra``, in their order. One hash aggregate computes the message series, so the packets are read once. ``sort`` orders the buckets of a histogram. As
     usual a condition counter or histogram without an event has no series.
     """
     arrival = ordered_pair("process_start_time_ns", "offset")
@@ -249,9 +251,11 @@ def metrics_long(packets: DataFrame) -> DataFrame:
         cell(f"{name}_bucket", "histogram", f"h{h}_count", "+Inf", 2 + count, when=seen)
     wide = queue_wait_ns(packets).groupBy(*S.MESSAGE_LABELS).agg(*aggs)
     series = f"inline(filter(array({', '.join(cells)}), c -> c is not null))"
-    return wide.selectExpr(*S.MESSAGE_LABELS, series).select(
-        "metric", "type", *S.MESSAGE_LABELS, "le", "sort", "value", "scale"
+    no_extra = F.array().cast("array<struct<name:string,value:string>>").alias("extra")
+    out = wide.selectExpr(*S.MESSAGE_LABELS, series).select(
+        F.lit("engine").alias("subsystem"), "metric", "type", *S.MESSAGE_LABELS, no_extra, "le", "sort", "value", "scale"
     )
+    return out if bandwidth_packets is None else out.unionByName(bandwidth_long(bandwidth_packets))
 
 
 def escape_label(value: Column | str) -> Column:
@@ -262,17 +266,31 @@ def escape_label(value: Column | str) -> Column:
     )
 
 
+def label_text(labels: Sequence[str] = tuple(S.MESSAGE_LABELS)) -> Column:
+    """The labels a series has, as ``name="value"`` pairs in order: those of its columns that are not null, then its extra ones."""
+
+    def pair(name: Column, value: Column) -> Column:
+        return F.concat(name, F.lit('="'), escape_label(value), F.lit('"'))
+
+    pairs = [pair(F.lit(name), F.col(name).cast("string")) for name in labels]
+    return F.concat_ws(",", *pairs, F.transform("extra", lambda x: pair(x["name"], x["value"])))
+
+
 def exposition_lines(metrics: DataFrame, namespace: str = "keyflow", labels: Sequence[str] = tuple(S.MESSAGE_LABELS)) -> DataFrame:
-    """Sample lines of the text form: ``metric, sort, line``; the bucket bound comes first among the labels."""
-    pairs = [F.concat(F.lit(f'{name}="'), escape_label(F.col(name).cast("string")), F.lit('"')) for name in labels]
+    """Sample lines of the text form: ``subsystem, metric, type, labels..., label_text, sort, line``; the bucket bound comes first among the labels."""
     le = F.when(F.col("le").isNotNull(), F.concat(F.lit('le="'), F.col("le"), F.lit('"')))
     seconds = text.decimal_text(F.col("value"), 9)
     seconds = F.when(F.contains(seconds, F.lit(".")), seconds).otherwise(F.concat(seconds, F.lit(".0")))
     value = F.when(F.col("scale") == 0, F.col("value").cast("string")).otherwise(seconds)
+    known = metrics.withColumn("label_text", label_text(labels))
     line = F.concat(
-        F.lit(f"{namespace}_engine_"), F.col("metric"), F.lit("{"), F.concat_ws(",", le, *pairs), F.lit("} "), value
+        F.lit(f"{namespace}_"), F.col("subsystem"), F.lit("_"), F.col("metric"), F.lit("{"), F.concat_ws(",", le, F.col("label_text")), F.lit("} "), value
     )
-    return metrics.select("metric", "type", *labels, "sort", line.alias("line"))
+    return known.select("subsystem", "metric", "type", *labels, "label_text", "sort", line.alias("line"))
+
+
+# What the samples of a family add to its name.
+_SUFFIXES = {"counter": "_total$", "histogram": "_(sum|count|bucket)$"}
 
 
 def exposition(metrics: DataFrame, namespace: str = "keyflow") -> DataFrame:
@@ -280,20 +298,18 @@ def exposition(metrics: DataFrame, namespace: str = "keyflow") -> DataFrame:
 
     Its size is the number of series, not of messages, which is why one global sort is fine here.
     """
-    samples = exposition_lines(metrics, namespace)
-    family = F.regexp_replace("metric", "_(total|sum|count|bucket)$", "")
-    body = samples.withColumn("family", family)
-    heads = body.groupBy("family", "type").agg(F.lit(0).alias("_k")).select(
+    family = F.col("metric")
+    for kind, suffix in _SUFFIXES.items():
+        family = F.when(F.col("type") == kind, F.regexp_replace("metric", suffix, "")).otherwise(family)
+    samples = exposition_lines(metrics, namespace).withColumn("family", family)
+    heads = samples.select("subsystem", "family", "type").distinct().select(
+        "subsystem",
         "family",
         F.lit(0).alias("_k"),
-        *[F.lit(None).cast(body.schema[n].dataType).alias(n) for n in S.MESSAGE_LABELS],
-        F.lit(0).alias("sort"),
-        F.concat(F.lit(f"# TYPE {namespace}_engine_"), F.col("family"), F.lit(" "), F.col("type")).alias("line"),
-    )
-    rows = body.withColumn("_k", F.lit(1)).select("family", "_k", *S.MESSAGE_LABELS, "sort", "line")
-    end = metrics.sparkSession.range(1).select(
-        F.lit(None).cast("string").alias("family"), F.lit(2).alias("_k"), F.lit("# EOF").alias("line")
+        F.concat(F.lit(f"# TYPE {namespace}_"), F.col("subsystem"), F.lit("_"), F.col("family"), F.lit(" "), F.col("type")).alias("line"),
     )
-    document = heads.unionByName(rows).unionByName(end, allowMissingColumns=True)
-    ordered = document.orderBy(F.col("family").asc_nulls_last(), "_k", *S.MESSAGE_LABELS, "sort")
-    return ordered.select("line")
+    end = metrics.sparkSession.range(1).select(F.lit(2).alias("_k"), F.lit("# EOF").alias("line"))
+    rows = samples.withColumn("_k", F.lit(1)).drop("metric", "type")
+    document = rows.unionByName(heads, allowMissingColumns=True).unionByName(end, allowMissingColumns=True)
+    first = [F.col(c).asc_nulls_last() for c in ("subsystem", "family")]
+    return document.orderBy(*first, "_k", *S.MESSAGE_LABELS, "label_text", "sort").select("line")

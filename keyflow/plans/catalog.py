@@ -488,12 +488,13 @@ def flag_overflow(spark, sf_dir):
 
 @query
 def metrics_long(spark, sf_dir):
-    return metrics.metrics_long(fx.packets(spark, sf_dir))
+    out = metrics.metrics_long(fx.packets(spark, sf_dir), fx.bandwidth_packets(spark, sf_dir))
+    return out.withColumn("extra", metrics.label_text(()))
 
 
 @query
 def exposition(spark, sf_dir):
-    return metrics.exposition(metrics.metrics_long(fx.packets(spark, sf_dir)))
+    return metrics.exposition(metrics.metrics_long(fx.packets(spark, sf_dir), fx.bandwidth_packets(spark, sf_dir)))
 
 
 @query

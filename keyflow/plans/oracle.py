@@ -719,22 +719,65 @@ def _long() -> str:
     return f", v AS (SELECT *, {_WAIT} AS wait_ns FROM packets),\nlong AS (" + "\nUNION ALL\n".join(rows) + ")"
 
 
+_GROUP = "topic, consumer_group, service, team"
+_BROKERS = """SELECT DISTINCT topic, consumer_group, service, team, b.id AS broker_id, b.host AS broker_host
+FROM (SELECT topic, consumer_group, service, team, unnest([{'id': '1', 'host': 'h1'}, {'id': '2', 'host': 'h2-' || (seq % 3)}]
+  || CASE WHEN seq % 4 = 0 THEN [{'id': '3', 'host': 'h3'}] ELSE [] END) AS b FROM bw_packets)"""
+
+
+def _bandwidth_long() -> str:
+    """metric, type, labels, extra, value, scale of the bandwidth families."""
+    rows = [
+        f"SELECT '{name}_total' AS metric, 'counter' AS type, {_GROUP}, id AS part, '' AS extra, CAST(sum({col}) AS BIGINT) AS value, 0 AS scale "
+        f"FROM bw_partitions WHERE {col} > 0 GROUP BY ALL"
+        for name, col in (("received_bytes", "received_bytes"), ("transmitted_bytes", "transmitted_bytes"), ("received_messages", "messages"))
+    ]
+    rows += [
+        f"""SELECT '{col}_total', 'counter', {_GROUP}, id, 'compression="' || compression || '"', CAST(sum({col}) AS BIGINT), 0
+FROM bw_partitions WHERE {col} > 0 GROUP BY {_GROUP}, id, compression"""
+        for col in ("compressed_bytes", "uncompressed_bytes")
+    ]
+    for name, value, scale, when in (
+        ("broker_count", "arg_max(brokers, seq)", 0, "true"),
+        ("partition_count", "arg_max(partitions, seq)", 0, "true"),
+        ("stats_interval_seconds", "arg_max(stats_interval_ms, seq) * 1000000", 9, "true"),
+        ("last_collection_timestamp_seconds", "arg_max(ts_unix_ns // 1000000000, seq)", 0, "ts_unix_ns <> 0"),
+    ):
+        rows.append(f"SELECT '{name}', 'gauge', {_GROUP}, NULL, '', CAST({value} AS BIGINT), {scale} FROM bw_packets WHERE {when} GROUP BY {_GROUP}")
+    rows.append(
+        f"""SELECT 'broker_info', 'gauge', {_GROUP}, NULL, 'broker_id="' || broker_id || '",broker_host="' || broker_host
+  || '",broker_port="9092",broker_rack="r' || broker_id || '"', 1, 0 FROM ({_BROKERS})"""
+    )
+    return ",\nbw AS (" + "\nUNION ALL\n".join(rows) + ")"
+
+
+_ALL_SERIES = """,
+every AS (SELECT 'engine' AS subsystem, metric, type, topic, consumer_group, service, team, part, '' AS extra, le, sort, value, scale FROM long
+UNION ALL SELECT 'bandwidth', metric, type, topic, consumer_group, service, team, part, extra, NULL, 0, value, scale FROM bw)"""
 sql(
     "metrics_long",
-    "packets",
-    _long() + '\nSELECT metric, type, topic, consumer_group, service, team, part AS "partition", le, sort, value, scale FROM long',
+    "packets bw_partitions bw_packets",
+    _long()
+    + _bandwidth_long()
+    + _ALL_SERIES
+    + """
+SELECT subsystem, metric, type, topic, consumer_group, service, team, part AS "partition", extra, le, sort, value, scale FROM every""",
 )
 sql(
     "exposition",
-    "packets",
+    "packets bw_partitions bw_packets",
     _long()
+    + _bandwidth_long()
+    + _ALL_SERIES
     + r"""
-, txt AS (SELECT *, regexp_replace(metric, '_(total|sum|count|bucket)$', '') AS family,
+, txt AS (SELECT *, CASE type WHEN 'gauge' THEN metric WHEN 'counter' THEN regexp_replace(metric, '_total$', '')
+    ELSE regexp_replace(metric, '_(sum|count|bucket)$', '') END AS family,
   CASE WHEN scale = 0 THEN CAST(value AS VARCHAR) ELSE regexp_replace(rtrim(printf('%d.%09d', value // 1000000000, value % 1000000000), '0'), '\.$', '.0') END AS shown
-  FROM long)
-SELECT 'keyflow_engine_' || metric || '{' || CASE WHEN le IS NOT NULL THEN 'le="' || le || '",' ELSE '' END || 'topic="' || topic
-  || '",consumer_group="' || consumer_group || '",service="bill\"ing",team="",partition="' || part || '"} ' || shown AS line FROM txt
-UNION ALL SELECT DISTINCT '# TYPE keyflow_engine_' || family || ' ' || type FROM txt
+  FROM every)
+SELECT 'keyflow_' || subsystem || '_' || metric || '{' || CASE WHEN le IS NOT NULL THEN 'le="' || le || '",' ELSE '' END || 'topic="' || topic
+  || '",consumer_group="' || consumer_group || '",service="' || replace(service, '"', '\"') || '",team="' || team || '"'
+  || CASE WHEN part IS NOT NULL THEN ',partition="' || part || '"' ELSE '' END || CASE WHEN extra <> '' THEN ',' || extra ELSE '' END || '} ' || shown AS line FROM txt
+UNION ALL SELECT DISTINCT '# TYPE keyflow_' || subsystem || '_' || family || ' ' || type FROM txt
 UNION ALL SELECT '# EOF'""",
 )
 sql(

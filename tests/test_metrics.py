@@ -100,6 +100,49 @@ def test_whole_seconds_keep_a_decimal_point(spark):
     assert any(t.endswith("} 3.0") for t in lines(spark, packet(process=3_000_000_000)))
 
 
+BANDWIDTH = (
+    "seq bigint, ts_unix_ns bigint, stats_interval_ms bigint, topic string, consumer_group string, service string, team string, "
+    "brokers array<struct<id:string,host:string,port:string,rack:string>>, partitions array<struct<id:int,received_bytes:bigint,"
+    "transmitted_bytes:bigint,received_message_count:bigint,compressed_bytes:bigint,uncompressed_bytes:bigint,compression:string>>"
+)
+
+
+def bandwidth_rows(spark):
+    """Two services; broker 2 of the first moves; a partition without any traffic; no collection time for the second."""
+    first = [
+        (1, 7_000_000_001, 5000, "orders", "g", "svc", "", [("1", "h1", "9", "r"), ("2", "h2", "9", "r")], [(0, 1000, 10, 3, 50, 90, "lz4"), (1, 0, 0, 0, 0, 0, "")]),
+        (2, 9_500_000_000, 2500, "orders", "g", "svc", "", [("1", "h1", "9", "r"), ("2", 'h"3', "9", "r")], [(0, 1000, 0, 0, 8, 0, "")]),
+    ]
+    second = [(3, 0, 60_000, "orders", "g", "other", "team", [], [(0, 1, 0, 0, 0, 0, "")])]
+    return spark.createDataFrame(first + second, BANDWIDTH)
+
+
+def test_bandwidth_series_are_in_the_exposition(spark):
+    long = M.metrics_long(packets(spark, packet(service="svc")), bandwidth_rows(spark))
+    text = [r.line for r in M.exposition(long, "app").collect()]
+    group = 'topic="orders",consumer_group="g",service="{}",team="{}"'
+    one, other = group.format("svc", ""), group.format("other", "team")
+    wanted = {
+        f'app_bandwidth_received_bytes_total{{{one},partition="0"}} 2000',
+        f'app_bandwidth_received_bytes_total{{{other},partition="0"}} 1',
+        f'app_bandwidth_transmitted_bytes_total{{{one},partition="0"}} 10',
+        f'app_bandwidth_received_messages_total{{{one},partition="0"}} 3',
+        f'app_bandwidth_compressed_bytes_total{{{one},partition="0",compression="lz4"}} 50',
+        f'app_bandwidth_compressed_bytes_total{{{one},partition="0",compression="unknown"}} 8',
+        f'app_bandwidth_uncompressed_bytes_total{{{one},partition="0",compression="lz4"}} 90',
+        f"app_bandwidth_broker_count{{{one}}} 2", f"app_bandwidth_broker_count{{{other}}} 0",
+        f"app_bandwidth_partition_count{{{one}}} 1", f"app_bandwidth_partition_count{{{other}}} 1",
+        f"app_bandwidth_stats_interval_seconds{{{one}}} 2.5", f"app_bandwidth_stats_interval_seconds{{{other}}} 60.0",
+        f"app_bandwidth_last_collection_timestamp_seconds{{{one}}} 9",
+        *(f'app_bandwidth_broker_info{{{one},broker_id="{i}",broker_host="{h}",broker_port="9",broker_rack="r"}} 1' for i, h in (("1", "h1"), ("2", "h2"), ("2", 'h\\"3'))),
+    }
+    assert {t for t in text if t.startswith("app_bandwidth_")} == wanted
+    assert f'app_engine_processed_total{{{one},partition="0"}} 1' in text
+    heads = [t.split()[2:] for t in text if t.startswith("# TYPE app_bandwidth_")]
+    assert ["app_bandwidth_broker_count", "gauge"] in heads and ["app_bandwidth_received_bytes", "counter"] in heads and len(heads) == 10
+    assert text[-1] == "# EOF" and len(text) == len(set(text))
+
+
 def depth_at(rows, partition, at):
     return sum(r[1] == partition and r[5] <= at and (r[7] is None or r[7] > at) for r in rows)
 
