@@ -1,6 +1,6 @@
 """Exact join of documents by the Jaccard similarity of their word shingles, with set-relation skipping.
 
-1. Every text becomes a set of shingle hashes. Equal sets become one node, however many copies there are.
+1. Every text becomes a set of shingle hashes. Equal sets become one node, however many copies there are, with one row to stand for it.
 2. Nodes are indexed by the shingles of their prefix: a node of n shingles can only link with another if they share one of
    its first ``n - ceil(s * n) + 1`` shingles in a common order. The order puts shingles that many documents share last; which
    these are is counted over all documents, chunk by chunk. Any order gives the same links; a good one keeps the lists short.
@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from keyflow.llm.common import lists, map_arrow, mixed, rolling, small_side, stage, texts, word_hashes
 
-# Shingles counted at once in a worker: 16 MB, and three times that while they are sorted.
-CHUNK = 2_000_000
+# Shingles counted at once in a worker: 8 MB, and three times that while they are sorted.
+CHUNK = 1_000_000
 # Shingles found in more documents than this move to the end of the order; at most this many are kept, the most frequent: 2 MB.
 FREQUENT = 32
 FREQUENT_KEPT = 250_000
@@ -130,11 +130,55 @@ def prefixes(docs: DataFrame, width: int, percent: int, late: np.ndarray) -> Dat
     return map_arrow(docs, run, f"doc_id {kind}, text_key bigint, signature binary, n bigint, prefix array<bigint>")
 
 
-def sets_of_nodes(rows: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int, part: int) -> DataFrame:
+class Standing:
+    """The one row that stands for each set: of the sets found more than once, that of the least identifier (null ones last) and text.
+
+    Rows equal in identifier and text cannot be told apart; where such rows are chosen their text is kept once, in a table of its own.
+    """
+
+    def __init__(self, rows: DataFrame, known: DataFrame):
+        self.rows = rows
+        # Sets found once need nothing; their rows do not come together to be counted.
+        counted = known.filter("n > 0").groupBy("signature").agg(F.min("doc_id").alias("first"), F.count("*").alias("_n"))
+        self.firsts = counted.select("signature", "first")
+        repeated = small_side(counted.filter("_n > 1").select("signature"))
+        pairs = known.join(repeated, "signature").groupBy("signature", "doc_id", "text_key").agg(F.count("*").alias("_times"))
+        pairs = stage(pairs)
+        least = pairs.groupBy("signature").agg(F.min(F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "text_key")).alias("_least"))
+        chosen = least.select("signature", F.col("_least.doc_id").alias("_id"), F.col("_least.text_key").alias("_key"))
+        placed = pairs.join(small_side(chosen), "signature")
+        is_chosen = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
+        # Rows not chosen, and chosen ones that are not alone.
+        out = placed.filter(~is_chosen | (F.col("_times") > 1)).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), is_chosen.alias("many"))
+        self.left_out = small_side(out)
+        many = small_side(self.left_out.filter("many").select("_id", "_key"))
+        self.many = None if many.isEmpty() else stage(
+            rows.join(many, self._same(), "left_semi").groupBy("doc_id", "text_key").agg(F.any_value("text").alias("text"))
+        )
+
+    @staticmethod
+    def _same():
+        return F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
+
+    def all(self) -> DataFrame:
+        """One row per set, ``doc_id, text, text_key``, and the rows without words."""
+        once = self.rows.join(self.left_out, self._same(), "left_anti")
+        return once if self.many is None else once.unionByName(self.many)
+
+    def of(self, names: DataFrame) -> DataFrame:
+        """The texts of nodes: ``names`` holds ``node, _id, _key``, those of rows that stand for a set."""
+        if self.many is None:
+            return self.rows.join(names, self._same()).select("node", "text")
+        kept_once = small_side(self.many.select(F.col("doc_id").alias("_i"), F.col("text_key").alias("_k")))
+        apart = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k"))
+        alone = self.rows.join(small_side(names.join(kept_once, apart, "left_anti")), self._same())
+        return alone.select("node", "text").unionByName(self.many.join(names, self._same()).select("node", "text"))
+
+
+def sets_of_nodes(standing: Standing, nodes: DataFrame, wanted: DataFrame, width: int, part: int) -> DataFrame:
     """``node, n, members`` of the wanted nodes: the share ``1 / part`` of the set with the least hashes (1: the whole set)."""
     names = wanted.select("node").distinct().join(nodes.select("node", "doc_id", "text_key"), "node")
-    names = small_side(names.select("node", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")))
-    found = rows.join(names, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")))
+    found = standing.of(small_side(names.select("node", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))))
     limit = np.uint64(2**64 // part - 1)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -198,13 +242,9 @@ def similar(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "d
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_key"))
     known = stage(described(rows, width))
 
-    # One document stands for all with the same set. Rows equal in identifier and text stay and are joined up at the end.
-    counted = known.filter("n > 0").groupBy("signature").agg(F.min("doc_id").alias("first"), F.count("*").alias("_n"))
-    firsts = counted.select("signature", "first")
-    # Only sets found more than once have copies; their rows need not come together to be named.
-    repeated = small_side(counted.filter("_n > 1").select("signature", "first"))
-    copies = known.join(repeated, "signature").filter("doc_id <> first").select("doc_id", "text_key").distinct()
-    singles = rows.join(small_side(copies), ["doc_id", "text_key"], "left_anti")
+    # One row stands for all with the same set; what is equal is joined up at the end, over the sets.
+    standing = Standing(rows, known)
+    singles = standing.all()
     late = frequent(singles, width).select("shingle").toArrow().column(0).to_numpy().view(np.uint64)[::-1]
     nodes = stage(prefixes(singles, width, percent, late).withColumn("node", F.monotonically_increasing_id()))
 
@@ -228,46 +268,40 @@ def similar(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "d
     asked = index.filter("node <> pivot").select("node", "pivot", "n").distinct()
     to_pivot = stage(asked.join(pivots, "pivot").filter(near_size).select(F.col("node").alias("a"), F.col("pivot").alias("b")))
     # A quarter of each set rules most pairs out; whole sets are made for the rest.
-    some = sets_of_nodes(rows, nodes, index, width, 4)
+    some = sets_of_nodes(standing, nodes, index, width, 4)
 
     def exactly(pairs: DataFrame) -> DataFrame:
         close = compare(pairs, some, percent).select("a", "b")
         both = close.select(F.col("a").alias("node")).unionByName(close.select(F.col("b").alias("node")))
-        return compare(close, sets_of_nodes(rows, nodes, both, width, 1), percent)
+        return compare(close, sets_of_nodes(standing, nodes, both, width, 1), percent)
 
     met = exactly(to_pivot)
     linked = met.select("a", "b")
 
     # What is left: nodes of one list that have different homes.
     home = linked.groupBy("a").agg(F.min("b").alias("home")).withColumnRenamed("a", "node")
-    distance = met.select(F.col("a").alias("node"), F.col("b").alias("pivot"), (1 - F.col("common") / F.col("either")).alias("distance"))
     base = 101 / percent  # a little over the largest ratio of sizes, so sizes that can link lie in the same or the next block
     left = (
         index.filter("node <> pivot")
         .join(home, "node", "left")
-        .join(distance.distinct(), ["node", "pivot"], "left")
         .withColumn("home", F.coalesce("home", "node"))
     )
     open_ = left.groupBy("shingle").agg(F.min("home").alias("_one"), F.max("home").alias("_other")).filter("_one < _other").select("shingle")
     left = stage(left.join(open_, "shingle").withColumn("block", F.floor(F.log("n") / F.log(F.lit(base)))))
     small = left.select(
-        "shingle", F.explode(F.array("block", F.col("block") + 1)).alias("block"), F.col("node").alias("a"), "n", "pos", "home", "distance"
+        "shingle", F.explode(F.array("block", F.col("block") + 1)).alias("block"), F.col("node").alias("a"), "n", "pos", "home"
     )
     large = left.select(
         "shingle", "block", F.col("node").alias("b"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("home").alias("house"),
-        F.col("distance").alias("far"),
     )
     within = f"""home <> house AND (n < m OR n = m AND a < b) AND 100 * n >= {percent} * m
-        AND {100 + percent} * (1 + least(n - pos - 1, m - at - 1)) >= {percent} * (n + m)
-        AND coalesce(abs(distance - far), 0) <= {1 - percent / 100} + 1e-9"""
+        AND {100 + percent} * (1 + least(n - pos - 1, m - at - 1)) >= {percent} * (n + m)"""
     rest = small.join(large, ["shingle", "block"]).filter(within).select("a", "b").distinct()
     more = exactly(rest).select("a", "b")
-    same = nodes.groupBy("signature").agg(F.min("node").alias("a"), F.max("node").alias("_last"), F.collect_set("node").alias("_all"))
-    same = same.filter("a < _last").select("a", F.explode("_all").alias("b")).filter("a < b")
-    found = components(nodes, linked.unionByName(more).unionByName(same))
+    found = components(nodes, linked.unionByName(more))
 
     # Back to documents, over the sets.
-    sets_of = nodes.groupBy("signature").agg(F.min("node").alias("node")).join(firsts, "signature").join(found, "node", "left")
+    sets_of = nodes.select("signature", "node").join(standing.firsts, "signature").join(found, "node", "left")
     sets_of = stage(sets_of.withColumn("component", F.coalesce("component", "node")))
     smallest = sets_of.groupBy("component").agg(F.min("first").alias("component_id"))
     named = sets_of.join(smallest, "component").select("signature", "component", "component_id")
@@ -276,19 +310,20 @@ def similar(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "d
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest identifier. Rows without words all stay."""
+    """``docs`` with one row of each component: the one with the smallest identifier, null ones last. Rows without words all stay."""
+    key = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    # The columns of the documents travel as one, so their names cannot clash with those used here.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(doc_id).alias("_own_id"), key.alias("_own_key"))
     judged = stage(similar(docs, width, percent, doc_id, text).select("doc_id", "text_key", "component", "n_shingles"))
-    kept = judged.filter("n_shingles > 0").groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("_k"), F.count("*").alias("_n"))
-    rows = docs.withColumn("_text_key", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "text_key")).alias("_k")
+    kept = judged.filter("n_shingles > 0").groupBy("component").agg(least)
     # How many rows are equal to the kept one in identifier and text.
     names = kept.select(F.col("_k.doc_id").alias("_id"), F.col("_k.text_key").alias("_key"))
     twins = judged.join(names, judged["doc_id"].eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left_semi")
     twins = twins.groupBy("doc_id", "text_key").agg(F.count("*").alias("_n")).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_n")
-    chosen = rows.join(small_side(twins), same)
+    chosen = rows.join(small_side(twins), F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own_key") == F.col("_key")))
     single = chosen.filter("_n = 1")
     double = chosen.filter("_n > 1").dropDuplicates(["_id", "_key"])
     wordless = judged.filter("n_shingles = 0").select("text_key").distinct().select(F.col("text_key").alias("_key"))
-    empty = rows.join(small_side(wordless), F.col("_text_key") == F.col("_key"), "left_semi")
-    out = single.select(*docs.columns).unionByName(double.select(*docs.columns)).unionByName(empty.select(*docs.columns))
-    return out
+    empty = rows.join(small_side(wordless), F.col("_own_key") == F.col("_key"), "left_semi")
+    return single.select("_row").unionByName(double.select("_row")).unionByName(empty.select("_row")).select("_row.*")

@@ -150,6 +150,7 @@ def remove_repeated(docs: DataFrame, width: int = 35, text: str = "text") -> Dat
     """``docs`` with ``text`` replaced by its kept words, joined by one space, plus ``n_words`` and ``n_removed``.
 
     Texts from which nothing goes are left as they are in ``text``; ``kept`` always holds the joined words.
+    Columns of ``docs`` with one of the three new names are replaced.
     """
     spans = repeated_spans(docs, width, text)
     kinds = dict(docs.dtypes)
@@ -178,5 +179,6 @@ def remove_repeated(docs: DataFrame, width: int = 35, text: str = "text") -> Dat
 
     schema = "".join(f"{n} {kinds[c]}, " for c, n in names.items()) + "_text string, kept string, n_words bigint, n_removed bigint"
     out = map_arrow(joined, apply, schema)
-    back = [F.col("_text").alias(c) if c == text else F.col(names[c]).alias(c) for c in docs.columns]
+    own = ("kept", "n_words", "n_removed")
+    back = [F.col("_text").alias(c) if c == text else F.col(names[c]).alias(c) for c in docs.columns if c == text or c not in own]
     return out.select(*back, F.col("kept").alias("kept"), "n_words", "n_removed")
