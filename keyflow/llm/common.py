@@ -8,6 +8,9 @@ joins inside the operators go by content (a 128-bit digest of the text), never b
 from __future__ import annotations
 
 import binascii
+import ctypes
+import gc
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -42,15 +45,28 @@ def digest(text: str | Column) -> Column:
     return F.unhex(F.md5(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))))
 
 
+def release() -> None:
+    """Hand memory that a task no longer needs back to the system: workers live on, and what they keep adds up over the stages of a session."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``fn`` over every Arrow batch of ``df``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = None
         for batch in batches:
             if batch.num_rows:
                 out = fn(batch)
                 if out is not None:
                     yield out
+        batch = out = None
+        release()
 
     return df.mapInArrow(run, schema)
 

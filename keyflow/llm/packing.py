@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 
 from keyflow.llm.common import crc32, map_arrow, small_side, stage, texts
 
-REMEMBERED = 600_000
+# What a worker remembers of words: this many bytes, an entry counted with its place in the table.
+REMEMBERED_BYTES = 40 << 20
 REMEMBERED_CHARS = 64
+ENTRY_BYTES = 200
 # Documents of one size are ranked in this many blocks.
 RANK_BLOCKS = 1 << 10
 
@@ -41,7 +43,7 @@ class WordEncoder:
 
     The vocabulary drops white space and never joins what it separates, so a text's ids are its words' ids in a row. A word's closing
     punctuation is a token of its own after a letter, so word and punctuation are remembered apart. Each worker remembers a bounded
-    number of words.
+    number of bytes of them.
     """
 
     def __init__(self, path: str):
@@ -50,6 +52,7 @@ class WordEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.room = REMEMBERED_BYTES
         # The byte-level alphabet: visible Latin-1 characters stand for themselves, the other bytes for 256, 257, ...
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in visible]
@@ -77,10 +80,13 @@ class WordEncoder:
         out = {}
         for word, (stem, tail) in parts.items():
             out[word] = (known.get(stem) or found.get(stem, b"")) + (known.get(tail) or found.get(tail, b""))
-        room = REMEMBERED - len(known)
-        if room > 0:
-            for source in (found, out):
-                known.update((w, ids) for w, ids in source.items() if ids and len(w) <= REMEMBERED_CHARS)
+        for source in (found, out):
+            for w, ids in source.items():
+                if self.room <= 0:
+                    return out
+                if ids and len(w) <= REMEMBERED_CHARS and w not in known:
+                    known[w] = ids
+                    self.room -= ENTRY_BYTES + len(w) + len(ids)
         return out
 
     def encode(self, text: str) -> bytes:
