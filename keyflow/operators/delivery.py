@@ -259,27 +259,28 @@ def assignment_at(attempts: DataFrame, assignments: DataFrame, width_us: int = D
 
     Where assignments overlap, the one assigned last counts; an attempt stays one row. The range condition is turned into
     an equality on time slots: each slot of a partition lists the closed assignments that touch it (a rebalance each, so
-    few), and an attempt meets only the list of its own slot, so a busy partition is spread over its slots. An assignment
-    that is still open has no end to list; the last one of a partition counts.
+    few), and an attempt meets only the list of its own slot, so a busy partition is spread over its slots. Of several open assignments
+    one counts until the next one begins, so all but the last are cut there and listed like closed ones; the last has no end to list.
     """
 
     def slot(us: Column) -> Column:
         return F.call_function("div", us, F.lit(width_us).cast("bigint"))
 
     assignments = stage(assignments.select(*S.PARTITION, "epoch", "assigned_us", "revoked_us"))
-    closed = assignments.filter(F.col("revoked_us") > F.col("assigned_us")).select(
-        *S.PARTITION,
-        F.struct("assigned_us", "epoch", "revoked_us").alias("_c"),
-        F.explode(F.sequence(slot(F.col("assigned_us")), slot(F.col("revoked_us") - 1))).alias("_slot"),
+    following = Window.partitionBy(*S.PARTITION).orderBy("assigned_us", "epoch")
+    still_open = assignments.filter(F.col("revoked_us").isNull()).withColumn("_until", F.lead("assigned_us").over(following))
+    ended = assignments.filter(F.col("revoked_us").isNotNull()).withColumn("_until", F.col("revoked_us"))
+    listed = ended.unionByName(still_open.filter(F.col("_until").isNotNull())).filter(F.col("_until") > F.col("assigned_us"))
+    span = F.struct("assigned_us", "epoch", "revoked_us", "_until")
+    closed = listed.select(
+        *S.PARTITION, span.alias("_c"), F.explode(F.sequence(slot(F.col("assigned_us")), slot(F.col("_until") - 1))).alias("_slot")
     )
     closed = closed.groupBy(*S.PARTITION, "_slot").agg(F.collect_list("_c").alias("_closed"))
-    opened = assignments.filter(F.col("revoked_us").isNull()).groupBy(*S.PARTITION).agg(
-        F.max_by(F.struct("assigned_us", "epoch", "revoked_us"), "assigned_us").alias("_open")
-    )
+    opened = still_open.filter(F.col("_until").isNull()).groupBy(*S.PARTITION).agg(F.max_by(span, ordered_pair("assigned_us", "epoch")).alias("_open"))
     slotted = attempts.withColumn("_slot", slot(F.col("read_us")))
     joined = slotted.join(small_side(closed), [*S.PARTITION, "_slot"], "left").join(small_side(opened), S.PARTITION, "left")
     read = F.col("read_us")
-    covering = F.filter("_closed", lambda c: (read >= c["assigned_us"]) & (read < c["revoked_us"]))
+    covering = F.filter("_closed", lambda c: (read >= c["assigned_us"]) & (read < c["_until"]))
     in_open = (read >= F.col("_open.assigned_us")) & (
         F.col("_c").isNull() | (F.col("_open.assigned_us") >= F.col("_c.assigned_us"))
     )

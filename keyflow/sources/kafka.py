@@ -224,15 +224,19 @@ def reader_settings(topic, brokers, group, options=(), streaming=True, max_per_t
 def writer_options(
     topic: str, brokers: str, options: Mapping[str, str] | Iterable[tuple[str, str]] = ()
 ) -> dict[str, str]:
-    """Options of the Kafka writer; every record is acknowledged by all in-sync replicas."""
+    """Options of the Kafka writer; every record is acknowledged by all in-sync replicas. Login and encryption settings are those of the reader."""
     out = {"topic": topic, "kafka.bootstrap.servers": brokers, "kafka.acks": "all"}
+    security: dict[str, str] = {}
     for key, value in merge_options(options).items():
         if key in RESERVED:
             raise OptionError(f"option {key!r} is reserved: use the argument {RESERVED[key]!r}")
         if key == "acks" and value not in ("all", "-1"):
             raise OptionError("acks must be all")
-        out[f"kafka.{key}"] = value
-    return out
+        if key.startswith(SECURITY_PREFIXES) or key in SECURITY_SWITCHES:
+            security[key] = value
+        else:
+            out[f"kafka.{key}"] = value
+    return out | security_options(security)
 
 
 def write_records(

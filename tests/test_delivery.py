@@ -161,12 +161,14 @@ def test_rebalance_flags(spark):
 def test_overlapping_assignments(spark):
     """The assignment that began last counts, and every attempt stays one row; redeliveries are not collapsed."""
     spans = [("t", 0, 0, 0, 100), ("t", 0, 1, 50, 200), ("t", 0, 2, 60, 70), ("t", 0, 3, 150, None), ("t", 1, 0, 0, None), ("t", 1, 1, 40, 60)]
+    # Several open at once, one of them cut by a closed one; two that begin together.
+    spans += [("t", 2, 0, 0, None), ("t", 2, 1, 100, None), ("t", 2, 2, 50, 60), ("t", 2, 3, 150, None), ("t", 2, 4, 150, None)]
     assignments = spark.createDataFrame(spans, ASSIGNMENT_SCHEMA)
-    rows = [attempt(n, n, done=n + 1, partition=p) for n in range(0, 230, 5) for p in (0, 1)] + [attempt(5, 5, done=6), attempt(5, 5, done=6)]
+    rows = [attempt(n, n, done=n + 1, partition=p) for n in range(0, 230, 5) for p in (0, 1, 2)] + [attempt(5, 5, done=6), attempt(5, 5, done=6)]
 
     def last(p, at):
         covering = [s for s in spans if s[1] == p and s[3] <= at and (s[4] is None or at < s[4])]
-        return max(covering, key=lambda s: s[3])[2] if covering else None
+        return max(covering, key=lambda s: (s[3], s[2]))[2] if covering else None
 
     want = sorted((r[1], r[2], last(r[1], r[5])) for r in rows)
     for width in (7, D.DAY_US):

@@ -77,6 +77,23 @@ def test_writer_options():
         kafka.writer_options("t", "b", {"acks": "1"})
 
 
+def test_writer_security_is_that_of_the_reader():
+    given = {
+        "security.protocol": "SASL_SSL", "sasl.mechanisms": "SCRAM-SHA-256", "sasl.username": "u", "sasl.password": 'p"w', "ssl.ca.location": "/ca.pem",
+        "ssl.certificate.location": "/both.pem", "ssl.key.location": "/both.pem",
+    }
+    out = kafka.writer_options("t", "b", {**given, "linger.ms": "5"})
+    read = kafka.reader_options("t", "b", "g", given)
+    translated = {k: v for k, v in read.items() if k.startswith(("kafka.sasl", "kafka.ssl", "kafka.security"))}
+    assert {k: v for k, v in out.items() if k in translated} == translated and len(translated) >= 6
+    assert not {f"kafka.{k}" for k in ("sasl.username", "sasl.password", "ssl.ca.location", "sasl.mechanisms")} & out.keys()
+    assert out["kafka.linger.ms"] == "5"
+    with pytest.raises(kafka.OptionError, match="no counterpart"):
+        kafka.writer_options("t", "b", {"ssl.engine.location": "/x"})
+    with pytest.raises(kafka.OptionError, match="belong together"):
+        kafka.writer_options("t", "b", {"sasl.username": "u"})
+
+
 def test_order_events(spark):
     df = spark.range(1000).withColumn("at", F.timestamp_seconds(F.lit(0)))
     rows = tables.order_events(df, "id", "at").orderBy("number").collect()
