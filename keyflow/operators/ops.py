@@ -109,7 +109,7 @@ def _floor_div(column: Column, by: int) -> Column:
 
 
 # Cells of a stretch that are walked in one task; each cell is as wide as the throttle's interval.
-BLOCK_CELLS = 8
+BLOCK_CELLS = 32
 
 
 def kept_instants(instants: np.ndarray, last: int | None, width: int) -> list[int]:
@@ -183,9 +183,10 @@ def _groups(pdf: pd.DataFrame, group: list[str]) -> Iterator[tuple[tuple, int, i
     before = pdf[group].shift()
     changed = ((pdf[group] != before) & ~(pdf[group].isna() & before.isna())).any(axis=1).to_numpy()
     changed[0] = True
-    edges = [*np.flatnonzero(changed), len(pdf)]
-    for begin, end in zip(edges, edges[1:], strict=False):
-        yield tuple(None if pd.isna(v) else v for v in pdf[group].iloc[begin]), begin, end
+    edges = [*np.flatnonzero(changed).tolist(), len(pdf)]
+    keys = zip(*[pdf[c].iloc[edges[:-1]].tolist() for c in group])
+    for key, begin, end in zip(keys, edges, edges[1:], strict=False):
+        yield tuple(None if pd.isna(v) else v for v in key), begin, end
 
 
 def throttle(
@@ -273,19 +274,21 @@ def throttle(
     def functions(source: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, building = None, None
 
-        def done():
-            return pd.DataFrame([(*current, building.steps().to_bytes())], columns=[*whole, "_steps"])
+        def done() -> tuple:
+            return (*current, building.steps().to_bytes())
 
         for pdf in source:
-            at = pdf["_at"].to_numpy(dtype=np.int64)
+            rows, at = [], pdf["_at"].to_numpy(dtype=np.int64)
             for group_key, begin, end in _groups(pdf, whole):
                 if group_key != current:
                     if current is not None:
-                        yield done()
+                        rows.append(done())
                     current, building = group_key, StepsOfBlock(int(group_key[-1]) * BLOCK_CELLS * width, width)
                 building.add(at[begin:end])
+            if rows:
+                yield pd.DataFrame(rows, columns=[*whole, "_steps"])
         if current is not None:
-            yield done()
+            yield pd.DataFrame([done()], columns=[*whole, "_steps"])
 
     def composed(first: bytes, second: bytes) -> bytes:
         return Steps.of_bytes(first).then(Steps.of_bytes(second)).to_bytes()
