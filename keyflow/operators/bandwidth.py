@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,11 @@ MAX_STATS_INTERVAL_MS = 12 * 3_600_000
 DEFAULT_FLUSH_INTERVAL_MS = 60_000
 UNKNOWN_COMPRESSION = "unknown"
 
+UNIT_US = {
+    "week": 604_800_000_000, "day": 86_400_000_000, "hour": 3_600_000_000, "minute": 60_000_000, "second": 1_000_000, "millisecond": 1_000,
+    "microsecond": 1,
+}
+
 GROUP = S.TOPOLOGY_LABELS
 
 
@@ -24,6 +31,20 @@ def check_stats_interval(interval_ms: int) -> int:
     return interval_ms
 
 
+def interval_millis(interval: str) -> int:
+    """Milliseconds of an interval of weeks to microseconds, as :func:`pyspark.sql.functions.window` takes it, for example ``1 minute 30 seconds``."""
+    parts = interval.lower().removeprefix("interval ").split()
+    if not parts or len(parts) % 2:
+        raise ValueError(f"not an interval: {interval!r}")
+    micros = Fraction(0)
+    for number, unit in zip(parts[::2], parts[1::2], strict=True):
+        size = UNIT_US.get(unit.removesuffix("s"))
+        if size is None:
+            raise ValueError(f"not an interval of fixed length: {interval!r}")
+        micros += Fraction(number) * size
+    return int(micros // 1000)
+
+
 def _per_partition(packets: DataFrame) -> DataFrame:
     return packets.select(*GROUP, F.explode("partitions").alias("p")).select(*GROUP, "p.*")
 
@@ -137,8 +158,10 @@ def bandwidth_long(packets: DataFrame) -> DataFrame:
 def bandwidth_from_records(records: DataFrame, interval: str = "1 minute", time: str = "event_ts") -> DataFrame:
     """Bytes and messages received per partition in tumbling intervals; records without a timestamp are left out.
 
-    Also works on a stream, with a watermark on ``time``. Wire compression is not visible from records.
+    Also works on a stream, with a watermark on ``time``. Wire compression is not visible from records. The interval must lie within the
+    limits of the statistics interval.
     """
+    check_stats_interval(interval_millis(interval))
     size = record_bytes("key", "value", "headers")
     return (
         records.filter(F.col(time).isNotNull())

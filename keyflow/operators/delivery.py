@@ -185,6 +185,9 @@ def _arrival() -> Column:
 def flag_duplicates(attempts: DataFrame) -> DataFrame:
     """Adds ``duplicate``: an earlier attempt read the same record.
 
+    An attempt is told by its record, ``read_us`` and ``attempt_no``: rows equal in these are one attempt noted more than once, and
+    alike first or duplicate.
+
     Only records with more than one attempt are joined back, so usually few rows, and a record copied very many times
     costs one aggregated row instead of one sorted group.
     """
@@ -354,10 +357,15 @@ def run_verdict(attempts: DataFrame, expected: int) -> DataFrame:
 
 
 def duplicate_rate(attempts: DataFrame) -> DataFrame:
-    """Deliveries, distinct records and duplicates per partition. Equals counting :func:`flag_duplicates`."""
+    """Deliveries, distinct records and duplicates per partition. Equals counting the attempts of :func:`flag_duplicates`.
+
+    As there, rows equal in record, ``read_us`` and ``attempt_no`` are one delivery.
+    """
+    read = attempts.groupBy(*S.COORDINATES, "read_us", "attempt_no").agg(F.lit(1).alias("_one"))
+    records = read.groupBy(*S.COORDINATES).agg(F.count("*").alias("_n"))
     return (
-        attempts.groupBy(*S.PARTITION)
-        .agg(F.count("*").alias("deliveries"), F.count_distinct("offset").alias("records"))
+        records.groupBy(*S.PARTITION)
+        .agg(F.sum("_n").alias("deliveries"), F.count("*").alias("records"))
         .withColumn("duplicates", F.col("deliveries") - F.col("records"))
         .withColumn("duplicates_per_million", F.call_function("div", F.col("duplicates") * 1_000_000, F.col("deliveries")))
     )

@@ -77,9 +77,12 @@ def running(
     rows = df.withColumns({**inputs, "_b0": block(bits), "_b1": block(2 * bits)})
 
     if split_only_hot:
-        hot = small_side(hot_keys(df if hot_from is None else hot_from, keys, hot_rows))
-        to_total = rows.join(hot, keys, "inner")
-        rows = rows.join(hot, keys, "left").withColumns(
+        hot = small_side(hot_keys(df if hot_from is None else hot_from, keys, hot_rows).withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)}))
+        # A null key may be hot too.
+        same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+        marks = [f"_k{i}" for i in range(len(keys))]
+        to_total = rows.join(hot, same, "inner").drop(*marks)
+        rows = rows.join(hot, same, "left").drop(*marks).withColumns(
             {"_b0": F.when(F.col("_hot"), F.col("_b0")), "_b1": F.when(F.col("_hot"), F.col("_b1"))}
         )
     else:

@@ -220,6 +220,28 @@ def process_udf(spark, sf_dir):
     return P.process_udf(rows, handler, ["value"]).drop("value")
 
 
+@query
+def process_batches(spark, sf_dir):
+    """Rejects are answered as a column; a few records make the whole handler raise."""
+
+    def handler(batch):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        value, cents = batch.column("value"), batch.column("cents")
+        bad = pc.equal(value, b"{bad")
+        if pc.any(pc.and_(bad, pc.equal(pc.bit_wise_and(batch.column("offset"), 15), 0))).as_py():
+            raise ValueError("crash")
+        empty = pc.equal(pc.binary_length(value), 0)
+        missing = pc.is_null(value)
+        errors = pc.case_when(pc.make_struct(missing, empty, bad), "record without a value", "empty payload", "malformed", pa.scalar(None, pa.string()))
+        bits = pc.add(1 << 10 | 1 << 3, pc.multiply(pc.cast(pc.greater(cents, 5000), "int64"), 1 << 11))
+        return bits, errors
+
+    rows = fx.records(spark, sf_dir).select(*S.COORDINATES, "value", "cents")
+    return P.process_batches(rows, handler, ["offset", "value", "cents"]).drop("value", "cents")
+
+
 @query
 def no_traits_on_failure(spark, sf_dir):
     rows = fx.processed(fx.records(spark, sf_dir))
@@ -388,9 +410,9 @@ def drop_redeliveries(spark, sf_dir):
 @query
 def dedupe_by_id(spark, sf_dir):
     lines = _lines(spark, sf_dir)
-    seen = fx.table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("l_orderkey"))
-    fresh = lines.join(seen, "l_orderkey", "left_anti")
-    return delivery.dedupe_by_id(fresh, LINE_KEYS, LINE_ORDER).select(*LINE_SHOWN)
+    orders = fx.table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("l_orderkey"))
+    seen = lines.join(orders, "l_orderkey", "left_semi").select(*LINE_KEYS)
+    return delivery.dedupe_by_id(lines, LINE_KEYS, LINE_ORDER, seen).select(*LINE_SHOWN)
 
 
 def _committed(spark, sf_dir):

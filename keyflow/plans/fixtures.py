@@ -160,8 +160,12 @@ def assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fetch_log_of(records(spark, sf_dir))
+
+
+def fetch_log_of(records_df: DataFrame) -> DataFrame:
     """One fetch per event; those of type error failed."""
-    return records(spark, sf_dir).select(
+    return records_df.select(
         *S.PARTITION,
         F.col("offset").alias("seq"),
         F.col("read_us").alias("at_us"),

@@ -372,6 +372,17 @@ SELECT topic, part AS "partition", off AS "offset",
   CASE WHEN octet_length(value) > 0 AND value_text <> '{bad' THEN 1024::BIGINT ELSE 0::BIGINT END AS app_traits
 FROM records""",
 )
+sql(
+    "process_batches",
+    "records",
+    """
+SELECT topic, part AS "partition", off AS "offset",
+  CASE WHEN value_text = '{bad' AND off % 16 = 0 THEN 'panic' WHEN value IS NULL OR octet_length(value) = 0 OR value_text = '{bad' THEN 'error' ELSE 'ok' END AS outcome,
+  CASE WHEN value IS NULL THEN 'record without a value' WHEN octet_length(value) = 0 THEN 'empty payload'
+       WHEN value_text = '{bad' AND off % 16 = 0 THEN 'panic in process callback' WHEN value_text = '{bad' THEN 'malformed' END AS error,
+  CASE WHEN octet_length(value) > 0 AND value_text <> '{bad' THEN 1024::BIGINT + 2048 * (cents > 5000)::BIGINT ELSE 0::BIGINT END AS app_traits
+FROM records""",
+)
 sql(
     "no_traits_on_failure",
     "processed",
@@ -1073,6 +1084,17 @@ sql(
 SELECT {_LABELS}, {_COUNTERS} FROM packets WHERE traits & 16 = 0 GROUP BY topic, consumer_group, service, team, part""",
 )
 sql("drop_redeliveries_stream", "records", 'SELECT topic, part AS "partition", off AS "offset", key_str FROM records')
+sql("dedupe_by_id_stream", "records", "SELECT DISTINCT key_str, event_type FROM records")
+sql("bandwidth_stream", "records", QUERIES["bandwidth_from_records"][1])
+sql(
+    "sustained_failures_stream",
+    "fetch_log",
+    """
+, r AS (SELECT *, sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY topic, part ORDER BY at_us, seq) AS run FROM fetch_log),
+f AS (SELECT *, min(at_us) OVER (PARTITION BY topic, part, run) AS first_us FROM r WHERE NOT ok)
+SELECT topic, part AS "partition", first_us, min(at_us) AS reported_us, arg_min(err, (at_us, seq)) AS err
+FROM f WHERE at_us - first_us >= 600000000 GROUP BY topic, part, run, first_us""",
+)
 sql("throttle_stream", "", QUERIES["throttle"][1].replace("k.at_us, count(*) - 1 AS suppressed", "k.at_us"))
 
 

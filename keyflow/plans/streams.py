@@ -113,6 +113,30 @@ def stalled_partitions_stream(spark, sf_dir):
     return spark.read.schema(alarms.schema.add("batch_id", T.LongType())).parquet(f"{base}/out")
 
 
+def _shifted(df: DataFrame) -> DataFrame:
+    return df.withColumn("read_ts", F.timestamp_micros("read_us"))
+
+
+@query
+def dedupe_by_id_stream(spark, sf_dir):
+    """The first record of every key and event type; the delay spans the table, so none is forgotten."""
+    records = _shifted(fx.records_of(_events(spark, sf_dir)))
+    ids = ["key_str", "event_type"]
+    return _drain(stateless.dedupe_by_id_stream(records, ids, "60 days", "read_ts")).select(*ids)
+
+
+@query
+def bandwidth_stream(spark, sf_dir):
+    metered = stateless.bandwidth_stream(fx.records_of(_events(spark, sf_dir)), "1 hour", "60 days")
+    return _last(_drain(metered, "update"), [*S.PARTITION, "interval_start_ms"])
+
+
+@query
+def sustained_failures_stream(spark, sf_dir):
+    log = fx.fetch_log_of(fx.records_of(_events(spark, sf_dir)))
+    return _drain(stateful.sustained_failures_stream(log), "update").drop("batch_id")
+
+
 @query
 def throttle_stream(spark, sf_dir):
     logs = _events(spark, sf_dir).select(

@@ -86,17 +86,23 @@ class _SustainedFailures(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         since, reported = self.state.get() if self.state.exists() else (0, False)
         for pdf in SortedRows(self.runs, ["at_us", "seq"], HELD_ROWS).frames(rows):
-            out = []
-            for row in pdf.itertuples(index=False):
-                if row.ok:
-                    since, reported = 0, False
-                    continue
-                since = since or row.at_us
-                if not reported and row.at_us - since >= self.bail_us:
-                    reported = True
-                    out.append((key[0], key[1], since, row.at_us, row.err))
-            if out:
-                yield pd.DataFrame(out, columns=["topic", "partition", "first_us", "reported_us", "err"])
+            ok, at = pdf["ok"].to_numpy(dtype=bool), pdf["at_us"].to_numpy(dtype=np.int64)
+            failed = np.flatnonzero(~ok)
+            # Failures with as many successes before them are one run; run 0 goes on from the rows before.
+            runs, first, run_of = np.unique(np.cumsum(ok)[failed], return_index=True, return_inverse=True)
+            began, told = at[failed[first]], np.zeros(len(runs), bool)
+            if since and len(runs) and runs[0] == 0:
+                began[0], told[0] = since, reported
+            lasted = np.flatnonzero((at[failed] - began[run_of] >= self.bail_us) & ~told[run_of])
+            hit, at_hit = np.unique(run_of[lasted], return_index=True)
+            told[hit] = True
+            if len(hit):
+                rows_hit = failed[lasted[at_hit]]
+                yield pd.DataFrame(
+                    {"topic": key[0], "partition": key[1], "first_us": began[hit], "reported_us": at[rows_hit], "err": pdf["err"].to_numpy()[rows_hit]}
+                )
+            if len(ok):
+                since, reported = (0, False) if ok[-1] else (int(began[-1]), bool(told[-1]))
         self.state.update((int(since), bool(reported)))
 
     def close(self) -> None:

@@ -1,7 +1,7 @@
 """Delivery operators against plain Python on random logs, with small blocks so that several are in play."""
 
 import pytest
-from helpers import attempt, frame, random_attempts
+from helpers import as_set, attempt, frame, random_attempts
 from pyspark.sql import functions as F
 
 from keyflow.operators import delivery as D
@@ -106,6 +106,14 @@ def test_duplicates(spark):
     assert sum(rate.values()) == sum(flagged.values())
 
 
+def test_equal_attempts_are_one_delivery(spark):
+    rows = [attempt(1, read=5, no=1)] * 3 + [attempt(1, read=5, no=2)] * 2 + [attempt(2, read=5, no=1)] * 2
+    df = frame(spark, rows)
+    assert as_set(D.flag_duplicates(df), "offset", "attempt_no", "duplicate") == [(1, 1, False)] * 3 + [(1, 2, True)] * 2 + [(2, 1, False)] * 2
+    rate = D.duplicate_rate(df).first()
+    assert (rate.deliveries, rate.records, rate.duplicates, rate.duplicates_per_million) == (3, 2, 1, 333_333)
+
+
 def test_one_record_copied_many_times(spark):
     rows = [attempt(1, read=n, done=n + 1, no=n) for n in range(1, 2001)] + [attempt(2, read=5, done=6)]
     df = frame(spark, rows)

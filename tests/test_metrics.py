@@ -245,5 +245,9 @@ def test_bandwidth_from_records(spark):
         timestamp_millis(61000) as event_ts"""
     )
     df = df.unionByName(df.withColumn("event_ts", F.lit(None).cast("timestamp")))
+    for bad in ("999 milliseconds", "13 hours", "1 month", "minute"):
+        with pytest.raises(ValueError):
+            B.bandwidth_from_records(df, bad)
+    assert B.interval_millis("INTERVAL 1 minute 1.5 seconds") == 61_500
     row = B.bandwidth_from_records(df, "1 minute").collect()
     assert [(r.interval_start_ms, r.received_bytes, r.received_message_count) for r in row] == [(60000, 1 + 2 + 2 + 1, 1)]

@@ -40,6 +40,14 @@ def test_running_splits_hot_keys(spark, bits, hot_rows):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
+def test_a_null_key_can_be_hot(spark):
+    rows = frame(spark, random_attempts(8, n=300)).withColumn("key_str", F.when(F.col("key_str") != "hot", F.col("key_str"))).cache()
+    keys, order = ["topic", "key_str"], ["partition", "offset", "attempt_no"]
+    split = running(rows, keys, order, ["partition", "offset"], values(), 2, True, 50)
+    want = running_by_window(rows, keys, order, values())
+    assert sorted(map(str, split.collect())) == sorted(map(str, want.collect()))
+
+
 def test_hot_keys(spark):
     rows = frame(spark, random_attempts(5, n=300))
     assert [r.key_str for r in hot_keys(rows, ["topic", "key_str"], 100).collect()] == ["hot"]

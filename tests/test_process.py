@@ -1,3 +1,6 @@
+import uuid
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +103,44 @@ def test_process_by_key_sees_offset_order(spark):
     out = ordering.process_by_key(df, step, "key_str string, n bigint, ordered boolean", []).collect()
     assert len(out) == 600 and all(r.ordered for r in out)
     assert sum(r.n == 1 for r in out) == 5
+
+
+def test_batch_handler_is_bisected_to_the_records_at_fault(spark, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def handler(batch):
+        (calls / uuid.uuid4().hex).touch()
+        values = batch.column("value").to_pylist()
+        if b"boom" in values:
+            raise ZeroDivisionError
+        if b"no" in values:
+            raise P.HandlerError("refused")
+        return pa.array([0b111 | 1 << 12] * len(values)), pa.array(["empty" if v == b"" else None for v in values], pa.string())
+
+    def one(message):
+        if message.value == b"boom":
+            raise ZeroDivisionError
+        if message.value == b"no":
+            raise P.HandlerError("refused")
+        if message.value == b"":
+            raise P.HandlerError("empty")
+        return 0b111 | 1 << 12
+
+    values = [b"x"] * 4000
+    for i, v in ((0, b"boom"), (1, b""), (777, b"no"), (2048, b"boom"), (2049, b"boom"), (3999, b""), (5, None)):
+        values[i] = v
+    rows = log(spark, *values).repartition(2)
+    got = sorted(tuple(r) for r in P.process_batches(rows, handler).select("offset", "outcome", "error", "app_traits").collect())
+    n = len(list(calls.iterdir()))
+    want = sorted(tuple(r) for r in P.process_udf(rows, one).select("offset", "outcome", "error", "app_traits").collect())
+    assert got == want and [r[0] for r in got if r[1] == "panic"] == [0, 2048, 2049]
+    assert n <= 400, "a tenth of the calls"
+
+
+def test_batch_handler_without_an_answer_and_with_a_wrong_one(spark):
+    rows = log(spark, b"a", None, b"")
+    assert [(r.outcome, r.error, r.app_traits) for r in P.process_batches(rows, lambda batch: None, ["value"]).collect()] == [("ok", None, 0)] * 3
+    short = P.process_batches(rows, lambda batch: (pa.array([], pa.int64()), None))
+    assert [(r.outcome, r.app_traits) for r in short.collect()] == [("panic", 0)] * 3
+    assert P.process_batches(rows.limit(0), lambda batch: None).collect() == []

@@ -6,7 +6,7 @@ import pytest
 from helpers import ATTEMPT_SCHEMA, attempt, frame, random_attempts
 from pyspark.sql import functions as F
 
-from keyflow.operators import delivery, metrics, ordering
+from keyflow.operators import bandwidth, delivery, metrics, ordering
 from keyflow.operators import ops as O
 from keyflow.operators import process as P
 from keyflow.sources import sinks
@@ -272,3 +272,23 @@ def test_graceful_stop_finishes_the_batch(spark, tmp_path, log):
 def test_dead_letters_are_required(spark, log):
     with pytest.raises(ValueError):
         runner.run_stream(stream(spark, log[1], ATTEMPT_SCHEMA), rules, None, "unused")
+
+
+def test_dedupe_by_id(spark, tmp_path):
+    rows = [(i, f"id{i % 7}", i * 1_000_000) for i in range(60)]
+    df = spark.createDataFrame(rows, "seq bigint, id string, at_us bigint").withColumn("at", F.timestamp_micros("at_us")).drop("at_us")
+    path = as_files(df, str(tmp_path / "in"), ["seq"])
+    got = drained(stateless.dedupe_by_id_stream(stream(spark, path, df.schema), ["id"], "1 hour", "at"), tmp_path, "ids", "append").collect()
+    assert sorted(r.id for r in got) == [f"id{i}" for i in range(7)]
+    assert all(r.seq < 15 for r in got), "of the first file"
+
+
+def test_bandwidth(spark, tmp_path):
+    df = spark.range(240).selectExpr(
+        "'t' as topic", "cast(id % 2 as int) as partition", "id as offset", "cast('k' as binary) as key", "cast(repeat('v', cast(id % 5 as int)) as binary) as value",
+        "cast(array() as array<struct<key:string,value:binary>>) as headers", "timestamp_seconds(id) as event_ts",
+    )
+    path = as_files(df, str(tmp_path / "in"), ["offset"])
+    got = drained(stateless.bandwidth_stream(stream(spark, path, df.schema), "1 minute", "10 seconds"), tmp_path, "bandwidth", "append").drop("batch_id")
+    want = [tuple(r) for r in bandwidth.bandwidth_from_records(df, "1 minute").collect() if r.interval_start_ms < 180_000]
+    assert sorted(map(tuple, got.collect())) == sorted(want), "all intervals but the last, which may still grow"
