@@ -201,8 +201,8 @@ def throttle(
 
     Columns ``keys, time, suppressed``: how many rows until the next kept instant were dropped. Equal instants of a key are
     merged before anything moves. Time is cut into cells as wide as the interval; across an empty cell the throttle has
-    always run out, so each stretch of neighbouring cells can be walked on its own, whatever its key. A stretch longer than ``BLOCK_CELLS`` is cut
-    into blocks: each block is turned into the step function from the instant kept last before it to the one kept last in it, a scan of these
+    always run out, so each stretch of neighbouring cells can be walked on its own, whatever its key. A stretch of more than ``hot_rows`` rows
+    is cut into blocks of ``BLOCK_CELLS``: each block is turned into the step function from the instant kept last before it to the one kept last in it, a scan of these
     functions tells every block what was kept before, and all blocks are walked side by side. A function has at most as many steps
     as there are different instants in one interval.
     """
@@ -210,15 +210,15 @@ def throttle(
     width = interval_ms * 1000
     at = F.col(time).cast("bigint")
     placed_in = df.filter(at.isNotNull()).select(*keys, at.alias("_at"), _floor_div(at, width).alias("_cell"))
-    cells = placed_in.select(*keys, "_cell").distinct()
+    cells = placed_in.groupBy(*keys, "_cell").agg(F.count("*").alias("_rows"))
     ranked = running(
         cells, keys, ["_cell"], "_cell", [Running("_rank", F.lit(1).cast("bigint"))], bits, True, hot_rows
     )
-    stretches = small_side(ranked.select(*keys, "_cell", (F.col("_cell") - F.col("_rank")).alias("_stretch")))
+    stretches = small_side(ranked.select(*keys, "_cell", (F.col("_cell") - F.col("_rank")).alias("_stretch"), "_rows"))
     group = [*keys, "_stretch"]
     block = _floor_div(F.col("_cell"), BLOCK_CELLS)
-    ends = stretches.groupBy(*group).agg(F.min(block).alias("_from"), F.max(block).alias("_to"))
-    long = small_side(ends.filter("_from < _to"))
+    ends = stretches.groupBy(*group).agg(F.min(block).alias("_from"), F.max(block).alias("_to"), F.sum("_rows").alias("_n"))
+    long = small_side(ends.filter((F.col("_from") < F.col("_to")) & (F.col("_n") > hot_rows)).drop("_n"))
     any_long = not long.isEmpty()
 
     def same(left: str, right: str, columns: list[str]) -> list[Column]:

@@ -644,6 +644,12 @@ def throttle(spark, sf_dir):
     return ops.throttle(fx.log_lines(spark, sf_dir), ["logger", "level"], 3_600_000)
 
 
+@query
+def throttle_busy_key(spark, sf_dir):
+    """As throttle, with stretches split from 100 rows on, so that these tables have busy ones."""
+    return ops.throttle(fx.log_lines(spark, sf_dir), ["logger", "level"], 3_600_000, hot_rows=100)
+
+
 @query
 def throttle_tumbling(spark, sf_dir):
     return ops.throttle_tumbling(fx.log_lines(spark, sf_dir), ["logger", "level"], 3_600_000)

@@ -971,6 +971,7 @@ k AS (SELECT logger, level, min(at_us) AS at_us FROM l GROUP BY logger, level
 SELECT k.logger, k.level, k.at_us, count(*) - 1 AS suppressed FROM l ASOF JOIN k ON l.logger = k.logger AND l.level = k.level AND l.at_us >= k.at_us
 GROUP BY ALL""",
 )
+sql("throttle_busy_key", "", QUERIES["throttle"][1])
 sql(
     "throttle_tumbling",
     "",

@@ -184,8 +184,9 @@ def test_throttle_in_blocks(spark, seed):
                 at += 20_000
             rows += [(key, at)] * rng.choice([1, 1, 1, 2])
     df = spark.createDataFrame(rows, "k string, at_us bigint").repartition(4)
-    got = {(r.k, r.at_us): r.suppressed for r in O.throttle(df, ["k"], 1).collect()}
-    assert got == plain_throttle(rows, 1000)
+    for hot_rows in (0, 400, 10**6):  # all long stretches in blocks, only the busy ones, none
+        got = {(r.k, r.at_us): r.suppressed for r in O.throttle(df, ["k"], 1, hot_rows=hot_rows).collect()}
+        assert got == plain_throttle(rows, 1000)
     assert O.throttle(df.filter("false"), ["k"], 1).count() == 0
 
 
