@@ -14,7 +14,7 @@ them into two halves:
 A rule without a certified or useful cutoff in a group turns nothing down there; nor does any rule in a stratum without good holdout documents. Only counts per stratum, rule and cutoff reach the driver.
 
 Defined results: a null or empty text has no words and fails the base rule. Without labels, or labels of one kind, no rule
-is switched on. Strata beyond the ``MAX_STRATA`` most frequent share one stratum. Repeated rows are judged and counted as often as they come.
+is switched on. Strata may be as many as they like. Repeated rows are judged and counted as often as they come.
 """
 
 from __future__ import annotations
@@ -28,8 +28,6 @@ from keyflow.llm.common import crc_bucket, small_side, stage
 
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
-MAX_STRATA = 500
-REST = "\x00rest"
 
 # The grid: shares in steps of a hundredth; mean word lengths in steps of a tenth of a character beyond four.
 SHARES = [round(0.01 * i, 2) for i in range(1, 100)]
@@ -114,18 +112,31 @@ def certified(false: list[int], good: int, risk: float, level: float) -> list[in
     return out
 
 
-def groups(good: dict[str, int], risk: float, error: float) -> list[list[str]]:
-    """Strata that share their cutoffs, by their numbers of good holdout documents: as many as can be certified alone, and the rest together."""
-    order = sorted((s for s, n in good.items() if n), key=lambda s: (-good[s], s))
+def groups(good: dict[str | None, int], risk: float, error: float) -> list[list[str | None]]:
+    """Strata that share their cutoffs, by their numbers of good holdout documents: as many as can be certified alone, and the rest together.
+
+    None stands for strata counted as one beforehand, which are never alone.
+    """
+    order = sorted((s for s, n in good.items() if n and s is not None), key=lambda s: (-good[s], s))
+    pooled = [None] if good.get(None) else []
     for alone in range(len(order), 0, -1):
-        out = [[s] for s in order[:alone]] + [order[alone:]] * (alone < len(order))
+        rest = order[alone:] + pooled
+        out = [[s] for s in order[:alone]] + [rest] * bool(rest)
         if at_most(0, good[order[alone - 1]], risk / len(RULES)) <= error / (len(RULES) * len(out)):
             return out
-    return [order] if order else []
+    return [order + pooled] if order or pooled else []
+
 
+def enough(risk: float, error: float) -> int:
+    """With fewer good holdout documents a stratum cannot be certified alone, even if it is the only group."""
+    n = 1
+    while at_most(0, n, risk / len(RULES)) > error / len(RULES):
+        n += 1
+    return n
 
-def thresholds(judged: DataFrame, labels: DataFrame, doc_id: str, quality: str, risk: float, error: float, regret: float) -> dict[str, dict[str, float]]:
-    """Cutoffs per rule and stratum (equal ones within a group), from features with ``_stratum`` and ``base_failed``."""
+
+def thresholds(judged: DataFrame, labels: DataFrame, doc_id: str, quality: str, risk: float, error: float, regret: float) -> DataFrame | None:
+    """One row per stratum with its cutoffs (equal ones within a group, null where a rule is off), from features with ``_stratum`` and ``base_failed``."""
     marks = labels.select(F.col(doc_id).alias("_id"), F.col(quality).alias("_good")).filter("_id IS NOT NULL AND _good IS NOT NULL")
     marks = marks.groupBy("_id").agg(F.max("_good").alias("_good"))
     known = judged.filter(~F.col("base_failed")).join(small_side(marks), F.col(doc_id) == F.col("_id"))
@@ -133,31 +144,42 @@ def thresholds(judged: DataFrame, labels: DataFrame, doc_id: str, quality: str,
     def cutoffs_below(x: Column, grid: list[float]) -> Column:
         return F.size(F.filter(F.array(*[F.lit(c) for c in grid]), lambda c: x > c))
 
-    beyond = {r: cutoffs_below(x, RULES[r]) for r, x in ratios().items()}
-    stacked = known.select(
+    known = stage(known.select(
         "_stratum", (crc_bucket("_id", 2) == 0).alias("holdout"), (F.col("_good") == 1).alias("good"),
-        F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), x.alias("beyond")) for r, x in beyond.items()])).alias("_x"),
+        *[cutoffs_below(x, RULES[r]).alias(r) for r, x in ratios().items()],
+    ))
+    # However many strata there are, those too small to stand alone are one before anything reaches the driver.
+    held = known.groupBy("_stratum").agg(F.count_if(F.col("holdout") & F.col("good")).alias("_held")).filter("_held > 0")
+    strata = stage(held.withColumn("_group", F.when(F.col("_held") >= enough(risk, error), F.col("_stratum"))))
+    stacked = known.join(small_side(strata.drop("_held")), "_stratum").select(
+        "_group", "holdout", "good", F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("beyond")) for r in RULES])).alias("_x"),
     )
-    counts = stacked.groupBy("_stratum", "holdout", "good", "_x.rule", "_x.beyond").agg(F.count("*").alias("n")).collect()
+    # At most one stratum for every ``enough`` labelled documents, and the pooled one.
+    counts = stacked.groupBy("_group", "holdout", "good", "_x.rule", "_x.beyond").agg(F.count("*").alias("n")).collect()
     table: dict[tuple, dict[int, int]] = {}
     for r in counts:
-        table.setdefault((r["_stratum"], r["rule"], r["holdout"], r["good"]), {})[r["beyond"]] = r["n"]
+        table.setdefault((r["_group"], r["rule"], r["holdout"], r["good"]), {})[r["beyond"]] = r["n"]
     # Every rule has seen the same documents.
-    held = {s: sum(table.get((s, "symbols", True, True), {}).values()) for s in {k[0] for k in table}}
-    shared = groups(held, risk, error)
-    out: dict[str, dict[str, float]] = {r: {} for r in RULES}
-    for strata in shared:
+    good = {s: sum(table.get((s, "symbols", True, True), {}).values()) for s in {k[0] for k in table}}
+    shared = groups(good, risk, error)
+    out = {s: dict.fromkeys(RULES) for part in shared for s in part}
+    for part in shared:
         for rule, grid in RULES.items():
             def past(holdout: bool, good: bool) -> list[int]:
-                n = [x for s in strata for x in table.get((s, rule, holdout, good), {}).items()]
+                n = [x for s in part for x in table.get((s, rule, holdout, good), {}).items()]
                 return [sum(v for k, v in n if k > i) for i in range(len(grid))]
 
-            safe = certified(past(True, True), sum(held[s] for s in strata), risk / len(RULES), error / (len(RULES) * len(shared)))
+            safe = certified(past(True, True), sum(good[s] for s in part), risk / len(RULES), error / (len(RULES) * len(shared)))
             gain = [b - regret * g for b, g in zip(past(False, False), past(False, True))]
             best = max(safe, key=lambda i: (gain[i], i), default=None)
             if best is not None and gain[best] > 0:
-                out[rule].update(dict.fromkeys(strata, grid[best]))
-    return out
+                for s in part:
+                    out[s][rule] = grid[best]
+    if not out:
+        return None
+    schema = "_of string, " + ", ".join(f"_cut_{r} double" for r in RULES)
+    cutoffs = judged.sparkSession.createDataFrame([(s, *cuts.values()) for s, cuts in out.items()], schema)
+    return strata.join(F.broadcast(cutoffs), F.col("_group").eqNullSafe(F.col("_of"))).select("_stratum", *[f"_cut_{r}" for r in RULES])
 
 
 def judge(
@@ -169,16 +191,11 @@ def judge(
     counted = features(docs.select(F.col(doc_id).alias(doc_id), by.alias("_stratum"), F.col(text).alias("_text")), "_text")
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     judged = stage(counted.withColumn("base_failed", base))
-    common = [r["_stratum"] for r in judged.groupBy("_stratum").count().orderBy(F.col("count").desc(), "_stratum").limit(MAX_STRATA).collect()]
-    if len(common) == MAX_STRATA:
-        judged = judged.withColumn("_stratum", F.when(F.col("_stratum").isin(common), F.col("_stratum")).otherwise(REST))
     cutoffs = thresholds(judged, labels, doc_id, quality, risk, error, regret)
-    failed = []
-    for rule, ratio in ratios().items():
-        if cutoffs[rule]:
-            bound = F.create_map(*[F.lit(x) for pair in cutoffs[rule].items() for x in pair])[F.col("_stratum")]
-            failed.append(F.when(F.coalesce(ratio > bound, F.lit(False)), F.lit(rule)))
-    names = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
+    names = F.array().cast("array<string>")
+    if cutoffs is not None:
+        judged = judged.join(small_side(cutoffs), "_stratum", "left")
+        names = F.array_compact(F.array(*[F.when(ratio > F.col(f"_cut_{rule}"), F.lit(rule)) for rule, ratio in ratios().items()]))
     out = judged.withColumn("failed_rules", names)
     return out.select(
         doc_id, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

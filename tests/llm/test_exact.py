@@ -306,3 +306,26 @@ def test_rules_reach_strata_with_few_labels(spark):
     out = rules.judge(frame, spark.createDataFrame(labels, "doc_id bigint, quality int")).collect()
     rejected = Counter(r.stratum for r in out if not r.kept)
     assert rejected == {"en": 360, "de": 120, "fr": 120, "es": 120} and all(r.doc_id % 5 == 0 for r in out if not r.kept)
+
+
+def test_hundreds_of_strata_keep_their_names_and_share_cutoffs(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(200)]
+    rows = []
+    for i in range(4800):
+        rows.append((i, " ".join(rng.choice(words) + "##" * (i % 5 == 0) for _ in range(52)), "big" if i % 2 else f"l{i // 2 % 601}"))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 5 > 0)) for i in range(4800)], "doc_id bigint, quality int")
+    out = rules.judge(frame, labels).collect()
+    assert len(out) == 4800 and {r.stratum for r in out} == {r[2] for r in rows}
+    poor = {r.doc_id for r in out if not r.kept}
+    # A stratum without a good holdout document has no cutoff.
+    held = {r[2] for r in rows if r[0] % 5 and zlib.crc32(str(r[0]).encode()) % 2 == 0}
+    assert poor == {r[0] for r in rows if r[0] % 5 == 0 and r[2] in held} and len(poor) > 800
+
+
+def test_enough_is_the_least_number_that_can_be_certified():
+    n = rules.enough(0.04, 0.05)
+    assert n == 437 and rules.groups({"a": n}, 0.04, 0.05) == [["a"]]
+    assert rules.groups({"a": 5000, None: 9000, "b": 40}, 0.04, 0.05) == [["a"], ["b", None]]
+    assert rules.groups({None: 7}, 0.04, 0.05) == [[None]]
