@@ -2,8 +2,8 @@
 
 A text is cut into windows of ``WINDOW`` bytes, the last one filled up with zeros. Filters of several widths run over a window's
 bytes, each keeps its largest response, and a softmax layer turns these into languages. The network is trained in numpy, with
-gradients written out, on a bounded sample of labelled texts: of every language at most ``FIT_ROWS`` documents of at most ``FIT_BYTES`` bytes, picked by a hash of
-their identifier, and at most ``FIT_WINDOWS`` windows of each. So a rare language is learnt from all it has up to that number; the sample, 512 bytes a document,
+gradients written out, on a bounded sample of labelled texts: of every language at most ``FIT_ROWS`` documents, however long, picked by a hash of
+their identifier, and at most ``FIT_WINDOWS`` windows from all over each. So a rare language is learnt from all it has up to that number; the sample, 512 bytes a document,
 and the time to fit grow with the number of languages. A text's prediction is the mean of its windows' log probabilities, weighted by their bytes; all windows of the whole text count.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; so is every text if nothing could be learnt. Null languages are never learnt.
@@ -22,7 +22,7 @@ from keyflow.llm.common import crc_bucket, map_arrow, small_side, stage
 WINDOW = 128
 WIDTHS = (2, 3, 4)
 FILTERS = 8
-FIT_ROWS, FIT_BYTES, FIT_WINDOWS = 750, 16_384, 4
+FIT_ROWS, FIT_WINDOWS = 750, 4
 EPOCHS, BATCH, RATE = 6, 64, 0.01
 # Windows handled at once.
 BLOCK = 4_096
@@ -175,7 +175,7 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     """``doc_id, lang_pred, score``. ``allowed`` says, by the identifier, which rows may be learnt from."""
     allowed = allowed or (lambda c: crc_bucket(c, 4) != 2)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    usable = rows.filter(allowed("doc_id") & F.col("lang").isNotNull() & (F.octet_length("text") <= FIT_BYTES) & F.col("text").rlike(r"\p{L}"))
+    usable = rows.filter(allowed("doc_id") & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     model = fit(sample(usable))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

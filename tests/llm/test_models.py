@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from keyflow.llm import langid, quality, toxicity
 
@@ -72,6 +73,36 @@ def test_a_rare_language_is_learnt(spark, monkeypatch):
     assert len(rare) == 59 and sum(rare) >= 56 and sum(right) >= 0.97 * len(right)
 
 
+def test_a_language_of_long_texts_only_is_learnt(spark):
+    rng = random.Random(13)
+    rows = [(i, syllables(rng, rng.randrange(20, 80), ENGLISH), "en") for i in range(300)]
+    rows += [(1000 + i, syllables(rng, 4000, GERMAN), "de") for i in range(60)]
+    out = langid.identify(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()
+    assert min(len(t.encode()) for i, t, _ in rows if i >= 1000) > 16_384
+    assert sum(r.lang_pred == ("de" if r.doc_id >= 1000 else "en") for r in out) >= 0.97 * len(rows)
+
+
+def test_long_texts_count_for_the_toxicity_calibration(spark):
+    rng, bad = random.Random(14), ["zorgon", "flimsex", "quirbat"]
+    rows, labels = [], []
+    for i in range(600):
+        words = [rng.choice(ENGLISH) + str(rng.randrange(5000)) for _ in range(6000 if i % 20 == 1 else rng.randrange(30, 120))]
+        if i % 6 in (0, 1) and i % 4 < 2:
+            for _ in range(1 + len(words) // 25):
+                words.insert(rng.randrange(len(words)), rng.choice(bad))
+            labels.append((i, 1))
+        else:
+            labels.append((i, 0))
+        rows.append((i, " ".join(words)))
+    docs, marks = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    learnt, long = toxicity.sample(docs, marks, "doc_id", "text", "toxic", lambda c: F.col(c) >= 0)
+    assert len(long[0]) + len(long[1]) == 30 and long[1] and all(len(t) > 16_384 for t in long[0] + long[1])
+    truth = dict(labels)
+    out = toxicity.score(docs, marks).collect()
+    assert sum((r.toxicity >= 0.5) == bool(truth[r.doc_id]) for r in out) >= 0.95 * len(rows)
+    assert all((r.toxicity >= 0.5) == bool(truth[r.doc_id]) for r in out if r.doc_id % 20 == 1)
+
+
 def test_network_gradients():
     rng = np.random.default_rng(1)
     net = langid.Network(3)
