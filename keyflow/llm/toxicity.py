@@ -8,6 +8,8 @@ not used for the dictionaries. Trained on frequency alone, as the library does b
 frequent in any text (area under the curve 0.73 against 0.98), hence the choice by contrast. How strong the contrast must be is also settled by the calibration.
 
 Fitting uses a bounded sample of labelled rows: at most ``SAMPLE`` documents per label, each of at most ``FIT_BYTES`` bytes, picked by a hash of their identifier, without near copies.
+The calibration, whose features depend on the length, also sees up to ``LONG_SAMPLE`` longer documents per label; of one over ``LONG_CHARS`` characters it sees as
+many of them in a row, from a place picked by hash.
 Scoring covers every window of every text.
 
 Defined results: a null or empty text is one empty window, without a difference. Without labels of both kinds nothing is toxic: the score is 0.
@@ -24,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import BASE, crc_bucket, map_arrow, mixed, rolling, texts, word_hashes
+from keyflow.llm.common import BASE, crc_bucket, map_arrow, mixed, rolling, small_side, stage, texts, word_hashes
 
 WINDOW, STRIDE = 64, 48
 LEVEL = 3
@@ -32,6 +34,7 @@ ORDINARY_BYTES = 32_768
 TOXIC_BYTES = 8_192
 SAMPLE = {1: 1_500, 0: 2_500}
 FIT_BYTES = 16_384
+LONG_SAMPLE, LONG_CHARS = 40, 1 << 18
 # A word or stem distinguishes toxic documents from this signed root of the G statistic on; the best of these is taken.
 CONTRASTS = (3.5, 5.0, 7.0)
 LONGEST_WORD = 40
@@ -112,8 +115,8 @@ def distinguishing(toxic: list[str], ordinary: list[str], contrast: float) -> li
     return [w for _, w in sorted(scored)]
 
 
-def fit(toxic: list[str], ordinary: list[str]) -> dict | None:
-    """Dictionaries and calibration.
+def fit(toxic: list[str], ordinary: list[str], long_toxic: list[str] = (), long_ordinary: list[str] = ()) -> dict | None:
+    """Dictionaries and calibration. The long documents count for the calibration only.
 
     The calibration sees toxic documents through dictionaries made of the other half of the sample, as they hold words of their own
     that the final ones know, and ordinary documents through the final dictionaries, with whatever these match by chance.
@@ -133,8 +136,8 @@ def fit(toxic: list[str], ordinary: list[str]) -> dict | None:
     def seen(measures: list, sharp: zstandard.ZstdCompressor) -> list[np.ndarray]:
         return [describe(before - lengths(sharp, parts)) for parts, before in measures]
 
-    halves, rest = [measured(toxic[i::2]) for i in (0, 1)], measured(ordinary)
-    y = np.array([1.0] * len(toxic) + [0.0] * len(ordinary))
+    halves, rest = [measured(toxic[i::2]) for i in (0, 1)], measured([*ordinary, *long_ordinary, *long_toxic])
+    y = np.array([1.0] * len(toxic) + [0.0] * (len(ordinary) + len(long_ordinary)) + [1.0] * len(long_toxic))
     best = None
     for contrast in CONTRASTS:
         final = content + segments(toxic, ordinary, contrast)
@@ -167,25 +170,32 @@ def without_copies(many: list[str]) -> list[str]:
     return out
 
 
-def sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, allowed) -> dict[int, list[str]]:
-    """A bounded number of labelled texts per label."""
+def sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, allowed) -> tuple[dict[int, list[str]], dict[int, list[str]]]:
+    """A bounded number of labelled texts per label, and of long ones."""
     marked = labels.select(F.col(doc_id).alias("_id"), F.col(label).alias("_label")).filter("_id IS NOT NULL AND _label IS NOT NULL")
     marked = marked.filter(allowed("_id")).groupBy("_id").agg(F.max("_label").alias("_label"))
     out: dict[int, list[str]] = {}
-    rows = docs.select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text")).filter(F.octet_length("_text") <= FIT_BYTES)
+    long: dict[int, list[str]] = {}
+    rows = docs.select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    short, beyond = rows.filter(F.octet_length("_text") <= FIT_BYTES), rows.filter(F.octet_length("_text") > FIT_BYTES)
+    begin = F.pmod(F.xxhash64("_id"), F.greatest(F.length("_text") - LONG_CHARS, F.lit(0)) + 1) + 1
+    excerpt = F.when(F.length("_text") <= LONG_CHARS, F.col("_text")).otherwise(F.substring("_text", begin.cast("int"), F.lit(LONG_CHARS)))
+    # Labelled long documents by name only, as few numbers each.
+    named = stage(beyond.select("_id").join(small_side(marked), "_id").distinct())
     for kind, most in SAMPLE.items():
-        # Bounded: ``most`` identifiers.
-        chosen = F.broadcast(marked.filter(F.col("_label") == kind).orderBy(F.xxhash64("_id"), "_id").limit(most).select("_id"))
-        found = rows.join(chosen, "_id").orderBy(F.xxhash64("_id"), "_text").limit(most)
-        out[kind] = without_copies(found.select("_text").toArrow().column(0).to_pylist())
-    return out
+        # Bounded: ``most`` identifiers, and ``LONG_SAMPLE`` identifiers.
+        for source, known, limit, body, held in ((short, marked, most, F.col("_text"), out), (beyond, named, LONG_SAMPLE, excerpt, long)):
+            chosen = F.broadcast(known.filter(F.col("_label") == kind).orderBy(F.xxhash64("_id"), "_id").limit(limit).select("_id"))
+            found = source.join(chosen, "_id").select("_id", body.alias("_text")).orderBy(F.xxhash64("_id"), "_text").limit(limit)
+            held[kind] = without_copies(found.select("_text").toArrow().column(0).to_pylist())
+    return out, long
 
 
 def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", allowed=None) -> DataFrame:
     """``docs`` plus ``toxicity`` (0 to 1). ``allowed`` says, by the identifier, which rows labels may be learnt from."""
     allowed = allowed or (lambda c: crc_bucket(c, 3) != 1)
-    learnt = sample(docs, labels, doc_id, text, label, allowed)
-    model = fit(learnt[1], learnt[0])
+    learnt, long = sample(docs, labels, doc_id, text, label, allowed)
+    model = fit(learnt[1], learnt[0], long[1], long[0])
     if model is None:
         return docs.withColumn("toxicity", F.lit(0.0))
     shared = docs.sparkSession.sparkContext.broadcast(model)
