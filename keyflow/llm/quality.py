@@ -3,8 +3,8 @@
 Heuristic labellers each vote good, bad or nothing on every text. The votes of all documents are counted by pattern in Spark (at most 3 to the
 number of labellers). Expectation-maximisation on the pattern counts estimates how often each labeller votes how on good and on bad
 documents, without any true label, and gives every pattern a posterior. The posteriors then are soft labels for a linear scorer on hashed features, byte
-trigrams and votes, which is fitted on a bounded sample: at most ``FIT_ROWS`` documents of at most ``FIT_BYTES`` bytes per side, picked by a
-hash of their text. Every whole text is scored.
+trigrams and votes, which is fitted on a bounded sample: at most ``FIT_ROWS`` documents per side, picked by a
+hash of their text; of one over ``FIT_CHARS`` characters as many of them in a row, from a place picked by that hash. Every whole text is scored.
 
 Defined results: a null or empty text gets its votes (too short) and is scored like any other. If all documents vote alike the scorer's answer is that pattern's
 posterior. Repeated rows count as often as they come. An empty table gives no rows.
@@ -24,7 +24,7 @@ from keyflow.llm.common import map_arrow, small_side, stage, texts
 
 GOOD, BAD, NONE = 1, 0, 2
 FEATURE_BITS = 16
-FIT_ROWS, FIT_BYTES = 1_500, 16_384
+FIT_ROWS, FIT_CHARS = 1_500, 16_384
 STEPS, RATE, RIDGE = 150, 0.05, 1e-5
 KEPT_FROM = 0.5
 SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -162,10 +162,12 @@ def classify(docs: DataFrame, text: str = "text") -> DataFrame:
 
     # As many texts from either side of the posterior, by a hash of their key.
     known = docs.sparkSession.createDataFrame([(numbers[k], float(p)) for k, p in posterior.items()], "pattern bigint, p double")
-    judged = voted.filter(F.col("size") <= FIT_BYTES).join(small_side(known), "pattern").select("key", "p").dropDuplicates(["key"])
+    judged = voted.join(small_side(known), "pattern").select("key", "p").dropDuplicates(["key"])
     sides = [judged.filter(c).orderBy(F.xxhash64("key"), "key").limit(FIT_ROWS) for c in ("p >= 0.5", "p < 0.5")]
     chosen = small_side(sides[0].unionByName(sides[1]))
-    found = keyed.join(chosen, "key").groupBy("key").agg(F.any_value(F.coalesce(F.col(body), F.lit(""))).alias("text"), F.any_value("p").alias("p"))
+    begin = F.pmod(F.col("key"), F.greatest(F.length(value) - FIT_CHARS, F.lit(0)) + 1) + 1
+    excerpt = F.when(F.length(value) <= FIT_CHARS, value).otherwise(F.substring(value, begin.cast("int"), F.lit(FIT_CHARS)))
+    found = keyed.join(chosen, "key").groupBy("key").agg(F.any_value(excerpt).alias("text"), F.any_value("p").alias("p"))
     found = found.orderBy("key").toArrow()
     sample = list(zip(found.column("text").to_pylist(), found.column("p").to_pylist())) or [("", next(iter(posterior.values())))]
     shared = docs.sparkSession.sparkContext.broadcast((fit(sample).astype(np.float32), posterior))
